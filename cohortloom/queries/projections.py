@@ -77,24 +77,30 @@ def csv_report_io(spark, sf):
     return tables.read_csv_report(spark, tables.write_csv_report(report, scratch(spark, "report")), report.schema)
 
 
-@query("json_metrics_collect")
+@query(
+    "json_metrics_collect",
+    f"""
+SELECT version AS target, model, 'validation' AS split, {r('rec')} AS "Recall", {r('prec')} AS "Precision", 0.5::DOUBLE AS "Threshold",
+  {r('5 * prec * rec / (4 * prec + rec)')} AS "F2", CAST(NULL AS DOUBLE) AS "ROC_AUC"
+FROM (SELECT version, model, sum((y_proba >= 0.5)::INTEGER * y_true) / sum(y_true) AS rec,
+        sum((y_proba >= 0.5)::INTEGER * y_true) / sum((y_proba >= 0.5)::INTEGER) AS prec FROM scored_v GROUP BY version, model)""",
+    needs=("scored_v",),
+)
 def json_metrics_collect(spark, sf):
-    """One metrics file per (version, model), written by Spark from the scored rows."""
+    """One metrics file per (version, model) in partition folders, collected by path."""
     hit = (F.col("y_proba") >= 0.5).cast("int")
     tp = F.sum(hit * F.col("y_true"))
-    root = scratch(spark, "metrics")
     rows = fx.scored(spark, sf).groupBy("version", "model").agg(
         (tp / F.sum("y_true")).alias("Recall"), (tp / F.sum(hit)).alias("Precision"), F.lit(0.5).alias("Threshold")
     )
     p, rec = F.col("Precision"), F.col("Recall")
-    files = rows.withColumn("F2", 5 * p * rec / (4 * p + rec)).coalesce(1)
-    files.select("version", "model", F.to_json(F.struct("F2", "Recall", "Precision", "Threshold")).alias("value")).write.partitionBy(
-        "version", "model"
-    ).text(root)
-    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in tables.METRIC_FIELDS])
-    return spark.read.schema(
-        T.StructType(list(schema) + [T.StructField("version", T.StringType()), T.StructField("model", T.StringType())])
-    ).json(root).select("version", "model", *tables.METRIC_FIELDS).orderBy("version", F.desc("F2"))
+    record = F.to_json(F.struct((5 * p * rec / (4 * p + rec)).alias("F2"), "Recall", "Precision", "Threshold"))
+    root = scratch(spark, "metrics")
+    rows.select("version", "model", record.alias("value")).write.partitionBy("version", "model").text(root)
+    found = tables.collect_metrics(
+        spark, root, "version=*/model=*/part-*", r"version=([^/]+)/", r"model=([^/]+)/"
+    )
+    return found.select("target", "model", "split", *[r6(m).alias(m) for m in tables.METRIC_FIELDS])
 
 
 CONTRACT_SQL = ", ".join(

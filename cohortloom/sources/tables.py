@@ -75,17 +75,26 @@ def read_csv_report(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 METRIC_FIELDS = ("F2", "ROC_AUC", "Recall", "Precision", "Threshold")
 
 
-def collect_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Every <target>/<model>_metrics.json under root: one row each, target then F2 descending.
+def collect_metrics(
+    spark: SparkSession,
+    root: str,
+    files: str = "*/*_metrics.json",
+    target: str = r"([^/]+)/[^/]+_metrics\.json$",
+    model: str = r"([^/]+)_metrics\.json$",
+) -> DataFrame:
+    """One row per metrics file, target and model from its path; target, then F2 descending.
 
-    `split` says which rows the metrics were measured on (validation when the file does not say).
+    The default patterns read <target>/<model>_metrics.json. `split` says which rows the
+    metrics were measured on (validation when the file does not say).
     """
-    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in METRIC_FIELDS] + [T.StructField("split", T.StringType())])
-    raw = spark.read.schema(schema).json(f"{root}/*/*_metrics.json", multiLine=True)
-    path = F.input_file_name()
+    schema = T.StructType(
+        [T.StructField(f, T.DoubleType()) for f in METRIC_FIELDS] + [T.StructField("split", T.StringType())]
+    )
+    raw = spark.read.schema(schema).json(f"{root}/{files}", multiLine=True)
+    path = F.url_decode(F.input_file_name())
     return raw.select(
-        F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+_metrics\.json$", 1)).alias("target"),
-        F.url_decode(F.regexp_extract(path, r"([^/]+)_metrics\.json$", 1)).alias("model"),
+        F.regexp_extract(path, target, 1).alias("target"),
+        F.regexp_extract(path, model, 1).alias("model"),
         *METRIC_FIELDS,
         F.coalesce("split", F.lit("validation")).alias("split"),
     ).orderBy("target", F.desc("F2"))
