@@ -138,8 +138,8 @@ def extract_target(df: DataFrame, version: str | Mapping, stay_days: float = 3)
     return target_threshold(df, cfg["flags"], cfg.get("threshold", 1), override)
 
 
-def target_versions(df: DataFrame, key: str, versions: Sequence[str] | None = None) -> DataFrame:
-    """One scan to (key, version, target) for every target definition."""
+def target_wide(df: DataFrame, key: str, versions: Sequence[str] | None = None) -> DataFrame:
+    """One scan to the key and one 0/1 column per target definition."""
     versions = list(versions or TARGETS)
     df = flags_all(df)
     shared: dict[str, str] = {}
@@ -156,13 +156,25 @@ def target_versions(df: DataFrame, key: str, versions: Sequence[str] | None = No
         else:
             hit = flag(flag_total(cfg["flags"]) >= cfg["threshold"])
         outcomes.append(_unless_cancelled(hit).alias(v))
-    return df.select(col(key), *outcomes).unpivot([f"`{key}`"], versions, "version", "target")
+    return df.select(col(key), *outcomes)
+
+
+def target_versions(df: DataFrame, key: str, versions: Sequence[str] | None = None) -> DataFrame:
+    """Long form (key, version, target)."""
+    versions = list(versions or TARGETS)
+    return target_wide(df, key, versions).unpivot([f"`{key}`"], versions, "version", "target")
 
 
 def target_catalogue(df: DataFrame, key: str, versions: Sequence[str] | None = None) -> DataFrame:
     """Counts and prevalence per target version."""
-    return target_versions(df, key, versions).groupBy("version").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("target").cast("bigint").alias("n_pos"),
-        F.avg("target").alias("prevalence"),
+    versions = list(versions or TARGETS)
+    return version_counts(target_wide(df, key, versions), versions)
+
+
+def version_counts(wide: DataFrame, versions: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, version, n, n_pos, prevalence) from 0/1 columns, summed before they are unpivoted."""
+    sums = wide.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(v).cast("bigint").alias(v) for v in versions]
     )
+    long = sums.unpivot([*by, "n"], list(versions), "version", "n_pos")
+    return long.withColumn("prevalence", F.col("n_pos") / F.col("n"))
