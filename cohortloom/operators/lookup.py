@@ -90,7 +90,6 @@ def code_by_token_subsets(queries: DataFrame, column: str, codes: DataFrame, att
     names = codes.select("code", "term", F.array_distinct(words("term")).alias("name_words"))
     index = names.withColumn("word", F.explode("name_words"))
     frequency = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    tokens = F.array_distinct(words(column))
     candidates = (
         queries.select(col(column).alias("_q")).where("_q IS NOT NULL").distinct()
         .select("_q", F.posexplode(token_subsets(F.array_distinct(words("_q")), attempts)).alias("attempt", "cand"))
