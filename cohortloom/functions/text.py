@@ -59,9 +59,8 @@ def fold_ascii(c: Column | str) -> Column:
         return F.regexp_replace(F.translate(x, src, dst), r"[^\x00-\x7F]+", "")
 
     def expand(x: Column) -> Column:
-        for ch, text in multi.items():
-            x = F.replace(x, F.lit(ch), F.lit(text))
-        return x
+        pairs = F.expr("array(" + ", ".join(f"struct('{ch}' AS a, '{out}' AS b)" for ch, out in multi.items()) + ")")
+        return F.aggregate(pairs, x, lambda acc, p: F.replace(acc, p["a"], p["b"]))
 
     return (
         F.when(~c.rlike(r"[^\x00-\x7F]"), c)

@@ -113,7 +113,7 @@ def code_by_token_subsets(queries: DataFrame, column: str, codes: DataFrame, att
 # Severity labels and the words that point to each of them, first match wins.
 SEVERITY_LABELS = ["low severity", "moderate severity", "medium severity", "high severity", "critical"]
 SEVERITY_WORDS = {
-    "critical": ["paro", "choque", "sepsis"],
+    "critical": [r"\bparo\b", "choque", "sepsis"],
     "high severity": ["fractura", "laparotom", "ruptura"],
     "moderate severity": ["hernia", "herniorrafia"],
     "low severity": ["catarata", "faco"],

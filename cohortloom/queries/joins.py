@@ -159,7 +159,7 @@ def join_baseline_vs_tuned(spark, sf):
     return out.select("version", *[r6(c).alias(c) for c in ("m_baseline", "m_tuned", "delta_m")])
 
 
-LABEL_CASE = """CASE WHEN regexp_matches(lower(t), 'paro|choque|sepsis') THEN 'critical'
+LABEL_CASE = """CASE WHEN regexp_matches(lower(t), '\\bparo\\b|choque|sepsis') THEN 'critical'
  WHEN regexp_matches(lower(t), 'fractura|laparotom|ruptura') THEN 'high severity'
  WHEN regexp_matches(lower(t), 'hernia|herniorrafia') THEN 'moderate severity'
  WHEN regexp_matches(lower(t), 'catarata|faco') THEN 'low severity' ELSE 'medium severity' END"""

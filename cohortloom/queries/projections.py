@@ -11,6 +11,7 @@ from cohortloom.functions import text
 from cohortloom.functions.numeric import col, round_half_up as r6
 from cohortloom.operators import project
 from cohortloom.plans import flags
+from cohortloom.plans.clean import STRICT_VALUES
 from cohortloom.queries.base import block, q, query, r
 from cohortloom.session import shared_dir
 from cohortloom.sources import tables
@@ -276,30 +277,6 @@ def null_normalise(spark, sf):
     return fx.preop(spark, sf).select("k", raw.alias("t")).select("k", text.null_normalise("t").alias("t"))
 
 
-# Accepted variants of the strict categorical fields.
-STRICT_VALUES = {
-    "Sexo": {
-        "masculino": "M", "male": "M", "hombre": "M", "m": "M",
-        "femenino": "F", "female": "F", "mujer": "F", "f": "F",
-    },
-    "Atención": {
-        "urgencia": "Urgencia", "urgente": "Urgencia", "urgency": "Urgencia", "electivo": "Electivo",
-        "elective": "Electivo", "programado": "Electivo", "urgencia programada": "Urgencia Programada",
-    },
-    "Cuello Móvil": {
-        "normal": "Normal", "si": "Normal", "sí": "Normal", "yes": "Normal", "reducido": "Reducido",
-        "fijo": "Fijo", "no": "Fijo",
-    },
-    "Apertura Oral": {
-        "> 3 cm": "> 3 cm", "normal": "> 3 cm", "si": "> 3 cm", "sí": "> 3 cm", "< 3 cm": "< 3 cm",
-        "no": "< 3 cm", "disminuida": "< 3 cm", "limitada": "< 3 cm",
-    },
-    "Arritmia": {
-        "si": "Si", "sí": "Si", "yes": "Si", "1": "Si", "true": "Si", "no": "No", "0": "No", "false": "No",
-    },
-}
-
-
 def canon_sql(name: str) -> str:
     arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STRICT_VALUES[name].items())
     return f'CASE lower(trim("{name}")) {arms} ELSE "{name}" END'
