@@ -1,14 +1,22 @@
 """Explanations: linear attributions, group profiles, insights."""
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortloom.functions.numeric import col
+from cohortloom.operators.evaluate import rates, roc_auc
+from cohortloom.operators.learn import cv_evaluate
+from cohortloom.operators.ordered import running_totals
 from cohortloom.operators.rank import case_type
+from cohortloom.operators.sample import shuffled_column
 
 
 def linear_attributions(
@@ -86,3 +94,134 @@ def fn_ranked(df: DataFrame, key: str, n: int = 50, score: str = "y_proba") -> D
     """Missed cases by falling score."""
     missed = df.where((col("y_true") == 1) & (col("y_pred") == 0))
     return missed.orderBy(F.desc(score), F.asc(key)).limit(n)
+
+
+def global_importance(df: DataFrame, scorer, top_n: int = 25, repeats: int = 5) -> DataFrame:
+    """(feature, importance, source): the model's own importance, else absolute coefficients,
+    else the mean loss of AUC when a column is permuted."""
+    spec, model = scorer.spec, scorer.model
+    spark = df.sparkSession
+    for attribute, source in (("featureImportances", "native_feature_importance"), ("coefficients", "abs_coef")):
+        values = getattr(model, attribute, None)
+        if values is not None:
+            rows = [(f, abs(float(v)), source) for f, v in zip(spec.features, values.toArray())]
+            out = spark.createDataFrame(rows, "feature string, importance double, source string")
+            return out.orderBy(F.desc("importance"), F.asc("feature")).limit(top_n)
+    return permutation_importance(df, scorer, repeats).orderBy(F.desc("importance"), F.asc("feature")).limit(top_n)
+
+
+def permutation_importance(df: DataFrame, scorer, repeats: int = 5) -> DataFrame:
+    """AUC of the rows minus the mean AUC with one column permuted by hash, per feature."""
+    spec = scorer.spec
+    base = df.select(spec.key, spec.label, *spec.features)
+    parts = None
+    for f in spec.features:
+        for i in range(repeats):
+            moved = shuffled_column(base, spec.key, f, f"{f}|{i}", spec.seed)
+            scored = scorer.score(moved).select(F.lit(f).alias("feature"), F.lit(i).alias("repeat"), spec.label, "y_proba")
+            parts = scored if parts is None else parts.unionByName(scored)
+    whole = roc_auc(scorer.score(base), label=spec.label).select("roc_auc").scalar()
+    drops = roc_auc(parts, ["feature", "repeat"], label=spec.label)
+    return drops.groupBy("feature").agg(F.avg(whole - F.col("roc_auc")).alias("importance")).withColumn(
+        "source", F.lit("permutation_importance")
+    )
+
+
+def sampled_attributions(df: DataFrame, scorer, permutations: int = 3, seed: int = 42) -> DataFrame:
+    """(key, feature, contribution) of any model by permutation sampling against the mean row.
+
+    A row is scored once per permutation and prefix: the features of the prefix come from
+    the row, the others from the background. Differences of neighbouring prefixes are the
+    contributions, averaged over the permutations.
+    """
+    spec = scorer.spec
+    rng = random.Random(seed)
+    names = list(spec.features)
+    orders = [rng.sample(range(len(names)), len(names)) for _ in range(permutations)]
+    background = df.agg(F.struct(*[F.avg(col(f)).alias(f"b{i}") for i, f in enumerate(names)]).alias("b")).scalar()
+    ranks = F.array(*[F.array(*[F.lit(order.index(i)) for i in range(len(names))]) for order in orders])
+    wide = df.select(col(spec.key), *[col(f).cast("double").alias(f) for f in names]).withColumn("_b", background)
+    wide = wide.withColumn("_r", ranks).select("*", F.posexplode("_r").alias("_perm", "_rank"))
+    wide = wide.withColumn("_prefix", F.explode(F.sequence(F.lit(0), F.lit(len(names)))))
+    mixed = wide.withColumns(
+        {f: F.when(F.col("_rank")[i] < F.col("_prefix"), col(f)).otherwise(F.col(f"_b.b{i}")) for i, f in enumerate(names)}
+    )
+    scored = scorer.score(mixed).select(col(spec.key), "_perm", "_prefix", "_rank", "y_proba")
+    steps = Window.partitionBy(col(spec.key), "_perm").orderBy("_prefix")
+    delta = scored.withColumn("_d", F.col("y_proba") - F.lag("y_proba").over(steps)).where("_prefix > 0")
+    labels = F.array(*[F.lit(f) for f in names])
+    feature = F.get(labels, F.array_position("_rank", F.col("_prefix") - 1).cast("int") - 1)
+    return delta.select(col(spec.key), feature.alias("feature"), "_d").groupBy(col(spec.key), "feature").agg(
+        F.avg("_d").alias("contribution")
+    )
+
+
+def bootstrap_ci(
+    df: DataFrame, threshold: float, replicates: int = 1000, alpha: float = 0.05, seed: int = 42,
+    score: str = "y_proba", label: str = "y_true",
+) -> DataFrame:
+    """(metric, mean, ci_lower, ci_upper, n_valid) by Poisson resampling.
+
+    Every (replicate, row) draws a hashed Poisson(1) weight. The weights are summed per
+    score and replicate in the scan, so only the weighted histograms are shuffled.
+    """
+    steps, term, total = [], math.exp(-1.0), 0.0
+    for i in range(12):
+        total += term
+        steps.append(total)
+        term /= i + 1
+    u = F.pmod(F.xxhash64(F.col("_k"), F.col("replicate"), F.lit(seed)), F.lit(2**31)) / float(2**31)
+    weight = sum(((u >= F.lit(s)).cast("bigint") for s in steps), F.lit(0).cast("bigint"))
+    rows = df.select(
+        F.xxhash64(*[col(c) for c in df.columns]).alias("_k"), col(score).alias("s"), col(label).cast("bigint").alias("y"),
+        F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"),
+    ).withColumn("w", weight)
+    hist = rows.where("w > 0").groupBy("replicate", "s").agg(
+        F.sum(F.col("w") * F.col("y")).alias("pos"), F.sum(F.col("w") * (1 - F.col("y"))).alias("neg")
+    )
+    run = running_totals(hist, "s", ["pos", "neg"], ["replicate"])
+    hit = F.col("s") >= threshold
+    sums = run.groupBy("replicate").agg(
+        F.try_divide(
+            F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2)), F.max("tot_pos").cast("double") * F.max("tot_neg")
+        ).alias("ROC_AUC"),
+        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+        F.max("tot_pos").alias("p"),
+        F.max("tot_neg").alias("n"),
+    ).where("p > 0 AND n > 0")
+    r = rates(F.col("tp"), F.col("fp"), F.col("p") - F.col("tp"), F.col("n") - F.col("fp"))
+    values = sums.select("ROC_AUC", *[r[m].alias(m) for m in ("F2", "Recall", "Precision")])
+    long = values.unpivot([], ["ROC_AUC", "F2", "Recall", "Precision"], "metric", "v")
+    # one value per replicate and metric, a bounded number
+    return long.groupBy("metric").agg(
+        F.avg("v").alias("mean"),
+        F.percentile("v", F.lit(alpha / 2)).alias("ci_lower"),
+        F.percentile("v", F.lit(1 - alpha / 2)).alias("ci_upper"),
+        F.count("v").alias("n_valid"),
+    )
+
+
+def flag_predictability(
+    df: DataFrame, flags: Sequence[str], spec, folds: int = 5, min_prevalence: float = 0.01
+) -> DataFrame:
+    """(flag, prevalence, n_positives, roc_auc_mean, roc_auc_std, interpretacion) per flag.
+
+    How well the preop features predict each outcome flag, by cross-validation.
+    """
+    stats = df.agg(*[F.sum(col(f).cast("bigint")).alias(f) for f in flags], F.count(F.lit(1)).alias("_n")).first()
+    parts = []
+    for f in flags:
+        share = (stats[f] or 0) / max(stats["_n"], 1)
+        if share < min_prevalence or share >= 1:
+            continue
+        one = replace(spec, label=f)
+        aucs = cv_evaluate(df, one, folds, fixed_threshold=0.5).agg(
+            F.avg("ROC_AUC").alias("roc_auc_mean"), F.stddev_pop("ROC_AUC").alias("roc_auc_std")
+        )
+        parts.append(
+            aucs.select(F.lit(f).alias("flag"), F.lit(share).alias("prevalence"), F.lit(stats[f]).alias("n_positives"), "roc_auc_mean", "roc_auc_std")
+        )
+    m = F.col("roc_auc_mean")
+    grade = F.when(m >= 0.75, "buena_senal").when(m >= 0.65, "senal_moderada").when(m >= 0.55, "senal_debil").otherwise("sin_senal")
+    return reduce(DataFrame.unionByName, parts).withColumn("interpretacion", grade).orderBy(F.desc("roc_auc_mean"), "flag")

@@ -129,3 +129,25 @@ def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFr
     total = counts["n0"] + counts["n1"]
     mine = F.when(col(label) == 1, counts["n1"]).otherwise(counts["n0"])
     return df.withColumn(name, total / (F.lit(2.0) * mine))
+
+
+def hash_positions(df: DataFrame, key: str, salt: str, seed: int) -> DataFrame:
+    """(_k, _pos): 0-based position of every row in the hashed order, without a global sort."""
+    hashed = _hashed(df.withColumn("_one", F.lit(0)), key, "_one", salt, seed).select("_k", "_h", "_b")
+    before = Window.partitionBy(F.lit(1)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per hash bucket, at most 2 ** BUCKET_BITS
+    offsets = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).select(
+        "_b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("o")
+    )
+    local = Window.partitionBy("_b").orderBy("_h", "_k")
+    placed = hashed.withColumn("_p", F.row_number().over(local)).join(offsets, "_b")
+    return placed.select("_k", (F.col("_p") + F.col("o") - 1).alias("_pos"))
+
+
+def shuffled_column(df: DataFrame, key: str, column: str, salt: str, seed: int) -> DataFrame:
+    """The frame with the values of one column permuted over the rows by two hashed orders."""
+    values = df.select(col(key).alias("_k"), col(column).alias("_v"))
+    source = values.join(hash_positions(df, key, f"{salt}|from", seed), "_k").select("_pos", "_v")
+    goal = hash_positions(df, key, f"{salt}|to", seed)
+    moved = goal.join(source, "_pos").select("_k", "_v")
+    return df.withColumn("_k", col(key)).join(moved, "_k").withColumn(column, F.col("_v")).drop("_k", "_v")
