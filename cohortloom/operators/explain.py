@@ -122,8 +122,8 @@ def permutation_importance(df: DataFrame, scorer, repeats: int = 5) -> DataFrame
             parts = scored if parts is None else parts.unionByName(scored)
     whole = roc_auc(scorer.score(base), label=spec.label).select("roc_auc").scalar()
     drops = roc_auc(parts, ["feature", "repeat"], label=spec.label)
-    return drops.groupBy("feature").agg(F.avg(whole - F.col("roc_auc")).alias("importance")).withColumn(
-        "source", F.lit("permutation_importance")
+    return drops.groupBy("feature").agg(F.avg("roc_auc").alias("_auc")).select(
+        "feature", (whole - F.col("_auc")).alias("importance"), F.lit("permutation_importance").alias("source")
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.numeric import col, to_number
 from cohortloom.operators import evaluate, rank, sample
 from cohortloom.operators.project import column_medians
+from cohortloom.session import cut_lineage
 
 FILL = -1.0
 SCORE = evaluate.SCORE
@@ -105,11 +107,15 @@ def estimator(spec: Spec, n_rows: int):
     return MultilayerPerceptronClassifier(layers=layers, seed=spec.seed, **common, **p)
 
 
+def _is_network(spec: Spec) -> bool:
+    return PRESETS[spec.name]["family"] == "mlp"
+
+
 def training_rows(df: DataFrame, spec: Spec) -> DataFrame:
     """Feature vectors with balanced weights; models without weights get balanced rows instead."""
     label = col(spec.label).cast("double")
     rows = assemble(df, spec.features).withColumn(spec.label, label).where(label.isNotNull())
-    if PRESETS[spec.name]["family"] == "mlp":
+    if _is_network(spec):
         return sample.undersample_balance(rows, spec.key, spec.label, spec.seed)
     return sample.with_class_weight(rows, spec.label)
 
@@ -130,9 +136,20 @@ class Scorer:
 
 
 def fit_model(df: DataFrame, spec: Spec) -> Scorer:
-    rows = training_rows(df, spec)
-    n = rows.count() if PRESETS[spec.name]["family"] == "logistic" else 0
-    return Scorer(spec, estimator(spec, n).fit(rows))
+    """The learner passes over its rows many times, so they are kept while it runs."""
+    rows = training_rows(df, spec).select("features", spec.label, *([] if _is_network(spec) else ["weight"]))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = rows.count() if PRESETS[spec.name]["family"] == "logistic" else 0
+        return Scorer(spec, estimator(spec, n).fit(rows))
+    finally:
+        rows.unpersist()
+
+
+def folded_rows(df: DataFrame, spec: Spec, folds: int, features: Sequence[str] | None = None) -> DataFrame:
+    """Key, label, features and fold, written once for the fits that read them again."""
+    narrow = df.select(*[col(c) for c in dict.fromkeys([spec.key, spec.label, *(features or spec.features)])])
+    return cut_lineage(sample.kfold_stratified(narrow, spec.key, spec.label, folds, spec.seed))
 
 
 # ---- calibration --------------------------------------------------------------------------
@@ -209,7 +226,7 @@ def fit_calibrated(df: DataFrame, spec: Spec, folds: int = 5, methods: Sequence[
     """Cross-fitted calibration: first choice of the preset, then the other, then uncalibrated."""
     first = PRESETS[spec.name]["calibration"]
     order = list(methods or [first, "sigmoid" if first == "isotonic" else "isotonic"])
-    folded = sample.kfold_stratified(df, spec.key, spec.label, folds, spec.seed)
+    folded = folded_rows(df, spec, folds)
     warnings: list[str] = []
     scorers = [fit_model(folded.where(F.col("fold") != f), spec) for f in range(folds)]
     for method in order:
@@ -250,13 +267,13 @@ def fit_voting(df: DataFrame, specs: Sequence[Spec]) -> Ensemble:
 def fit_stacking(df: DataFrame, specs: Sequence[Spec], folds: int = 5) -> Ensemble:
     """Out-of-fold base scores feed a logistic model; the base models are refitted on all rows."""
     first = specs[0]
-    folded = sample.kfold_stratified(df, first.key, first.label, folds, first.seed)
+    folded = folded_rows(df, first, folds, [f for s in specs for f in s.features])
     blocks = []
     for f in range(folds):
         fitted = {s.name: fit_model(folded.where(F.col("fold") != f), s) for s in specs}
         held = _scores_of(fitted, folded.where(F.col("fold") == f))
         blocks.append(held.select(first.key, first.label, *[f"score_{s.name}" for s in specs]))
-    out_of_fold = reduce(DataFrame.unionByName, blocks)
+    out_of_fold = cut_lineage(reduce(DataFrame.unionByName, blocks))
     meta = Spec("logistic_regression", tuple(f"score_{s.name}" for s in specs), first.label, first.key, first.seed)
     return Ensemble({s.name: fit_model(df, s) for s in specs}, fit_model(out_of_fold, meta))
 
@@ -269,9 +286,9 @@ def train_with_threshold(
 
     Returns the final model and a one-row metrics table with split = 'validation'.
     """
-    split = sample.split_stratified(df, spec.key, spec.label, val_size, spec.seed)
+    split = cut_lineage(sample.split_stratified(df, spec.key, spec.label, val_size, spec.seed))
     inner = fit_calibrated(split.where("split = 'train'").drop("split"), spec, folds)
-    scored = inner.score(split.where("split = 'test'").drop("split")).select(spec.label, SCORE)
+    scored = cut_lineage(inner.score(split.where("split = 'test'").drop("split")).select(spec.label, SCORE))
     best = evaluate.find_threshold(scored, label=spec.label, optimize_for="recall_constraint", recall_min=recall_min)
     threshold = best.first()["threshold"]
     metrics = evaluate.classification_metrics(scored, threshold, label=spec.label).withColumns(
@@ -286,12 +303,13 @@ def cv_evaluate(df: DataFrame, spec: Spec, folds: int = 10, recall_min: float =
     The threshold of a fold is chosen on the fold it is measured on, which flatters it a
     little; give fixed_threshold to avoid that.
     """
-    folded = sample.kfold_stratified(df, spec.key, spec.label, folds, spec.seed)
+    folded = folded_rows(df, spec, folds)
     parts = []
     for f in range(folds):
         held = fit_model(folded.where(F.col("fold") != f), spec).score(folded.where(F.col("fold") == f))
         parts.append(held.select("fold", spec.label, SCORE))
-    scored = reduce(DataFrame.unionByName, parts)
+    # read twice below: for the thresholds and for the metrics
+    scored = cut_lineage(reduce(DataFrame.unionByName, parts))
     if fixed_threshold is not None:
         return evaluate.classification_metrics(scored, fixed_threshold, ["fold"], label=spec.label)
     best = evaluate.find_threshold(
@@ -326,8 +344,7 @@ def hyperparameter_search(
     parallelism: int = 4,
 ) -> list[dict]:
     """Settings with their mean cross-validated F2, best first."""
-    folded = sample.kfold_stratified(df, spec.key, spec.label, folds, spec.seed)
-    rows = training_rows(folded, spec)
+    rows = training_rows(folded_rows(df, spec, folds), spec).persist(StorageLevel.MEMORY_AND_DISK)
     total = rows.count()
     base = estimator(spec, total)
     grid, shown = [], random_grid(space or SEARCH_SPACES[spec.name], n, spec.seed)
@@ -340,6 +357,7 @@ def hyperparameter_search(
     search = CrossValidator(
         estimator=base, estimatorParamMaps=grid, evaluator=f2, numFolds=folds, foldCol="fold", parallelism=parallelism
     ).fit(rows)
+    rows.unpersist()
     ranked = sorted(zip(shown, search.avgMetrics), key=lambda x: -x[1])
     return [{"params": s, "f2": m} for s, m in ranked]
 
@@ -359,7 +377,7 @@ def baseline_experiments(
     out = []
     for version, df in frames.items():
         for spec in specs:
-            split = sample.split_three_way(df, spec.key, spec.label, seed=spec.seed)
+            split = cut_lineage(sample.split_three_way(df, spec.key, spec.label, seed=spec.seed))
             train, val, test = (split.where(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
             row = _test_row(df, train, val, test, spec, recall_min)
             out.append(row.select(F.lit(version).alias("version"), F.lit(spec.name).alias("model"), F.lit("test").alias("split"), *evaluate.METRICS))

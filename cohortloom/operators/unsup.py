@@ -64,7 +64,8 @@ def feature_stability(
     """One row: mean overlap of the top-k features over all pairs of seeded splits, most stable ones."""
     tops = []
     for seed in seeds:
-        split = sample.split_three_way(df, spec.key, spec.label, seed=seed)
+        narrow = df.select(*[col(c) for c in (spec.key, spec.label, *spec.features)])
+        split = sample.split_three_way(narrow, spec.key, spec.label, seed=seed)
         imp = forest_importance(split.where("split = 'train'"), replace(spec, seed=seed))
         tops.append(rank.sort_top_n(imp, [F.desc("rf_importance"), F.asc("feature")], top_k).select(F.lit(seed).alias("seed"), "feature"))
     every = reduce(DataFrame.unionByName, tops)
