@@ -73,18 +73,27 @@ def collapse_spaces(c: Column | str) -> Column:
     return F.btrim(F.regexp_replace(col(c), _SPACE_RUN, " "), F.lit(" "))
 
 
+def ascii_lower(c: Column | str) -> Column:
+    """ASCII, lower case, single spaces; null and 'nan' give null."""
+    c = col(c).cast("string")
+    return F.when(F.lower(strip(c)) != "nan", collapse_spaces(F.lower(fold_ascii(c))))
+
+
+def letters(c: Column | str, keep: str = "", replace_char: str = "") -> Column:
+    """Letters and spaces of an ascii_lower() text, and the signs to keep."""
+    return F.regexp_replace(col(c), rf"[^a-zA-Z{keep} ]", replace_char)
+
+
 def standardise(
     c: Column | str, letters_only: bool = True, keep: str = "", replace_char: str = ""
 ) -> Column:
-    """ASCII, lower case, single spaces, then letters only; null and 'nan' give null.
+    """ascii_lower(), then letters only.
 
     Spaces collapse before characters are removed, so a removed sign may leave two spaces.
+    Several forms of one text are cheaper from one ascii_lower() column.
     """
-    c = col(c).cast("string")
-    out = collapse_spaces(F.lower(fold_ascii(c)))
-    if letters_only:
-        out = F.regexp_replace(out, rf"[^a-zA-Z{keep} ]", replace_char)
-    return F.when(F.lower(strip(c)) != "nan", out)
+    out = ascii_lower(c)
+    return letters(out, keep, replace_char) if letters_only else out
 
 
 def null_normalise(c: Column | str) -> Column:

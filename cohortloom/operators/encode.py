@@ -17,22 +17,30 @@ MAX_CLASSES = 5000
 
 def fit_vocabulary(
     df: DataFrame, onehot: Sequence[str] = (), multilabel: Sequence[str] = (), delimiter: str = ",",
-    max_classes: int = MAX_CLASSES,
+    max_classes: int = MAX_CLASSES, normalise: Mapping[str, Column] | None = None,
 ) -> Vocabulary:
     """Sorted classes of all encoded columns from one pass over the rows.
 
-    Only distinct (column, class) pairs reach the driver. A column with more classes than
-    max_classes is refused: it is free text, not a category.
+    The pass reduces the rows to distinct (column, text) pairs; `normalise` (an expression
+    over the column itself) and the splitting run on the distinct texts only. Only classes
+    reach the driver. A column with more than max_classes of them is refused: it is free
+    text, not a category.
     """
-    cells = [F.struct(F.lit(c).alias("c"), F.array(col(c).cast("string")).alias("v")) for c in onehot]
-    cells += [F.struct(F.lit(c).alias("c"), split_terms(c, delimiter).alias("v")) for c in multilabel]
-    if not cells:
+    names = list(dict.fromkeys([*onehot, *multilabel]))
+    if not names:
         return {}
-    seen = (
-        df.select(F.explode(F.array(*cells)).alias("x"))
-        .select("x.c", F.explode_outer("x.v").alias("v"))
-        .distinct()
-    )
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), col(c).cast("string").alias("t")) for c in names])
+    pairs = df.select(F.explode(cells).alias("x")).select("x.c", "x.t").distinct()
+    parts = None
+    for c in names:
+        # one shuffle of the pairs feeds every branch
+        texts = pairs.where(F.col("c") == c).select(F.col("t").alias(c))
+        if normalise and c in normalise:
+            texts = texts.withColumn(c, normalise[c].cast("string"))
+        value = F.array(col(c)) if c in onehot else split_terms(c, delimiter)
+        part = texts.select(F.lit(c).alias("c"), F.explode_outer(value).alias("v"))
+        parts = part if parts is None else parts.unionByName(part)
+    seen = parts.distinct()
     # one action; a column with too many classes sends one class more than allowed, not all
     first = Window.partitionBy("c").orderBy("v")
     rows = seen.withColumn("r", F.row_number().over(first)).where(F.col("r") <= max_classes + 1).collect()

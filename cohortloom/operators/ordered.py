@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: a power of two
 BUCKETS = 64
 
 
@@ -29,7 +30,13 @@ def _with_bucket(hist: DataFrame, value: str, by: Sequence[str], buckets: int) -
         hist = hist.join(hist.groupBy(*by).agg(edges.alias("_edges")), list(by))
     else:
         hist = hist.withColumn("_edges", hist.agg(edges.alias("_edges")).scalar())
-    hist = hist.withColumn("_bucket", F.size(F.filter("_edges", lambda e: e < F.col(value))))
+    # binary search for the number of edges below the value, one compiled step per level
+    hist = hist.withColumn("_bucket", F.lit(0))
+    step = buckets // 2
+    while step:
+        higher = F.get("_edges", F.col("_bucket") + (step - 1)) < F.col(value)
+        hist = hist.withColumn("_bucket", F.col("_bucket") + F.when(higher, step).otherwise(0))
+        step //= 2
     return hist.drop("_edges")
 
 

@@ -369,25 +369,31 @@ def flag_count_summary(df: DataFrame, flags: Sequence[str], target: str = "targe
 
 
 def _pair_sums(df: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """(flag1, flag2, n, s1, s2, s12) for unordered pairs and the diagonal, in one pass."""
-    single = {f: F.sum(col(f)).cast("double") for f in flags}
-    cells = [
-        F.struct(
-            F.lit(a).alias("flag1"), F.lit(b).alias("flag2"), single[a].alias("s1"), single[b].alias("s2"),
-            F.sum(col(a) * col(b)).cast("double").alias("s12"),
-        )
-        for a, b in [*combinations(flags, 2), *[(f, f) for f in flags]]
-    ]
-    return df.agg(F.count(F.lit(1)).cast("double").alias("n"), F.array(*cells).alias("c")).select(
-        "n", F.explode("c").alias("c")
-    ).select("n", "c.*")
+    """(flag1, flag2, n, s1, s2, s12) for unordered pairs and the diagonal.
+
+    Rows are first counted per pattern of flags, packed into one number; the sums of
+    products then run over the patterns that occur, not over the rows.
+    """
+    packed = sum((F.shiftleft(col(f).cast("bigint"), i) for i, f in enumerate(flags)), F.lit(0).cast("bigint"))
+    patterns = df.select(packed.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("w"))
+    bits = {f: F.shiftright("p", i).bitwiseAND(1) for i, f in enumerate(flags)}
+    unpacked = patterns.select("w", *[b.alias(f) for f, b in bits.items()])
+    pairs = [*combinations(flags, 2), *[(f, f) for f in flags]]
+    cells = F.array(*[F.struct(F.lit(a).alias("flag1"), F.lit(b).alias("flag2"), col(a).alias("x"), col(b).alias("y")) for a, b in pairs])
+    long = unpacked.select("w", F.explode(cells).alias("c")).select("w", "c.*")
+    return long.groupBy("flag1", "flag2").agg(
+        F.sum("w").cast("double").alias("n"),
+        F.sum(F.col("w") * F.col("x")).cast("double").alias("s1"),
+        F.sum(F.col("w") * F.col("y")).cast("double").alias("s2"),
+        F.sum(F.col("w") * F.col("x") * F.col("y")).cast("double").alias("s12"),
+    ).select("flag1", "flag2", "n", "s1", "s2", "s12")
 
 
 def flag_cooccurrence(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """(flag1, flag2, pct): share of the flag1 rows that also have flag2."""
     sums = _pair_sums(df, flags)
     swapped = sums.where("flag1 <> flag2").select(
-        "n", F.col("flag2").alias("flag1"), F.col("flag1").alias("flag2"), F.col("s2").alias("s1"), F.col("s1").alias("s2"), "s12"
+        F.col("flag2").alias("flag1"), F.col("flag1").alias("flag2"), "n", F.col("s2").alias("s1"), F.col("s1").alias("s2"), "s12"
     )
     return sums.unionByName(swapped).select("flag1", "flag2", (ratio(F.col("s12"), F.col("s1")) * 100).alias("pct"))
 

@@ -199,6 +199,7 @@ def run_stages(
     present = set(df.columns)
     stages = [STAGES[n] for n in names if STAGES[n].trigger in present]
     df = canonical_values(df, [c for s in stages for c in s.canonical])
+    raw = df
     # a stage may read what an earlier one wrote (the dyspnoea marker), so they are stacked
     for stage in stages:
         normal = stage.normalise()
@@ -207,7 +208,8 @@ def run_stages(
     onehot = [c for s in stages for c in s.onehot]
     multilabel = [*[c for s in stages for c in s.multilabel], *extra_multilabel]
     if vocabulary is None:
-        vocabulary = fit_vocabulary(df, onehot, multilabel)
+        normalise = {c: e for s in stages for c, e in s.normalise().items() if c in present}
+        vocabulary = fit_vocabulary(raw, onehot, multilabel, normalise=normalise)
     terms = {f"_terms{i}": text.split_terms(c) for i, c in enumerate(multilabel)}
     out: dict[str, Column] = {}
     for c in onehot:

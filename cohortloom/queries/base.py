@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortloom import fixtures
+from cohortloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,7 +44,7 @@ def with_blocks(sql: str, needs: tuple[str, ...]) -> str:
 
 def query(name: str, oracle: str | None = None, needs: tuple[str, ...] = ()):
     def register(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(configure(spark), sf_dir)
         if oracle is not None:
             ORACLES[name] = with_blocks(oracle, needs)
         return fn

@@ -62,13 +62,14 @@ def spanish_words() -> list[str]:
     f"md5({std_sql('text', keep=',')}) AS keep_md5, md5({std_sql('text', letters=False)}) AS raw_md5 FROM documents",
 )
 def text_standardise(spark, sf):
-    df = fx.table(spark, sf, "documents").withColumn("std", text.standardise("text"))
+    df = fx.table(spark, sf, "documents").select("doc_id", text.ascii_lower("text").alias("plain"))
+    df = df.select("doc_id", "plain", text.letters("plain").alias("std"), text.letters("plain", keep=",").alias("kept"))
     return df.select(
         "doc_id",
         F.md5("std").alias("std_md5"),
         F.length("std").cast("bigint").alias("n_std"),
-        F.md5(text.standardise("text", keep=",")).alias("keep_md5"),
-        F.md5(text.standardise("text", letters_only=False)).alias("raw_md5"),
+        F.md5("kept").alias("keep_md5"),
+        F.md5("plain").alias("raw_md5"),
     )
 
 
