@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from cohortloom.functions.numeric import col
 from cohortloom.functions.text import split_terms
+from cohortloom.session import cut_lineage
 
 Vocabulary = dict[str, list[str | None]]
 MAX_CLASSES = 5000
@@ -30,10 +31,10 @@ def fit_vocabulary(
     if not names:
         return {}
     cells = F.array(*[F.struct(F.lit(c).alias("c"), col(c).cast("string").alias("t")) for c in names])
-    pairs = df.select(F.explode(cells).alias("x")).select("x.c", "x.t").distinct()
+    # written once: every branch below reads this small table, not the rows
+    pairs = cut_lineage(df.select(F.explode(cells).alias("x")).select("x.c", "x.t").distinct())
     parts = None
     for c in names:
-        # one shuffle of the pairs feeds every branch
         texts = pairs.where(F.col("c") == c).select(F.col("t").alias(c))
         if normalise and c in normalise:
             texts = texts.withColumn(c, normalise[c].cast("string"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from cohortloom.operators import encode, lookup, project
 from cohortloom.operators.encode import Vocabulary, fit_vocabulary, onehot_columns, ordinal
 from cohortloom.operators.joins import first_by_hash, left_lookup
 from cohortloom.plans import allergens, vocab
+from cohortloom.session import cut_lineage
 
 # Accepted variants of the strict categorical fields.
 STRICT_VALUES = {
@@ -263,7 +265,7 @@ ALLERGEN = "Alérgeno"
 def prepare_allergens(df: DataFrame, row_key: str, aliases: DataFrame | None = None) -> DataFrame:
     """Allergy text replaced by its sorted macro classes."""
     classes = allergens.classify_allergens(df, ALLERGEN, aliases)
-    dim = classes.select(ALLERGEN, allergens.macro_classes("classes").alias("_macro"))
+    dim = cut_lineage(classes.select(ALLERGEN, allergens.macro_classes("classes").alias("_macro")))
     joined = left_lookup(df, dim, ALLERGEN, row_key)
     return joined.withColumn(ALLERGEN, F.coalesce("_macro", F.lit(""))).drop("_macro")
 
@@ -304,24 +306,27 @@ def clean_dx_procedures(
     per distinct text and joined back.
     """
     labeller = labeller or lookup.keyword_labeller()
-    texts = None
-    for c, suffix in DX_COLUMNS.items():
+    dims: dict[str, DataFrame] = {}
+    for c in DX_COLUMNS:
         en, code = f"{c} EN", f"{c} Code"
-        df, _ = lookup.lookup_with_cache(
-            df, c, row_key, translations, lambda misses: misses.withColumn("text_en", F.lit(None).cast("string")), ["text_en"]
+        texts = df.select(col(c)).where(col(c).isNotNull()).distinct()
+        named, _ = lookup.lookup_with_cache(
+            texts, c, c, translations, lambda misses: misses.withColumn("text_en", F.lit(None).cast("string")), ["text_en"]
+        )
+        named = cut_lineage(named.withColumnRenamed("text_en", en))
+        found = lookup.code_by_token_subsets(named, en, code_books[c]).select(col(en).alias("_en"), F.col("code").alias(code))
+        coded = left_lookup(named, found, en, c, "_en").withColumns(
+            {en: codes.mark_not_found(c, en), code: codes.mark_not_found(c, code)}
         )
-        df = df.withColumnRenamed("text_en", en)
-        found = lookup.code_by_token_subsets(df, en, code_books[c]).select(en, F.col("code").alias(code))
-        df = left_lookup(df, found.withColumnRenamed(en, "_en"), en, row_key, "_en")
-        df = df.withColumns({en: codes.mark_not_found(c, en), code: codes.mark_not_found(c, code)})
-        df = df.withColumn(code, codes.code_chapter(code))
-        part = df.select(col(en).alias("t"))
-        texts = part if texts is None else texts.unionByName(part)
-    labels = lookup.label_texts(texts, "t", None, labeller).select(
-        "text_hash", "model", "predicted_label", "all_labels", "all_scores"
+        # one row per distinct text, written once
+        dims[c] = cut_lineage(coded.withColumn(code, codes.code_chapter(code)))
+    texts = reduce(DataFrame.unionByName, [dims[c].select(col(f"{c} EN").alias("t")) for c in DX_COLUMNS])
+    labels = cut_lineage(
+        lookup.label_texts(texts, "t", None, labeller).select("text_hash", "model", "predicted_label", "all_labels", "all_scores")
     )
     for c, suffix in DX_COLUMNS.items():
-        df = first_by_hash(df, labels, f"{c} EN", row_key, "model", f"_{suffix}")
+        dim = first_by_hash(dims[c], labels, f"{c} EN", c, "model", f"_{suffix}")
+        df = left_lookup(df, dim, c, row_key)
     if vocabulary is None:
         vocabulary = fit_vocabulary(df, onehot=[f"{c} Code" for c in DX_COLUMNS])
     out: dict[str, Column] = {}
