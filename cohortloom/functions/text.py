@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import col
+from cohortloom.functions.stopwords import SPANISH
 
 SPACES = " \t\n\r\f\x0b"
 _SPACE_RUN = r"[\t-\r\x1c-\x20]+"
@@ -107,9 +108,7 @@ def words(c: Column | str) -> Column:
 
 
 def spanish_stopwords() -> list[str]:
-    from pyspark.ml.feature import StopWordsRemover
-
-    return StopWordsRemover.loadDefaultStopWords("spanish")
+    return list(SPANISH)
 
 
 def remove_stopwords(c: Column | str, stopwords: Sequence[str]) -> Column:

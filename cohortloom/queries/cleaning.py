@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from cohortloom import fixtures as fx
 from cohortloom.functions import text
 from cohortloom.functions.numeric import col, round_half_up as r6
+from cohortloom.functions.stopwords import SPANISH
 from cohortloom.operators import encode, lookup, project
 from cohortloom.plans import allergens, clean, vocab
 from cohortloom.queries.base import block, q, query, r
 from cohortloom.queries.projections import MEAN_SQL, band_sql, canon_sql, random_sql
-from cohortloom.queries.scalars import DATE_SQL, EXAM_SQL, NYHA_SQL, PREV_TEXT, RES, in_list, spanish_words, std_short, word_map_sql
+from cohortloom.queries.scalars import DATE_SQL, EXAM_SQL, NYHA_SQL, PREV_TEXT, RES, in_list, std_short, word_map_sql
 
 
 def eq(e: str, v: str | None) -> str:
@@ -244,7 +245,7 @@ PROC_PARTS = [
 stage_query("clean_procedures", "procedures", ["Tipo de anestesia propuesta", "Prótesis Dental"], PROC_PARTS)
 
 # ---- allergens -----------------------------------------------------------------------------
-STOP = in_list(sorted(set(spanish_words() + vocab.ALLERGY_FILLERS)))
+STOP = in_list(sorted(set(SPANISH + vocab.ALLERGY_FILLERS)))
 RULE_CASE = "CASE " + " ".join(f"WHEN regexp_matches(tok, '{rx}') THEN '{c}'" for rx, c in allergens.RULES) + " END"
 ALIAS_VALUES = ", ".join(f"('{t}', '{c}')" for t, c in allergens.ALIASES.items())
 MACRO_VALUES = ", ".join(f"('{c}', '{m}')" for c, m in allergens.MACRO_CLASS.items())

@@ -395,10 +395,10 @@ KNOWN_SQL = " OR ".join(f"regexp_matches(t, '{rx}')" for rx, _ in allergens.RULE
 @query(
     "unmapped_token_frequency",
     f"""
-SELECT t AS token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS t FROM documents WHERE lang = 'es')
+SELECT t AS token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS t FROM documents)
 WHERE NOT ({KNOWN_SQL}) AND t NOT IN ({', '.join(f"'{w}'" for w in allergens.ALIASES)}) GROUP BY t""",
 )
 def unmapped_token_frequency(spark, sf):
-    docs = fx.table(spark, sf, "documents").where("lang = 'es'")
+    docs = fx.table(spark, sf, "documents")
     tokens = docs.select(F.explode(text.words("text")).alias("token"))
     return allergens.unmapped_tokens(tokens)

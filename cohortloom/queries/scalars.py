@@ -1,14 +1,11 @@
 """Text, laboratory, date and code functions."""
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
 from pyspark.sql import functions as F
 
 from cohortloom import fixtures as fx
 from cohortloom.functions import codes, dates, labs, text
+from cohortloom.functions.stopwords import SPANISH
 from cohortloom.functions.numeric import round_half_up as r6
 from cohortloom.queries.base import query, r
 from cohortloom.plans import vocab
@@ -48,14 +45,6 @@ def std_short(e: str, letters: bool = True, keep: str = "", rep: str = "") -> st
     return f"CASE WHEN lower(trim({e})) <> 'nan' THEN {out} END"
 
 
-def spanish_words() -> list[str]:
-    """The word list of StopWordsRemover, read from the installed package without a session."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        raw = z.read("org/apache/spark/ml/feature/stopwords/spanish.txt").decode("utf8")
-    return [w for w in raw.split("\n") if w]
-
-
 @query(
     "text_standardise",
     f"SELECT doc_id, md5({std_sql('text')}) AS std_md5, length({std_sql('text')})::BIGINT AS n_std, "
@@ -77,11 +66,11 @@ def text_standardise(spark, sf):
     "stopwords_es",
     f"""
 SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'),
-    lambda w: w NOT IN {in_list(spanish_words() + ["medio", "oral"])}), ' ') AS clean
-FROM documents WHERE lang = 'es'""",
+    lambda w: w NOT IN {in_list(SPANISH + ["medio", "oral"])}), ' ') AS clean
+FROM documents""",
 )
 def stopwords_es(spark, sf):
-    docs = fx.table(spark, sf, "documents").where("lang = 'es'")
+    docs = fx.table(spark, sf, "documents")
     stop = text.spanish_stopwords() + ["medio", "oral"]
     return docs.select("doc_id", text.remove_stopwords("text", stop).alias("clean"))
 
