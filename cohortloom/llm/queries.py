@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import packing, token_files
+from cohortloom.llm import decontamination, licenses, packing, token_files
 from cohortloom.llm.common import new_folder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -43,3 +43,46 @@ def op8_token_files(spark, sf_dir):
     folder = new_folder(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end_id=2)
     return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op4_license_scan")
+def op4_license_scan(spark, sf_dir):
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+        F.expr("to_json(expressions)").alias("expressions"),
+    )
+
+
+#: Words of a text for DuckDB.
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op5_decontamination",
+    f"""
+WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id::VARCHAR AS item_id, {WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+p AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS t FROM (
+    SELECT item_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+    FROM (SELECT *, least(13, len(w)) AS k FROM b WHERE len(w) > 0))),
+h AS (SELECT doc_id, i, x.k, p.item_id FROM (
+    SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS t FROM (
+        SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+        FROM d, (SELECT DISTINCT k FROM p) WHERE len(w) >= k)) x JOIN p ON p.k = x.k AND p.t = x.t),
+n AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS j FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM h GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
+)
+def op5_decontamination(spark, sf_dir):
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
