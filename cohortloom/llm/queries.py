@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, licenses, packing, token_files
-from cohortloom.llm.common import new_folder, ship
+from cohortloom.llm import decontamination, language, licenses, packing, token_files
+from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -86,3 +86,21 @@ def op5_decontamination(spark, sf_dir):
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def learned_language(docs: DataFrame):
+    """The language model of the rows that may be learned from."""
+    return language.fit_language_model(docs.where(remainder("doc_id", 4) != 2), key=F.col("doc_id"))
+
+
+@query("op10_language_id")
+def op10_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, learned_language(docs))
+    return found.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.to_json("spans").alias("spans"),
+    )

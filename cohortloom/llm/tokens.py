@@ -9,11 +9,18 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 import numpy as np
 
 #: Pieces that a worker remembers before it starts anew.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_200_000
+#: Pieces that are encoded as one text.
+JOINED = 256
+#: The sign that stands for each byte in byte-level vocabularies: itself if it prints, else the
+#: next one from U+0100 on.
+_PRINTS = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SIGNS = {b: chr(b) for b in _PRINTS} | {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTS)))}
 _ODD = re.compile(r"[^\S \n]")
 _loaded: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -41,12 +48,16 @@ class Encoder:
     def __init__(self, path: str, keeps_spaces: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_spaces = keeps_spaces
         self.mark = "\0" if keeps_spaces else " \0 "
         self.mark_id = self.tokenizer.encode("\0", add_special_tokens=False).ids[0]
+        if not keeps_spaces:
+            self.units = Tokenizer.from_file(path)
+            self.units.normalizer, self.units.pre_tokenizer = None, WhitespaceSplit()
         self.forget()
 
     def forget(self) -> None:
@@ -56,26 +67,51 @@ class Encoder:
 
     def learn(self, pieces: list[str]) -> None:
         """Encode pieces that were numbered anew, many in one text with a mark between them."""
-        parts = [pieces[i : i + 2048] for i in range(0, len(pieces), 2048)]
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast([self.mark.join(p) for p in parts], add_special_tokens=False)):
-            ids = np.array(e.ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.mark_id)
-            if len(cuts) == len(part) - 1:
-                ids = np.delete(ids, cuts)
-                sizes = np.diff(np.concatenate(([0], cuts - np.arange(len(cuts)), [len(ids)])))
-            else:  # a piece itself holds the mark
-                each = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-                sizes = np.fromiter(map(len, each), np.int64, len(each))
-                ids = np.fromiter((x for ids in each for x in ids), np.uint32, int(sizes.sum()))
-            stop, used = self.done + len(part), self.used + len(ids)
-            while stop > len(self.begin):
-                self.begin, self.size = (np.concatenate((x, np.zeros(len(x), np.int64))) for x in (self.begin, self.size))
-            while used > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros(len(self.ids), np.uint32)))
-            self.begin[self.done : stop] = self.used + np.cumsum(sizes) - sizes
-            self.size[self.done : stop] = sizes
-            self.ids[self.used : used] = ids
-            self.done, self.used = stop, used
+        while len(self.known) > len(self.begin):
+            self.begin, self.size = (np.concatenate((x, np.zeros(len(x), np.int64))) for x in (self.begin, self.size))
+        letters = [] if self.keeps_spaces else [i for i, p in enumerate(pieces) if p.isalpha() or p[-1:] in ".," and p[:-1].isalpha()]
+        chosen = set(letters)
+        for numbers, f in ((letters, self.encode_letters), ([i for i in range(len(pieces)) if i not in chosen], self.encode_marked)):
+            for i in range(0, len(numbers), JOINED * 32):
+                part = numbers[i : i + JOINED * 32]
+                joins = [[pieces[k] for k in part[j : j + JOINED]] for j in range(0, len(part), JOINED)]
+                for j, (ids, sizes) in enumerate(f(joins)):
+                    self.keep(self.done + np.array(part[j * JOINED : j * JOINED + len(sizes)]), ids, sizes)
+        self.done = len(self.known)
+
+    def keep(self, numbers: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        used = self.used + len(ids)
+        while used > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(len(self.ids), np.uint32)))
+        self.begin[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.size[numbers] = sizes
+        self.ids[self.used : used] = ids
+        self.used = used
+
+    def encode_marked(self, joins: list[list[str]]):
+        """Ids and sizes of the pieces of each join."""
+        found = self.tokenizer.encode_batch_fast([self.mark.join(p) for p in joins], add_special_tokens=False)
+        return [self.divide(p, e.ids) for p, e in zip(joins, found)]
+
+    def encode_letters(self, joins: list[list[str]]):
+        """The same for words of letters, which need no pattern to be cut: given as the signs that
+        stand for their bytes, normalised and in lower case already, units between spaces."""
+        texts = ["\0".join(p) for p in joins]
+        if not all(t.isascii() or unicodedata.is_normalized("NFC", t) and t == t.lower() for t in texts):
+            return self.encode_marked(joins)
+        signs = [t.encode().decode("latin-1").translate(_SIGNS) for t in texts]
+        found = self.units.encode_batch_fast([t.replace(_SIGNS[0], f" {_SIGNS[0]} ").replace(".", " .").replace(",", " ,") for t in signs], add_special_tokens=False)
+        return [self.divide(p, e.ids) for p, e in zip(joins, found)]
+
+    def divide(self, pieces: list[str], ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(ids, np.uint32)
+        cuts = np.flatnonzero(ids == self.mark_id)
+        if len(cuts) == len(pieces) - 1:
+            ids = np.delete(ids, cuts)
+            return ids, np.diff(np.concatenate(([0], cuts - np.arange(len(cuts)), [len(ids)])))
+        each = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]  # a piece holds the mark
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter((x for ids in each for x in ids), np.uint32, int(sizes.sum())), sizes
 
     def cut(self, text: str) -> list[str] | None:
         """Pieces that are encoded by themselves; None if the text must be encoded whole."""
