@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, language, licenses, packing, token_files
+from cohortloom.llm import decontamination, language, licenses, packing, token_files, toxicity
 from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -104,3 +104,17 @@ def op10_language_id(spark, sf_dir):
         "score",
         F.to_json("spans").alias("spans"),
     )
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1))
+    found = toxicity.score_documents(docs, model)
+    return found.select(
+        "doc_id",
+        F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
+    )
