@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, language, licenses, packing, token_files, toxicity
+from cohortloom.llm import decontamination, language, licenses, packing, secret_scan, token_files, toxicity
 from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -118,3 +118,15 @@ def op3_toxicity(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"),
     )
+
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark, sf_dir):
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *map(count, secret_scan.BASE),
+        F.sha2(secret_scan.spans_text(F.col("base_spans")), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
