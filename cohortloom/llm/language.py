@@ -132,11 +132,12 @@ class LetterRuns:
     def word_scores(self, table: np.ndarray) -> np.ndarray:
         """Words x languages: the mean over the orders of the summed log-likelihoods."""
         out = np.zeros((len(self.starts), table.shape[1]), np.float32)
+        of = np.repeat(np.arange(len(self.starts), dtype=np.int32), self.size + 1)  # word of each sign; its edge is before it
         for n in ORDERS:
             at, entry = self.grams(n)
             if not len(at):
                 continue
-            word = np.searchsorted(self.at, at, side="right") - 1
+            word = of[at]
             begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             out[word[begin]] += np.add.reduceat(table[entry], begin, axis=0)
         return out / len(ORDERS)
@@ -189,20 +190,21 @@ def _viterbi(scores: np.ndarray, first: np.ndarray, texts: np.ndarray, penalty:
     """All texts in step, the longest first, so that those still open are a prefix."""
     size, k = first[texts + 1] - first[texts], scores.shape[1]
     begin = first[texts]
+    active = np.searchsorted(-size, -np.arange(int(size[0])), side="left")  # texts with more than t words
     best = scores[begin].astype(np.float64)
     switched = np.zeros((len(scores), k), bool)
     source = np.zeros(len(scores), np.int64)
     for t in range(1, int(size[0])):
-        n = int(np.searchsorted(-size, -t, side="left"))  # texts with more than t words
+        n = active[t]
         at, own = begin[:n] + t, best[:n]
         top = own.argmax(axis=1)
-        other = own[np.arange(n), top] - penalty
+        other = own.max(axis=1) - penalty
         switched[at] = own < other[:, None]
         source[at] = top
         best[:n] = np.maximum(own, other[:, None]) + scores[at]
     now = best.argmax(axis=1)
     for t in range(int(size[0]) - 1, -1, -1):
-        n = int(np.searchsorted(-size, -t, side="left"))
+        n = active[t]
         at = begin[:n] + t
         labels[at] = now[:n]
         now[:n] = np.where(switched[at, now[:n]], source[at], now[:n])

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, language, licenses, packing, secret_scan, substring_dedup, token_files, toxicity
+from cohortloom.llm import decontamination, language, licenses, neighbours, packing, secret_scan, substring_dedup, token_files, toxicity
 from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -136,3 +136,9 @@ def op2_secret_scan(spark, sf_dir):
 def op9_substring_dedup(spark, sf_dir):
     found = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "text", "n_units", "removed_chars", F.to_json("removed").alias("removed"), F.to_json("kept").alias("kept"))
+
+
+@query("op1_nearest_neighbours")
+def op1_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
