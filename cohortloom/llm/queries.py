@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, language, licenses, neighbours, packing, secret_scan, substring_dedup, token_files, toxicity
+from cohortloom.llm import decontamination, language, licenses, near_duplicates, neighbours, packing, secret_scan, substring_dedup, token_files, toxicity
 from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -142,3 +142,9 @@ def op9_substring_dedup(spark, sf_dir):
 def op1_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query("op6_near_duplicates")
+def op6_near_duplicates(spark, sf_dir):
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "keep")
