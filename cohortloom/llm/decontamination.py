@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import Words, batch_of, code_points, mix, text_chunks, written
+from cohortloom.llm.common import Words, batch_of, code_points, fresh, mix, text_chunks, written
 
 WINDOW = 13
 #: Text of the benchmark items that are searched in one pass over the documents.
@@ -225,3 +225,12 @@ MERGED = (
     "THEN concat(slice(done, 1, size(done) - 1), array(named_struct('start', element_at(done, -1).start, "
     "'end', greatest(element_at(done, -1).end, r.end)))) ELSE concat(done, array(r)) END)"
 )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **how) -> DataFrame:
+    """The documents, with all their columns, that are not contaminated."""
+    row = fresh("_row", docs.columns)
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    found = contamination(rows, benchmark, id_column=row, text_column=text_column, **how)
+    bad = found.where("contaminated").select(F.col("doc_id").alias(row))
+    return rows.join(bad, row, "left_anti").drop(row)

@@ -298,3 +298,16 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY, id_column:
 
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return texts.mapInArrow(label, "doc_id long, lang_pred string, score double, spans array<struct<lang:string,start:int,end:int>>")
+
+
+def keep_identified(docs: DataFrame, model: Model, min_score: float, penalty: float = PENALTY, text_column: str = "text") -> DataFrame:
+    """The documents, with all their columns, whose language is known with at least this score."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_chunks(batch, 4 << 20, text_column):
+                names, values, _ = label_texts(part.column(at).to_pylist(), shared.value, penalty)
+                yield part.filter(pa.array([n != UNKNOWN and v >= min_score for n, v in zip(names, values)]))
+
+    return docs.mapInArrow(keep, docs.schema)

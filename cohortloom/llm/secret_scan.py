@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm.common import fresh
+
 # The base patterns, the group that holds the value and its least length.
 BASE = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 4, 6),
@@ -150,3 +152,16 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
 
     done = F.aggregate(spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def redact_secrets(docs: DataFrame, text_column: str = "text", length_column: str = "n_chars", mark: str = "[secret]") -> DataFrame:
+    """The documents with all their columns; secrets are replaced, and the length, if there is a
+    column of it, follows the text."""
+    base, spans = fresh("_base", docs.columns), fresh("_spans", docs.columns)
+    found = find_secrets(docs, text_column, base, spans)
+    text = redacted(F.col(text_column), F.col(spans), mark)
+    out = found.withColumn(text_column, text)
+    if length_column in docs.columns:
+        kind = docs.schema[length_column].dataType
+        out = out.withColumn(length_column, F.when(F.size(spans) > 0, F.length(text_column).cast(kind)).otherwise(F.col(length_column)))
+    return out.select(*[f"`{c}`" for c in docs.columns])
