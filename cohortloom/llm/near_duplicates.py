@@ -82,7 +82,7 @@ def signatures(n: int, text: np.ndarray, hashes: np.ndarray, weight: np.ndarray,
 
 
 def band_keys(marks: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    parts = marks.reshape(len(marks), -1, rows).astype(np.uint64)
+    parts = marks.reshape(len(marks), marks.shape[1] // rows, rows).astype(np.uint64)
     key = np.zeros(parts.shape[:2], np.uint64)
     with np.errstate(over="ignore"):
         for j in range(rows):
