@@ -7,6 +7,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def col(c: Column | str) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
 
@@ -22,8 +25,10 @@ def round_half_up(c: Column | str, digits: int = 6) -> Column:
 
 
 def to_number(c: Column | str) -> Column:
-    """Text or number to double; text that is not a number becomes null."""
-    return col(c).try_cast("double")
+    """Text or number to double; text that is not a plain number (`nan`, `3d`, `inf`) is null, and
+    so are NaN and the infinities."""
+    text = col(c).cast("string")
+    return F.when(text.rlike(_NUMBER), F.btrim(text).try_cast("double"))
 
 
 def between_or_null(c: Column | str, low=None, high=None) -> Column:

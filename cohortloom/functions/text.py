@@ -15,31 +15,30 @@ SPACES = " \t\n\r\f\x0b"
 _SPACE_RUN = r"[\t-\r\x1c-\x20]+"
 
 
+@lru_cache(maxsize=1)
+def ascii_forms() -> dict[str, str]:
+    """ASCII form of every character beyond ASCII whose compatibility decomposition has one."""
+    out = {}
+    for code in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
+        # most characters decompose to nothing in ASCII; asking for the decomposition alone is quick
+        if unicodedata.decomposition(chr(code)):
+            form = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+            if form:
+                out[chr(code)] = form
+    return out
+
+
 @lru_cache(maxsize=1)
 def ascii_fold_map() -> tuple[str, str]:
-    """Every character whose compatibility decomposition has exactly one ASCII character."""
-    src, dst = [], []
-    for code in range(0xA0, 0x10000):
-        ch = chr(code)
-        if 0xD800 <= code <= 0xDFFF:
-            continue
-        ascii_form = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
-        if len(ascii_form) == 1:
-            src.append(ch)
-            dst.append(ascii_form)
-    return "".join(src), "".join(dst)
+    """The characters whose ASCII form is one character, and these forms."""
+    single = {ch: form for ch, form in ascii_forms().items() if len(form) == 1}
+    return "".join(single), "".join(single.values())
 
 
 @lru_cache(maxsize=1)
 def ascii_fold_multi() -> dict[str, str]:
-    """Common characters that decompose to several ASCII characters (ligatures, ellipsis, fractions)."""
-    out = {}
-    for low, high in ((0xA0, 0x250), (0x2000, 0x2070), (0x2100, 0x2150), (0xFB00, 0xFB07)):
-        for code in range(low, high):
-            ascii_form = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
-            if len(ascii_form) > 1:
-                out[chr(code)] = ascii_form
-    return out
+    """The characters with a longer ASCII form (ligatures, units, fractions, numbers in circles)."""
+    return {ch: form for ch, form in ascii_forms().items() if len(form) > 1}
 
 
 def strip(c: Column | str) -> Column:
@@ -60,8 +59,10 @@ def fold_ascii(c: Column | str) -> Column:
         return F.regexp_replace(F.translate(x, src, dst), r"[^\x00-\x7F]+", "")
 
     def expand(x: Column) -> Column:
-        pairs = F.expr("array(" + ", ".join(f"struct('{ch}' AS a, '{out}' AS b)" for ch, out in multi.items()) + ")")
-        return F.aggregate(pairs, x, lambda acc, p: F.replace(acc, p["a"], p["b"]))
+        # one literal that Spark folds into a table
+        listed = "\x01".join(f"{ch}\x02{form}" for ch, form in multi.items())
+        pairs = F.map_entries(F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02")))
+        return F.aggregate(pairs, x, lambda acc, p: F.replace(acc, p["key"], p["value"]))
 
     return (
         F.when(~c.rlike(r"[^\x00-\x7F]"), c)

@@ -13,19 +13,18 @@ from cohortloom.functions.text import split_terms
 from cohortloom.session import cut_lineage
 
 Vocabulary = dict[str, list[str | None]]
-MAX_CLASSES = 5000
 
 
 def fit_vocabulary(
     df: DataFrame, onehot: Sequence[str] = (), multilabel: Sequence[str] = (), delimiter: str = ",",
-    max_classes: int = MAX_CLASSES, normalise: Mapping[str, Column] | None = None,
+    max_classes: int | None = None, normalise: Mapping[str, Column] | None = None,
 ) -> Vocabulary:
     """Sorted classes of all encoded columns from one pass over the rows.
 
     The pass reduces the rows to distinct (column, text) pairs; `normalise` (an expression
     over the column itself) and the splitting run on the distinct texts only. Only classes
-    reach the driver. A column with more than max_classes of them is refused: it is free
-    text, not a category.
+    reach the driver. A caller that wants no wide table can set max_classes: a column with
+    more of them is then refused, never cut.
     """
     names = list(dict.fromkeys([*onehot, *multilabel]))
     if not names:
@@ -44,8 +43,10 @@ def fit_vocabulary(
     seen = parts.distinct()
     # one action; a column with too many classes sends one class more than allowed, not all
     first = Window.partitionBy("c").orderBy("v")
-    rows = seen.withColumn("r", F.row_number().over(first)).where(F.col("r") <= max_classes + 1).collect()
-    wide = sorted({r["c"] for r in rows if r["r"] > max_classes})
+    if max_classes is not None:
+        seen = seen.withColumn("r", F.row_number().over(first)).where(F.col("r") <= max_classes + 1)
+    rows = seen.collect()
+    wide = sorted({r["c"] for r in rows if max_classes is not None and r["r"] > max_classes})
     if wide:
         raise ValueError(f"too many classes to encode: {wide}")
     vocabulary: Vocabulary = {c: [] for c in (*onehot, *multilabel)}
@@ -110,13 +111,29 @@ def encode_label(df: DataFrame, column: str) -> DataFrame:
 
 
 # Other names of the severity columns.
-_LEVELS = ("low", "moderate", "medium", "high")
 SCORE_ALIASES = {
-    f"score_{part}_{name}": f"severity_score_{name}_{part}"
-    for part in ("proc", "dx", "proc_ant")
-    for name in (*[f"{x}_severity" for x in _LEVELS], "critical")
+    "score_proc_low_severity": "severity_score_low_severity_proc",
+    "score_proc_moderate_severity": "severity_score_moderate_severity_proc",
+    "score_proc_medium_severity": "severity_score_medium_severity_proc",
+    "score_proc_high_severity": "severity_score_high_severity_proc",
+    "score_proc_critical": "severity_score_critical_proc",
+    "score_dx_low_severity": "severity_score_low_severity_dx",
+    "score_dx_moderate_severity": "severity_score_moderate_severity_dx",
+    "score_dx_medium_severity": "severity_score_medium_severity_dx",
+    "score_dx_high_severity": "severity_score_high_severity_dx",
+    "score_dx_critical": "severity_score_critical_dx",
+    "score_proc_ant_low_severity": "severity_score_low_severity_proc_ant",
+    "score_proc_ant_moderate_severity": "severity_score_moderate_severity_proc_ant",
+    "score_proc_ant_medium_severity": "severity_score_medium_severity_proc_ant",
+    "score_proc_ant_high_severity": "severity_score_high_severity_proc_ant",
+    "score_proc_ant_critical": "severity_score_critical_proc_ant",
+}
+# Other names of the label columns.
+LABEL_ALIASES = {
+    "predicted_label_proc_encoded": "severity_ordinal_proc",
+    "predicted_label_dx_encoded": "severity_ordinal_dx",
+    "predicted_label_proc_ant_encoded": "severity_ordinal_proc_ant",
 }
-LABEL_ALIASES = {f"predicted_label_{p}_encoded": f"severity_ordinal_{p}" for p in ("proc", "dx", "proc_ant")}
 
 
 def resolve_feature_columns(

@@ -353,7 +353,7 @@ def flag_summary(df: DataFrame, flags: Sequence[str], target: str = "target") ->
 
 def flag_count_distribution(df: DataFrame, flags: Sequence[str], target: str = "target") -> DataFrame:
     """(target, n_flags, n): how many rows of each class carry how many flags."""
-    total = sum((col(f) for f in flags[1:]), col(flags[0]))
+    total = sum((set_or_not(f) for f in flags[1:]), set_or_not(flags[0]))
     return df.select(col(target).alias("target"), total.alias("n_flags")).groupBy("target", "n_flags").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -361,23 +361,24 @@ def flag_count_distribution(df: DataFrame, flags: Sequence[str], target: str = "
 
 def flag_count_summary(df: DataFrame, flags: Sequence[str], target: str = "target") -> DataFrame:
     """Mean and quartiles of the number of flags by class (at most len(flags) distinct values)."""
-    total = sum((col(f) for f in flags[1:]), col(flags[0]))
+    total = sum((set_or_not(f) for f in flags[1:]), set_or_not(flags[0]))
     return df.select(col(target).alias("target"), total.alias("v")).groupBy("target").agg(
         F.avg("v").alias("mean"),
         *[F.percentile("v", F.lit(p)).alias(n) for n, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75))],
     )
 
 
+def set_or_not(flag: str) -> Column:
+    return F.coalesce(col(flag), F.lit(0)).cast("bigint")
+
+
 def _pair_sums(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """(flag1, flag2, n, s1, s2, s12) for unordered pairs and the diagonal.
 
-    Rows are first counted per pattern of flags, packed into one number; the sums of
-    products then run over the patterns that occur, not over the rows.
+    Rows are first counted per pattern of flags (a null flag is not set); the sums of products
+    then run over the patterns that occur, not over the rows.
     """
-    packed = sum((F.shiftleft(col(f).cast("bigint"), i) for i, f in enumerate(flags)), F.lit(0).cast("bigint"))
-    patterns = df.select(packed.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("w"))
-    bits = {f: F.shiftright("p", i).bitwiseAND(1) for i, f in enumerate(flags)}
-    unpacked = patterns.select("w", *[b.alias(f) for f, b in bits.items()])
+    unpacked = df.select(*[set_or_not(f).alias(f) for f in flags]).groupBy(*[f"`{f}`" for f in flags]).agg(F.count(F.lit(1)).alias("w"))
     pairs = [*combinations(flags, 2), *[(f, f) for f in flags]]
     cells = F.array(*[F.struct(F.lit(a).alias("flag1"), F.lit(b).alias("flag2"), col(a).alias("x"), col(b).alias("y")) for a, b in pairs])
     long = unpacked.select("w", F.explode(cells).alias("c")).select("w", "c.*")

@@ -20,11 +20,12 @@ def in_list(values) -> str:
 
 
 # ---- text -----------------------------------------------------------------------------
+# the accented letters of the tables and their plain forms, written out; other signs are dropped
+FOLDED = ("ÄÇÈÉÊÍÑÓÖÜäçèéêíñóöüáúÁÚ", "ACEEEINOOUaceeeinoouauAU")
+
+
 def fold_sql(e: str) -> str:
-    for ch, out in text.ascii_fold_multi().items():
-        e = f"replace({e}, {lit(ch)}, {lit(out)})"
-    src, dst = text.ascii_fold_map()
-    return f"regexp_replace(translate({e}, {lit(src)}, {lit(dst)}), '[^\\x00-\\x7F]+', '', 'g')"
+    return f"regexp_replace(translate({e}, '{FOLDED[0]}', '{FOLDED[1]}'), '[^\\x00-\\x7F]+', '', 'g')"
 
 
 def std_sql(e: str, letters: bool = True, keep: str = "", rep: str = "") -> str:
