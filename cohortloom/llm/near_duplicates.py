@@ -9,12 +9,12 @@ Jaccard similarity). BANDS bands of ROWS registers make candidates; two texts ar
 probability Jaccard, or that of the plain sets, is at least THRESHOLD, both computed exactly.
 
 Classes are the connected components of the links. Equal texts are one node. A bucket is never
-expanded into all pairs: each member is first compared with one member of its buckets (the leader it
-shares most bands with; leaders differ from band to band), and components are formed. Only members
-of different components that still share a bucket are then compared pair by pair, where the
-signatures allow the similarity at all (MIN_ESTIMATE lies 3.8 standard errors below it), so no link
-inside the buckets is lost. While there are many such pairs, more rounds with other leaders go
-first. A pair at the threshold shares no bucket with probability 7e-5.
+expanded into all pairs: each member is first compared with the LEADERS leaders that it shares most
+bands with (a bucket has MASKS of them, which differ from band to band), and components are formed.
+Only members of different components that still share a bucket are then compared pair by pair, once
+for all their bands, where REGISTERS registers allow the similarity at all: MIN_ESTIMATE lies 3.2
+standard errors below it, so a pair exactly at the threshold is passed over with probability 7e-4,
+and one at 0.85 with 1e-8. A pair at the threshold shares no bucket with probability 7e-5.
 
 Edge cases: null is the empty text; texts without words are alike only if they are equal; null ids
 rank last; rows that repeat id and text belong to one class, and one of them is kept.
@@ -33,7 +33,11 @@ from cohortloom.llm.common import Words, batch_of, fresh, mix, text_chunks, writ
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-MIN_ESTIMATE = 0.66
+#: Registers of a signature; the bands take the first ones.
+REGISTERS = 256
+MIN_ESTIMATE = 0.72
+#: Leaders of a bucket, and how many of its buckets' leaders a text is compared with.
+MASKS, LEADERS = 3, 2
 LAST = (1 << 63) - 1
 
 
@@ -60,7 +64,7 @@ def weights(times: np.ndarray) -> np.ndarray:
     return 1 + np.log(times)
 
 
-def signatures(n: int, text: np.ndarray, hashes: np.ndarray, weight: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
+def signatures(n: int, text: np.ndarray, hashes: np.ndarray, weight: np.ndarray, size: int = REGISTERS) -> np.ndarray:
     """n x size marks. Round k takes the k-th arrival of every shingle that can still come early."""
     earliest = np.full(n * size, np.inf)
     marks = np.zeros(n * size, np.uint32)
@@ -124,7 +128,7 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
     return out
 
 
-SIGNED = pa.schema([("doc", pa.int64()), ("hash1", pa.int64()), ("hash2", pa.int64()), ("signature", pa.list_(pa.int32())), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("doc", pa.int64()), ("hash1", pa.int64()), ("hash2", pa.int64()), ("signature", pa.list_(pa.int16())), ("bands", pa.list_(pa.int64()))])
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,10 +139,10 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.flatnonzero(words.counts > 0)
             place = np.cumsum(words.counts > 0) - 1
             marks = signatures(len(own), place[text], hashes, weights(times))
-            keys = band_keys(marks).view(np.int64)
+            keys = band_keys(marks[:, : BANDS * ROWS]).view(np.int64)
             offsets = np.concatenate(([0], np.cumsum(words.counts > 0)))
             lists = lambda x, k: pa.ListArray.from_arrays(pa.array((offsets * k).astype(np.int32)), pa.array(x.ravel()))
-            yield batch_of(SIGNED, doc=part.column(0), hash1=part.column(1), hash2=part.column(2), signature=lists(marks.view(np.int32), BANDS * ROWS), bands=lists(keys, BANDS))
+            yield batch_of(SIGNED, doc=part.column(0), hash1=part.column(1), hash2=part.column(2), signature=lists((marks & np.uint32(0xFFFF)).astype(np.uint16).view(np.int16), REGISTERS), bands=lists(keys, BANDS))
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -182,37 +186,36 @@ class Texts:
         return written(joined.mapInArrow(lambda it, t=self.threshold: verify(it, t), "a long, b long"), "links")
 
 
-def leaders(buckets: DataFrame, salt: int) -> DataFrame:
-    """(a, b): each node with the leader that it shares most buckets with. A bucket's leader is the
-    least of its nodes under a mask that differs by band and salt."""
-    mask = F.xxhash64("band", F.lit(salt))
-    head = buckets.groupBy("band", "key").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("masked"))
-    pairs = buckets.join(head, ["band", "key"]).select(F.col("node").alias("a"), F.col("component"), F.col("masked").bitwiseXOR(mask).alias("b"))
-    counted = pairs.where("a != b").groupBy("a", "b").agg(F.count("*").alias("n"))
-    # the count and a hash in one number, so that the choice is a plain maximum
-    best = counted.withColumn("order", F.col("n") * F.lit(1 << 32) + F.pmod(F.xxhash64("a", "b"), F.lit(1 << 32)))
-    top = best.groupBy("a").agg(F.max("order").alias("order"))
-    return best.join(top, ["a", "order"]).select("a", "b")
+def leaders(buckets: DataFrame, masks: int = MASKS, chosen: int = LEADERS) -> DataFrame:
+    """(a, b): each node with the leaders that it shares most buckets with. A bucket's leaders are
+    the least of its nodes under masks that differ by band."""
+    mask = [F.xxhash64("band", F.lit(m)) for m in range(masks)]
+    head = buckets.groupBy("band", "key").agg(*[F.min(F.col("node").bitwiseXOR(m)).alias(f"m{i}") for i, m in enumerate(mask)])
+    found = F.array_distinct(F.array(*[F.col(f"m{i}").bitwiseXOR(m) for i, m in enumerate(mask)]))
+    pairs = buckets.join(head, ["band", "key"]).select(F.col("node").alias("a"), F.explode(found).alias("b")).where("a != b")
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("a").orderBy(F.desc("n"), F.xxhash64("a", "b"), "b")
+    return counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= chosen).select("a", "b")
 
 
-def still_apart(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+def apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """The buckets' nodes with their components, where a bucket holds more than one component."""
-    if labels is None:
-        placed = buckets.withColumn("component", F.col("node"))
-    else:
-        placed = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "key")
     return placed.join(mixed, ["band", "key"])
 
 
-def open_pairs(apart: DataFrame) -> int:
-    """Pairs of nodes of different components in all buckets."""
-    parts = apart.groupBy("band", "key", "component").agg(F.count("*").cast("double").alias("n"))
-    sums = parts.groupBy("band", "key").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q"))
-    return int(sums.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0))).first()[0])
+def open_pairs(members: DataFrame, marks: DataFrame) -> DataFrame:
+    """(a, b) of different components that share a bucket and may be similar, in their first one."""
+    side = lambda s: members.join(marks, "node").select("band", "key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "signature", "bands")])
+    # comparisons from cheap to dear: components, the first band in common, the signatures
+    shared = F.array_position(F.zip_with("a_bands", "b_bands", lambda x, y: x == y), F.lit(True)) == F.col("band") + 1
+    equal = F.aggregate(F.zip_with("a_signature", "b_signature", lambda x, y: x == y), F.lit(0), lambda s, x: s + x.cast("int"))
+    near = F.when(F.col("a_component") < F.col("b_component"), F.when(shared, equal >= int(MIN_ESTIMATE * REGISTERS)))
+    return side("a").join(side("b"), ["band", "key"]).where((F.col("a_component") < F.col("b_component")) & near).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD, rounds: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """A row per document: doc_id, class_id (the least id of its class), class_size, keep (one
     document of each class), and the hashes of its text."""
     text = F.coalesce(F.col(text_column), F.lit(""))
@@ -222,32 +225,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.xxhash64(F.lit("second"), text).alias("hash2"),
         text.alias("text"),
     )
-    signed = keyed.mapInArrow(sign, "doc long, hash1 long, hash2 long, signature array<int>, bands array<long>")
+    signed = keyed.mapInArrow(sign, "doc long, hash1 long, hash2 long, signature array<short>, bands array<long>")
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
-    same = signed.groupBy("hash1", "hash2").agg(F.min("row").alias("node"), F.min("doc").alias("least"))
-    nodes = signed.join(same.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "doc", "hash1", "hash2", "signature", "bands")
-    nodes = written(nodes, "nodes")
-    every = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    same = signed.groupBy("hash1", "hash2").agg(F.min("row").alias("node"))
+    every = signed.join(same.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "key"))
+    every = written(every, "bands")
     shared = every.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
     buckets = written(every.join(shared, ["band", "key"]), "buckets")
-    wanted = nodes.join(buckets.select("node").distinct(), "node").select("node", "doc", "hash1", "hash2")
-    found = keyed.join(wanted, ["doc", "hash1", "hash2"]).select("node", "text").dropDuplicates(["node"])
+    wanted = signed.join(buckets.select(F.col("node").alias("row")).distinct(), "row")
+    wanted = written(wanted.withColumnRenamed("row", "node"), "marks")
+    found = keyed.join(wanted.select("node", "doc", "hash1", "hash2"), ["doc", "hash1", "hash2"]).select("node", "text").dropDuplicates(["node"])
     texts = Texts(written(found, "texts"), threshold)
-    links, labels, apart = None, None, buckets.withColumn("component", F.col("node"))
-    for salt in range(rounds):
-        new = texts.links(leaders(apart, salt))
-        links = new if links is None else links.union(new)
-        labels = components(links)
-        apart = written(still_apart(buckets, labels), "apart")
-        if open_pairs(apart) <= 200_000 or new.isEmpty():
-            break
-    marks = nodes.select("node", "signature")
-    side = lambda s: apart.join(marks, "node").select("band", "key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "signature")])
-    equal = F.aggregate(F.zip_with("a_signature", "b_signature", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    rest = side("a").join(side("b"), ["band", "key"]).where((F.col("a_component") < F.col("b_component")) & (equal >= int(MIN_ESTIMATE * BANDS * ROWS)))
-    last = texts.links(rest.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())
-    if not last.isEmpty():
-        labels = components(links.union(last))
+    links = texts.links(leaders(buckets))
+    labels = components(links)
+    rest = open_pairs(apart(buckets, labels), wanted.select("node", "signature", "bands"))
+    more = texts.links(rest)
+    if not more.isEmpty():
+        labels = components(links.union(more))
     member = signed.select("row", "doc", "hash1", "hash2").join(same.select("hash1", "hash2", "node"), ["hash1", "hash2"])
     member = member.join(labels, "node", "left").select("row", "doc", "hash1", "hash2", F.coalesce("component", "node").alias("component"))
     member = written(member, "members")
