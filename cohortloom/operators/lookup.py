@@ -11,6 +11,7 @@ from cohortloom.functions.numeric import col
 from cohortloom.functions.text import strip, words
 from cohortloom.operators.joins import left_lookup
 from cohortloom.operators.setops import upsert_keep_last
+from cohortloom.session import cut_lineage
 
 Resolver = Callable[[DataFrame], DataFrame]
 
@@ -45,12 +46,13 @@ def lookup_with_cache(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with the looked-up columns, and the cache with the newly resolved keys.
 
-    Distinct keys that the cache lacks go to the resolver; the union is joined back.
+    Distinct keys that the cache lacks go to the resolver, once: what it finds is written before it
+    is joined back and handed out. A key that the cache holds twice counts once.
     """
     keyed = df.withColumn("_key", lookup_key(column))
     wanted = keyed.select(F.col("_key").alias("key")).where("key IS NOT NULL").distinct()
-    known = cache.select("key", *columns)
-    found = resolver(wanted.join(known.select("key"), "key", "left_anti"))
+    known = cache.select("key", *columns).dropDuplicates(["key"])
+    found = cut_lineage(resolver(wanted.join(known.select("key"), "key", "left_anti")).dropDuplicates(["key"]))
     grown = known.unionByName(found.select("key", *columns))
     return left_lookup(keyed, grown, "_key", row_key, "key").drop("_key"), grown
 
@@ -121,31 +123,28 @@ SEVERITY_WORDS = {
 LABEL_SCHEMA = "text string, model string, predicted_label string, predicted_score double, all_labels array<string>, all_scores array<double>"
 
 
-def keyword_labeller(model: str = "keywords", words_of=None, labels=None) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Deterministic batch labeller with the output shape of a text classifier."""
+def keyword_labeller(model: str = "keywords", words_of=None, labels=None) -> Resolver:
+    """Deterministic labeller with the output shape of a text classifier; a model that needs
+    Python batches comes as batch_resolver(function, LABEL_SCHEMA)."""
     words_of, labels = words_of or SEVERITY_WORDS, labels or SEVERITY_LABELS
 
-    def label(frame: pd.DataFrame) -> pd.DataFrame:
-        lowered = frame["text"].str.lower()
-        best = pd.Series("medium severity", index=frame.index)
+    def label(texts: DataFrame) -> DataFrame:
+        best = F.lit("medium severity")
         for name, keys in reversed(words_of.items()):
-            hit = lowered.str.contains("|".join(keys), regex=True)
-            best = best.mask(hit, name)
-        ranked = [[b, *[x for x in labels if x != b]] for b in best]
-        scores = [[0.6] + [0.1] * (len(labels) - 1)] * len(frame)
-        return pd.DataFrame(
-            {
-                "text": frame["text"], "model": model, "predicted_label": best, "predicted_score": 0.6,
-                "all_labels": ranked, "all_scores": scores,
-            }
+            best = F.when(F.lower("text").rlike("|".join(keys)), F.lit(name)).otherwise(best)
+        others = F.filter(F.array(*map(F.lit, labels)), lambda x: x != F.col("predicted_label"))
+        return texts.select("text", F.lit(model).alias("model"), best.alias("predicted_label")).select(
+            "text", "model", "predicted_label",
+            F.lit(0.6).alias("predicted_score"),
+            F.concat(F.array("predicted_label"), others).alias("all_labels"),
+            F.array(F.lit(0.6), *[F.lit(0.1)] * (len(labels) - 1)).alias("all_scores"),
         )
 
     return label
 
 
 def label_texts(
-    df: DataFrame, column: str, cache: DataFrame | None, labeller: Callable[[pd.DataFrame], pd.DataFrame],
-    model: str = "keywords",
+    df: DataFrame, column: str, cache: DataFrame | None, labeller: Resolver, model: str = "keywords",
 ) -> DataFrame:
     """One labelled row per distinct valid text and model; cached (hash, model) pairs are reused."""
     texts = (
@@ -157,9 +156,5 @@ def label_texts(
         done = cache.where(F.col("model") == model).select("text_hash")
         texts = texts.withColumn("text_hash", F.md5("text")).join(done, "text_hash", "left_anti").select("text")
 
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield labeller(frame)
-
-    new = texts.mapInPandas(batches, LABEL_SCHEMA).withColumn("text_hash", F.md5("text"))
+    new = labeller(texts).withColumn("text_hash", F.md5("text"))
     return new if cache is None else cache.unionByName(new)

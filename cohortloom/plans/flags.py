@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import any_flag, col, flag, to_number
 from cohortloom.functions.dates import duration_minutes
+from cohortloom.operators.ordered import exact_quantiles
 
 CANCEL_MARK = "C-CA por Médico"
 BLOOD_RESERVE_CODE = 912002
@@ -124,15 +125,12 @@ def durations() -> dict[str, Column]:
 def _tiempos(df: DataFrame, **_: object) -> dict[str, Column]:
     """Durations above their own 90th percentile.
 
-    Both percentiles come from one aggregate, held as a scalar subquery. Durations are
-    whole minutes, so the number of distinct values the aggregate keeps is small.
+    Both percentiles come from one histogram of the stacked durations, held as a scalar subquery.
     """
     spans = durations()
-    limits = (
-        df.select(*[c.alias(n) for n, c in spans.items()])
-        .agg(F.struct(*[F.percentile(n, F.lit(0.9)).alias(n) for n in spans]).alias("p"))
-        .scalar()
-    )
+    stacked = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), c.cast("double").alias("v")) for n, c in spans.items()])).alias("x"))
+    found = exact_quantiles(stacked.select("x.*"), "v", [0.9], by=["name"])
+    limits = found.agg(F.struct(*[F.max(F.when(F.col("name") == n, F.col("q0"))).alias(n) for n in spans]).alias("p")).scalar()
     return {n.replace("duracion", "flag_duracion").replace("minutos", "larga"): flag(col(n) > limits[n]) for n in spans}
 
 

@@ -373,11 +373,11 @@ ALL_PARTS = [
 
 
 @query(
-    "clean_all",
+    "clean_pipeline",
     f"SELECT p.k, {', '.join(ALL_PARTS)} FROM {ALL_SRC} WHERE v.\"Edad\" IS NULL OR v.\"Edad\" >= 18",
     needs=("vitals_v", "prior_v", "allergy_v"),
 )
-def clean_all(spark, sf):
+def clean_pipeline(spark, sf):
     out, _ = clean.clean_all(fx.preop(spark, sf), "k")
     exams = [c for c in out.columns if c.startswith("Examen_")]
     return out.withColumns({c: r6(c) for c in [*VITAL_OUT, *exams, "Hora_decimal"]})

@@ -8,8 +8,9 @@ from cohortloom.functions.numeric import col, round_half_up as r6
 from cohortloom.operators import joins, lookup, setops
 from cohortloom.plans import flags, target
 from cohortloom.queries.base import query, r
+from cohortloom.queries.projections import scratch
 from cohortloom.queries.targets import VERSION_SQL
-from cohortloom.sources.tables import KEY, KEY_ALIAS
+from cohortloom.sources.tables import KEY, KEY_ALIAS, write_parquet
 
 
 @query(
@@ -80,9 +81,11 @@ def lookup_with_cache(spark, sf):
     codes = spark.sql(f"SELECT * FROM ({MED_CODES}) AS c(key, atc, name)")
     cache = spark.sql("SELECT 'aspirina' AS key, 'B01AC06' AS atc, 'aspirin low dose' AS name")
     rows = fx.preop(spark, sf).select("k", "Nombre del medicamento")
-    out, _ = lookup.lookup_with_cache(
-        rows, "Nombre del medicamento", "k", cache, lookup.table_resolver(codes, "key", ["atc", "name"]), ["atc", "name"]
-    )
+    columns = ["atc", "name"]
+    _, grown = lookup.lookup_with_cache(rows, "Nombre del medicamento", "k", cache, lookup.table_resolver(codes, "key", columns), columns)
+    stored = spark.read.parquet(write_parquet(grown, scratch(spark, "drug-cache")))
+    # the second run finds every key in the stored cache and asks a resolver that knows nothing
+    out, _ = lookup.lookup_with_cache(rows, "Nombre del medicamento", "k", stored, lookup.table_resolver(codes.limit(0), "key", columns), columns)
     return out.select("k", "atc", "name")
 
 

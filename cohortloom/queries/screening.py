@@ -142,12 +142,14 @@ WITH h AS (SELECT feature, value, sum(y_true) AS pos, sum(1 - y_true) AS neg FRO
 c AS (SELECT *, sum(neg) OVER (PARTITION BY feature ORDER BY value) AS cn, (pos + neg)::DOUBLE AS t FROM h),
 s AS (SELECT feature, sum(neg)::DOUBLE AS n0, sum(pos)::DOUBLE AS n1, sum(pos * (cn - neg / 2.0)) AS u1, sum(t * t * t - t) AS ties, sum(neg * value) / sum(neg) AS mean0, sum(pos * value) / sum(pos) AS mean1 FROM c GROUP BY feature)
 SELECT feature, n0::BIGINT AS n0, n1::BIGINT AS n1, {r('u1 / (n0 * n1)')} AS auc, {r('n0 * n1 - u1')} AS u, {r('mean0')} AS mean0, {r('mean1')} AS mean1,
- {r('greatest(abs(n0 * n1 / 2 - u1) - 0.5, 0) / sqrt(n0 * n1 / 12 * (n0 + n1 + 1 - ties / ((n0 + n1) * (n0 + n1 - 1))))')} AS z FROM s""",
+ {r('z')} AS z, {r('((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t * exp(-z * z / 2)', 4)} AS p_value
+FROM (SELECT *, 1 / (1 + 0.3275911 * z / sqrt(2)) AS t FROM (SELECT *,
+ greatest(abs(n0 * n1 / 2 - u1) - 0.5, 0) / sqrt(n0 * n1 / 12 * (n0 + n1 + 1 - ties / ((n0 + n1) * (n0 + n1 - 1)))) AS z FROM s))""",
     needs=("uni_long",),
 )
 def univariate_auc_mwu(spark, sf):
-    out = screen.univariate_tests(fx.scored(spark, sf), UNI, "y_true")
-    return rounded(out, "auc", "u", "mean0", "mean1", "z")
+    out = screen.with_p_value(screen.univariate_tests(fx.scored(spark, sf), UNI, "y_true"))
+    return rounded(out, "auc", "u", "mean0", "mean1", "z").withColumn("p_value", r6("p_value", 4))
 
 
 # ---- sampling -------------------------------------------------------------------------------
@@ -257,12 +259,12 @@ def anomaly_contrast(spark, sf):
 
 
 # ---- learners for screening -------------------------------------------------------------------
-SMALL = {"numTrees": 20, "maxDepth": 6}
+#: The depth at which a forest on these few features stops to gain; the trees are the preset's.
+SMALL = {"maxDepth": 8}
 
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    """Twenty trees here; the preset has three hundred."""
     return unsup.forest_importance(fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=SMALL))
 
 
@@ -275,7 +277,7 @@ def feature_ranking(spark, sf):
 @query("feature_stability")
 def feature_stability(spark, sf):
     return unsup.feature_stability(
-        fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params={"numTrees": 5, "maxDepth": 4}), top_k=3
+        fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=SMALL), top_k=3
     )
 
 
@@ -292,7 +294,7 @@ def kmeans_profile(spark, sf):
         col(KEY_ALIAS).alias(KEY), "target", *CLUSTER_FLAGS
     )
     pre = fx.preop(spark, sf).select(col(KEY), "Edad", "Talla (cm)")
-    return unsup.kmeans_profile(df, CLUSTER_FLAGS, "target", pre, KEY, ["Edad", "Talla (cm)"], k=5, seeds=range(3))
+    return unsup.kmeans_profile(df, CLUSTER_FLAGS, "target", pre, KEY, ["Edad", "Talla (cm)"], k=5, seeds=range(20))
 
 
 @query("pca_project")
@@ -305,7 +307,7 @@ def pca_project(spark, sf):
 @query("isolation_forest")
 def isolation_forest(spark, sf):
     vectors = unsup.embedding_vectors(fx.table(spark, sf, "embeddings"), "embedding")
-    return unsup.isolation_forest(vectors, "vec_id", trees=50, contamination=0.1)
+    return unsup.isolation_forest(vectors, "vec_id", trees=100, contamination=0.1)
 
 
 @query("local_outlier_factor")

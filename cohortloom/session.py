@@ -44,7 +44,8 @@ def local_session(cpus: str = "*", app: str = "cohortloom", shuffle_partitions:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in spark.checkpoint.dir.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is used.
+    Only where the setting is absent and everything runs on this machine, a temporary folder is
+    used. On a cluster such a folder would be another one on each executor, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -52,6 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix="cohortloom-")
 
 

@@ -36,26 +36,32 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def landed(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has ended: it holds Spark's success mark."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
+        return not spark.read.format("binaryFile").load(f"{path}/_SUCCESS").isEmpty()
     except AnalysisException:
         return False
 
 
 def land_pair(
-    spark: SparkSession, preop: DataFrame | str, postop: DataFrame | str, out_dir: str
+    spark: SparkSession, preop: DataFrame | str, postop: DataFrame | str, out_dir: str,
+    schemas: tuple[T.StructType | None, T.StructType | None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write both raw tables once; later calls read the landed copies.
 
-    The long key name of the postop table is shortened here, once.
+    A copy counts as landed when its write has ended; a half-written one is written again. CSV
+    files are read as texts and then take the given schema (preop: RAW_SCHEMA by default; columns
+    it doesn't name stay). The long key name of the postop table is shortened here, once.
     """
     out = []
-    for name, source in (("preop_raw", preop), ("postop_raw", postop)):
+    for name, source, schema in zip(("preop_raw", "postop_raw"), (preop, postop), schemas or (RAW_SCHEMA, None)):
         path = f"{out_dir}/{name}.parquet"
-        if not _exists(spark, path):
+        if not landed(spark, path):
             df = spark.read.csv(source, header=True) if isinstance(source, str) else source
+            if isinstance(source, str) and schema is not None:
+                kinds = {f.name: f.dataType for f in schema}
+                df = df.select(*[col(c).try_cast(kinds[c]).alias(c) if c in kinds else col(c) for c in df.columns])
             if KEY_ALIAS in df.columns and KEY not in df.columns:
                 df = df.withColumnRenamed(KEY_ALIAS, KEY)
             write_parquet(df, path)

@@ -6,7 +6,7 @@ from cohortloom.queries import ORACLES, QUERIES
 from tools.check import TABLES, canon
 
 # the slowest ones are left to tools/check.py, which runs every query
-SLOW = {"clean_all", "clean_dx_procedures", "pre_post_linkage", "outlier_iqr"}
+SLOW = {"clean_pipeline", "clean_dx_procedures", "pre_post_linkage", "outlier_iqr"}
 
 
 @pytest.fixture(scope="module")
