@@ -38,6 +38,8 @@ TABLE = 1 << 16
 PER_LANGUAGE = 4_000
 #: Cost of a change of language, in nats of a word's mean n-gram log-likelihood.
 PENALTY = 12.0
+#: Bytes of text labelled at once: many texts share the steps of the dynamic programme.
+CHUNK = 3 << 19
 #: A language is a candidate for a script that holds at least this share of its training letters.
 SCRIPT_SHARE = 0.01
 
@@ -292,7 +294,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY, id_column:
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_chunks(batch, 4 << 20):
+            for part in text_chunks(batch, CHUNK):
                 names, values, spans = label_texts(part.column(1).to_pylist(), shared.value, penalty)
                 yield batch_of(RESULT, doc_id=part.column(0), lang_pred=names, score=values, spans=spans)
 
@@ -306,7 +308,7 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float, penalty: fl
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_chunks(batch, 4 << 20, text_column):
+            for part in text_chunks(batch, CHUNK, text_column):
                 names, values, _ = label_texts(part.column(at).to_pylist(), shared.value, penalty)
                 yield part.filter(pa.array([n != UNKNOWN and v >= min_score for n, v in zip(names, values)]))
 

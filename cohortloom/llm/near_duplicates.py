@@ -10,7 +10,7 @@ probability Jaccard, or that of the plain sets, is at least THRESHOLD, both comp
 
 Classes are the connected components of the links. Equal texts are one node. A bucket is never
 expanded into all pairs: each member is first compared with the LEADERS leaders that it shares most
-bands with (a bucket has MASKS of them, which differ from band to band), and components are formed.
+bands with (a bucket's centre and MASKS random ones), and components are formed.
 Only members of different components that still share a bucket are then compared pair by pair, once
 for all their bands, where REGISTERS registers allow the similarity at all: MIN_ESTIMATE lies 3.2
 standard errors below it, so a pair exactly at the threshold is passed over with probability 7e-4,
@@ -36,8 +36,8 @@ BANDS, ROWS = 24, 5
 #: Registers of a signature; the bands take the first ones.
 REGISTERS = 256
 MIN_ESTIMATE = 0.72
-#: Leaders of a bucket, and how many of its buckets' leaders a text is compared with.
-MASKS, LEADERS = 3, 2
+#: Random leaders of a bucket besides its centre, and how many of its buckets' leaders a text is compared with.
+MASKS, LEADERS = 1, 2
 LAST = (1 << 63) - 1
 
 
@@ -188,10 +188,14 @@ class Texts:
 
 def leaders(buckets: DataFrame, masks: int = MASKS, chosen: int = LEADERS) -> DataFrame:
     """(a, b): each node with the leaders that it shares most buckets with. A bucket's leaders are
-    the least of its nodes under masks that differ by band."""
+    its most central node, the one with most companions in all its buckets, and the least of its
+    nodes under masks that differ by band."""
+    central = buckets.groupBy("node").agg((F.sum("n") * F.lit(1 << 20) + F.pmod(F.xxhash64("node"), F.lit(1 << 20))).alias("weight"))
     mask = [F.xxhash64("band", F.lit(m)) for m in range(masks)]
-    head = buckets.groupBy("band", "key").agg(*[F.min(F.col("node").bitwiseXOR(m)).alias(f"m{i}") for i, m in enumerate(mask)])
-    found = F.array_distinct(F.array(*[F.col(f"m{i}").bitwiseXOR(m) for i, m in enumerate(mask)]))
+    head = buckets.join(central, "node").groupBy("band", "key").agg(
+        F.max_by("node", "weight").alias("centre"), *[F.min(F.col("node").bitwiseXOR(m)).alias(f"m{i}") for i, m in enumerate(mask)]
+    )
+    found = F.array_distinct(F.array("centre", *[F.col(f"m{i}").bitwiseXOR(m) for i, m in enumerate(mask)]))
     pairs = buckets.join(head, ["band", "key"]).select(F.col("node").alias("a"), F.explode(found).alias("b")).where("a != b")
     counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
     order = Window.partitionBy("a").orderBy(F.desc("n"), F.xxhash64("a", "b"), "b")
@@ -230,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     same = signed.groupBy("hash1", "hash2").agg(F.min("row").alias("node"))
     every = signed.join(same.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "key"))
     every = written(every, "bands")
-    shared = every.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
+    shared = every.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = written(every.join(shared, ["band", "key"]), "buckets")
     wanted = signed.join(buckets.select(F.col("node").alias("row")).distinct(), "row")
     wanted = written(wanted.withColumnRenamed("row", "node"), "marks")
