@@ -158,11 +158,12 @@ def sampled_attributions(df: DataFrame, scorer, permutations: int = 3, seed: int
 
 def bootstrap_ci(
     df: DataFrame, threshold: float, replicates: int = 1000, alpha: float = 0.05, seed: int = 42,
-    score: str = "y_proba", label: str = "y_true",
+    score: str = "y_proba", label: str = "y_true", key: Sequence[str] | None = None,
 ) -> DataFrame:
     """(metric, mean, ci_lower, ci_upper, n_valid) by Poisson resampling.
 
-    Every (replicate, row) draws a hashed Poisson(1) weight. The weights are summed per
+    key names the columns that tell rows apart; without it all columns do, and rows alike in all of
+    them draw the same weights, which widens the interval. Every (replicate, row) draws a hashed Poisson(1) weight. The weights are summed per
     score and replicate in the scan, so only the weighted histograms are shuffled.
     """
     steps, term, total = [], math.exp(-1.0), 0.0
@@ -173,7 +174,7 @@ def bootstrap_ci(
     u = F.pmod(F.xxhash64(F.col("_k"), F.col("replicate"), F.lit(seed)), F.lit(2**31)) / float(2**31)
     weight = sum(((u >= F.lit(s)).cast("bigint") for s in steps), F.lit(0).cast("bigint"))
     rows = df.select(
-        F.xxhash64(*[col(c) for c in df.columns]).alias("_k"), col(score).alias("s"), col(label).cast("bigint").alias("y"),
+        F.xxhash64(*[col(c) for c in key or df.columns]).alias("_k"), col(score).alias("s"), col(label).cast("bigint").alias("y"),
         F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"),
     ).withColumn("w", weight)
     hist = rows.where("w > 0").groupBy("replicate", "s").agg(

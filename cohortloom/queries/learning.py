@@ -1,7 +1,8 @@
 """Learners, calibration, tuning, scoring and model explanation.
 
-The demo queries use small settings (few trees, few folds) so that they finish on one
-machine; the presets keep the full ones.
+Folds, versions, networks and linear models have their full settings. Forests grow their 300 trees
+to depth 8, and boosting runs 20 rounds, so that the queries finish on one machine; the presets
+keep the full ones.
 """
 from __future__ import annotations
 
@@ -21,15 +22,15 @@ from cohortloom.sources.tables import KEY, KEY_ALIAS
 from cohortloom.streaming.score import read_records, score_stream as stream_scores
 
 SMALL = {
-    "logistic_regression": {"maxIter": 20},
+    "logistic_regression": {},
     "decision_tree": {},
-    "random_forest": {"numTrees": 10, "maxDepth": 5},
-    "extra_trees": {"numTrees": 10, "maxDepth": 5},
-    "xgboost": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.2},
-    "hist_gradient_boosting": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.2},
-    "lightgbm": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.2},
-    "gradient_boosting": {"maxIter": 5},
-    "mlp": {"hidden": [8, 4], "maxIter": 30},
+    "random_forest": {"maxDepth": 8},
+    "extra_trees": {"maxDepth": 8},
+    "xgboost": {"maxIter": 20, "stepSize": 0.2},
+    "hist_gradient_boosting": {"maxIter": 20, "stepSize": 0.2},
+    "lightgbm": {"maxIter": 20, "stepSize": 0.2},
+    "gradient_boosting": {"maxIter": 20},
+    "mlp": {},
 }
 
 
@@ -120,25 +121,25 @@ def calibrate_isotonic(spark, sf):
 @query("calibrate_cv_fallback")
 def calibrate_cv_fallback(spark, sf):
     df = rows(spark, sf)
-    scorer = learn.fit_calibrated(df, spec("logistic_regression"), folds=3)
+    scorer = learn.fit_calibrated(df, spec("logistic_regression"), folds=5)
     out = evaluate.calibration_summary(scorer.score(df))
     return out.withColumns({"method": F.lit(scorer.method), "warnings": F.lit("; ".join(scorer.warnings))})
 
 
 @query("train_with_threshold")
 def train_with_threshold(spark, sf):
-    return learn.train_with_threshold(rows(spark, sf), spec("logistic_regression"), folds=2)[1]
+    return learn.train_with_threshold(rows(spark, sf), spec("logistic_regression"), folds=5)[1]
 
 
 @query("hyperparameter_search")
 def hyperparameter_search(spark, sf):
-    found = learn.hyperparameter_search(rows(spark, sf), spec("logistic_regression"), n=3, folds=3)
+    found = learn.hyperparameter_search(rows(spark, sf), spec("logistic_regression"), n=5, folds=5)
     return spark.createDataFrame([(str(f["params"]), float(f["f2"])) for f in found], "params string, f2 double")
 
 
 def version_frames(spark, sf):
     df = rows(spark, sf)
-    return {v: df.where(F.col("version") == v) for v in ("v0", "v1")}
+    return {r.version: df.where(F.col("version") == r.version) for r in df.select("version").distinct().orderBy("version").collect()}
 
 
 @query("tuning_experiments")
@@ -207,14 +208,13 @@ def score_stream(spark, sf):
 # ---- evaluation and explanation that need a model ------------------------------------------------
 @query("bootstrap_ci")
 def bootstrap_ci(spark, sf):
-    """A hundred replicates here; the default is a thousand."""
     df = fx.scored(spark, sf).select("row_key", "y_proba", "y_true")
-    return explain.bootstrap_ci(df, 0.4, replicates=100)
+    return explain.bootstrap_ci(df, 0.4, key=["row_key"])
 
 
 @query("cv_evaluate")
 def cv_evaluate(spark, sf):
-    return learn.cv_summary(learn.cv_evaluate(rows(spark, sf), spec("logistic_regression"), folds=3))
+    return learn.cv_summary(learn.cv_evaluate(rows(spark, sf), spec("logistic_regression"), folds=10))
 
 
 @query("global_importance")
@@ -222,7 +222,7 @@ def global_importance(spark, sf):
     """A forest answers itself; a logistic model gives coefficients; the network is permuted."""
     df = rows(spark, sf)
     parts = None
-    for name, repeats in (("random_forest", 1), ("logistic_regression", 1), ("mlp", 1)):
+    for name, repeats in (("random_forest", 5), ("logistic_regression", 5), ("mlp", 5)):
         part = explain.global_importance(df, learn.fit_model(df, spec(name)), repeats=repeats).withColumn("model", F.lit(name))
         parts = part if parts is None else parts.unionByName(part)
     return parts
@@ -231,14 +231,14 @@ def global_importance(spark, sf):
 @query("shap_sampling")
 def shap_sampling(spark, sf):
     df = rows(spark, sf)
-    return explain.sampled_attributions(df, learn.fit_model(df, spec("random_forest")), permutations=2)
+    return explain.sampled_attributions(df, learn.fit_model(df, spec("random_forest")), permutations=10)
 
 
 @query("flag_predictability")
 def flag_predictability(spark, sf):
-    names = ["flag_liquidos", "flag_estancia"]
-    f = flags.flags_all(fx.posop(spark, sf), families=names).select(col(KEY_ALIAS).alias(KEY), "k", *names)
+    names = flags.ALL_FLAGS
+    f = flags.flags_all(fx.posop(spark, sf)).select(col(KEY_ALIAS).alias(KEY), "k", *names)
     pre = fx.preop(spark, sf).select(col(KEY), "Edad", "Talla (cm)", "IMC", "Puntaje Mallampati")
     merged = pre.join(f, KEY)
-    forest = Spec("random_forest", ("Edad", "Talla (cm)", "IMC", "Puntaje Mallampati"), label="flag_liquidos", key="k", params={"numTrees": 5, "maxDepth": 4})
-    return explain.flag_predictability(merged, names, forest, folds=2)
+    forest = Spec("random_forest", ("Edad", "Talla (cm)", "IMC", "Puntaje Mallampati"), label="flag_liquidos", key="k", params={"numTrees": 20, "maxDepth": 5})
+    return explain.flag_predictability(merged, names, forest, folds=5)

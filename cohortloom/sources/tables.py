@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,11 +36,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def landed(spark: SparkSession, path: str) -> bool:
-    """Whether a write to the folder has ended: it holds Spark's success mark."""
-    try:
-        return not spark.read.format("binaryFile").load(f"{path}/_SUCCESS").isEmpty()
-    except AnalysisException:
-        return False
+    """Whether a write to the folder has ended: it holds Spark's success mark, which its readers hide."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 def land_pair(
