@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: a power of two
-BUCKETS = 64
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """A power of two, at least 64, that grows with the session's shuffle partitions."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(64, 1 << (4 * parts - 1).bit_length())
 
 
 def histogram(df: DataFrame, value: str, by: Sequence[str] = (), **sums: Column) -> DataFrame:
@@ -46,11 +50,11 @@ def running_totals(
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Adds cum_<s> (inclusive running sum in value order) and tot_<s> (group total)."""
     by = list(by)
-    h = _with_bucket(hist, value, by, buckets)
+    h = _with_bucket(hist, value, by, buckets or bucket_count(hist.sparkSession))
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
@@ -76,7 +80,12 @@ def exact_quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per group, columns n, q0, q1, ..."""
-    run = running_totals(histogram(df, value, by), value, ["w"], by)
+    return histogram_quantiles(histogram(df, value, by), value, probs, by)
+
+
+def histogram_quantiles(hist: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """The same from a histogram with its row counts in w."""
+    run = running_totals(hist, value, ["w"], by)
     n = F.col("tot_w")
     picks: list[Column] = [F.max(n).alias("n")]
     for i, p in enumerate(probs):

@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 
 from cohortloom.functions.numeric import col, ratio, width_bucket
 from cohortloom.functions.text import split_terms
-from cohortloom.operators.ordered import exact_quantiles, histogram
+from cohortloom.operators.ordered import exact_quantiles, histogram_quantiles
+from cohortloom.session import cut_lineage
 from cohortloom.sources.tables import KEY, KEY_ALIAS
 
 
@@ -103,20 +104,24 @@ def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     long = df.select(*[col(c).try_cast("double").alias(c) for c in columns]).unpivot(
         [], [f"`{c}`" for c in columns], "feature", "value"
     )
-    basic = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("value").isNull()).alias("nulls"),
+    # one histogram of distinct values, nulls among them, is written once; all else follows from it
+    hist = cut_lineage(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("w")))
+    known = F.col("value").isNotNull()
+    basic = hist.groupBy("feature").agg(
+        F.sum("w").alias("n"),
+        F.coalesce(F.sum(F.when(~known, F.col("w"))), F.lit(0)).alias("nulls"),
+        F.count("value").alias("uniques"),
         F.min("value").alias("min"),
-        F.avg("value").alias("mean"),
+        F.try_divide(F.sum(F.col("w") * F.col("value")), F.sum(F.when(known, F.col("w")))).alias("mean"),
         F.max("value").alias("max"),
-        F.stddev_samp("value").alias("std"),
     )
-    uniques = histogram(long, "value", ["feature"]).groupBy("feature").agg(F.count(F.lit(1)).alias("uniques"))
-    quart = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["feature"]).select(
+    spread = hist.where(known).join(basic.select("feature", "mean"), "feature").groupBy("feature").agg(
+        F.sqrt(F.try_divide(F.sum(F.col("w") * F.pow(F.col("value") - F.col("mean"), 2)), F.sum("w") - 1)).alias("std")
+    )
+    quart = histogram_quantiles(hist.where(known), "value", [0.25, 0.5, 0.75], ["feature"]).select(
         "feature", F.col("q0").alias("p25"), F.col("q1").alias("median"), F.col("q2").alias("p75")
     )
-    out = basic.join(uniques, "feature", "left").join(quart, "feature", "left")
-    return out.withColumn("uniques", F.coalesce("uniques", F.lit(0)))
+    return basic.join(spread, "feature", "left").join(quart, "feature", "left")
 
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int = 3) -> DataFrame:
@@ -124,7 +129,7 @@ def top_values(df: DataFrame, columns: Sequence[str], k: int = 3) -> DataFrame:
     long = df.select(*[col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], [f"`{c}`" for c in columns], "feature", "value"
     )
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("w"))
+    counts = cut_lineage(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("w")))
     shown = F.coalesce("value", F.lit("nan"))
     order = Window.partitionBy("feature").orderBy(F.desc("w"), shown)
     top = (
