@@ -133,7 +133,7 @@ SIGNED = pa.schema([("doc", pa.int64()), ("hash1", pa.int64()), ("hash2", pa.int
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in text_chunks(batch, 4 << 20):
+        for part in text_chunks(batch, 2 << 20):
             words = Words(part.column(3))
             text, hashes, times = shingles(words)
             own = np.flatnonzero(words.counts > 0)

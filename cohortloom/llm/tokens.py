@@ -14,7 +14,7 @@ import unicodedata
 import numpy as np
 
 #: Pieces that a worker remembers before it starts anew.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 600_000
 #: Pieces that are encoded as one text.
 JOINED = 256
 #: The sign that stands for each byte in byte-level vocabularies: itself if it prints, else the
