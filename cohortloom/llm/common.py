@@ -33,13 +33,13 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def ship(spark) -> None:
     """Give the workers this package, if their path doesn't hold it: Spark sends it as a file."""
-    package = Path(__file__).resolve().parents[1]
+    package, context = Path(__file__).resolve().parents[1], spark.sparkContext
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    if str(package.parent) in known or getattr(spark, "_package_sent", False):
+    if str(package.parent) in known or getattr(context, "_package_sent", False):
         return
     base = Path(tempfile.mkdtemp()) / package.name
-    spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
-    spark._package_sent = True
+    context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+    context._package_sent = True
 
 
 def remainder(id_column: str, k: int) -> Column:
