@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import Words, batch_of, code_points, mix, prefix_sums, powers, text_chunks
+from cohortloom.llm.common import Words, batch_of, code_points, mix, powers, text_chunks
 
 MIN_WORDS = 8
 LAST = (1 << 63) - 1
