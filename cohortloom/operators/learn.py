@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import ArithmeticException, IllegalArgumentException
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
 )
@@ -252,6 +252,8 @@ def _scores_of(scorers: Mapping[str, Scorer], df: DataFrame) -> DataFrame:
 class Ensemble:
     base: dict[str, Scorer]
     meta: Scorer | None = None
+    method: str | None = None
+    warnings: tuple[str, ...] = ()
 
     def score(self, df: DataFrame, out: str = SCORE) -> DataFrame:
         names = [f"score_{n}" for n in self.base]
@@ -442,11 +444,3 @@ def score_batch(df: DataFrame, scorer, threshold: float, features: Sequence[str]
         F.lit(float(threshold)).alias("threshold"), risk_band(SCORE, threshold).alias("risk_level"),
         F.lit(calibrated).cast("int").alias("calibrated"), F.lit("; ".join(warnings)).alias("warnings"),
     )
-
-
-def save_model(scorer: Scorer, path: str) -> None:
-    PipelineModel(stages=[scorer.model]).write().overwrite().save(path)
-
-
-def load_model(path: str, spec: Spec) -> Scorer:
-    return Scorer(spec, PipelineModel.load(path).stages[0])

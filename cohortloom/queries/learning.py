@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 
 from cohortloom import fixtures as fx
 from cohortloom.functions.numeric import col, round_half_up as r6
-from cohortloom.operators import evaluate, explain, learn, sample
+from cohortloom.operators import evaluate, explain, learn, sample, store
 from cohortloom.operators.learn import Spec
-from cohortloom.plans import flags
+from cohortloom.plans import clean, flags, scoring
 from cohortloom.queries.base import query, r
 from cohortloom.queries.profiles import rounded
 from cohortloom.queries.projections import scratch
 from cohortloom.queries.screening import FEATS
+from cohortloom.session import cut_lineage
 from cohortloom.sources.tables import KEY, KEY_ALIAS
 from cohortloom.streaming.score import read_records, score_stream as stream_scores
 
@@ -205,6 +206,58 @@ def score_stream(spark, sf):
     return spark.read.parquet(out).drop("scored_at")
 
 
+@query(
+    "model_store",
+    "SELECT kind, count(*) AS n, 0::BIGINT AS n_changed FROM scored_v, (VALUES ('single'), ('calibrated'), ('voting')) AS m(kind) GROUP BY kind",
+    needs=("scored_v",),
+)
+def model_store(spark, sf):
+    """Scores before saving and after loading, for each kind of model."""
+    df = rows(spark, sf)
+    tree, logistic = spec("decision_tree"), spec("logistic_regression")
+    fitted = {
+        "single": learn.fit_model(df, tree),
+        "calibrated": learn.fit_calibrated(df, tree, folds=5),
+        "voting": learn.fit_voting(df, [tree, logistic]),
+    }
+    parts = []
+    for kind, scorer in fitted.items():
+        path = scratch(spark, f"model-{kind}")
+        store.save(spark, scorer, path)
+        both = store.load(spark, path).score(scorer.score(df).withColumnRenamed(learn.SCORE, "before"))
+        changed = F.count_if(F.abs(F.col("before") - F.col(learn.SCORE)) > 1e-12)
+        parts.append(both.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"), changed.alias("n_changed")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+RAW_FEATURES = ("Edad", "IMC", "Frecuencia Respiratoria", "Puntaje Mallampati")
+
+
+@query(
+    "score_raw_records",
+    """SELECT count(*) AS n, count(DISTINCT k) AS n_keys, 0::BIGINT AS n_outside FROM vitals_v WHERE "Edad" IS NULL OR "Edad" >= 18""",
+    needs=("vitals_v",),
+)
+def score_raw_records(spark, sf):
+    """Raw records through cleaning, the manifest's medians and a saved, calibrated model."""
+    raw = fx.preop(spark, sf)
+    cleaned, vocabulary = clean.clean_all(raw, "k")
+    train = cut_lineage(cleaned.select("k", *RAW_FEATURES, (F.col("k") % 3 == 0).cast("int").alias("target")))
+    model = Spec("decision_tree", RAW_FEATURES, label="target", key="k")
+    scorer, metrics = learn.train_with_threshold(train, model, folds=3)
+    best = metrics.first()
+    path = scratch(spark, "raw-model")
+    store.save(spark, scorer, f"{path}/model")
+    performance = {m: best[m] for m in ("F2", "Recall", "Precision")}
+    store.write_manifest(spark, f"{path}/manifest", "target", scorer, best["Threshold"], performance, learn.feature_metadata(train, list(RAW_FEATURES), "target"))
+    scored = scoring.score_raw(raw, "k", vocabulary, store.load(spark, f"{path}/model"), store.read_manifest(spark, f"{path}/manifest"))
+    outside = F.count_if(~F.coalesce(F.col(learn.SCORE).between(0, 1), F.lit(False)))
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("n_keys"), outside.alias("n_outside"))
+
+
 # ---- evaluation and explanation that need a model ------------------------------------------------
 @query("bootstrap_ci")
 def bootstrap_ci(spark, sf):

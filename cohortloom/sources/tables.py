@@ -82,8 +82,8 @@ def collect_metrics(
     spark: SparkSession,
     root: str,
     files: str = "*/*_metrics.json",
-    target: str = r"([^/]+)/[^/]+_metrics\.json$",
-    model: str = r"([^/]+)_metrics\.json$",
+    target: str = r"([^/]+)/[^/]+_metrics\.json(?:/part-[^/]*)?$",
+    model: str = r"([^/]+)_metrics\.json(?:/part-[^/]*)?$",
 ) -> DataFrame:
     """One row per metrics file, target and model from its path; target, then F2 descending.
 
