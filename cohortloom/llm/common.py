@@ -31,8 +31,16 @@ _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+#: Rows that Spark hands to a Python task at once; with whole texts, fewer than its default.
+BATCH_ROWS = 2_000
+
+
 def ship(spark) -> None:
-    """Give the workers this package, if their path doesn't hold it: Spark sends it as a file."""
+    """Ready a session for the operators: smaller batches for tasks that hold whole texts (unless the
+    session has a size of its own), and this package for workers whose path doesn't hold it."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     package, context = Path(__file__).resolve().parents[1], spark.sparkContext
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     if str(package.parent) in known or getattr(context, "_package_sent", False):
