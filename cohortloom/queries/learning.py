@@ -284,7 +284,7 @@ def global_importance(spark, sf):
 @query("shap_sampling")
 def shap_sampling(spark, sf):
     df = rows(spark, sf)
-    return explain.sampled_attributions(df, learn.fit_model(df, spec("random_forest")), permutations=10)
+    return explain.sampled_attributions(df, learn.fit_model(df, spec("random_forest", numTrees=20)), permutations=10)
 
 
 @query("flag_predictability")
