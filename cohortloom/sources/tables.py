@@ -43,16 +43,16 @@ def landed(spark: SparkSession, path: str) -> bool:
 
 def land_pair(
     spark: SparkSession, preop: DataFrame | str, postop: DataFrame | str, out_dir: str,
-    schemas: tuple[T.StructType | None, T.StructType | None] | None = None,
+    schemas: tuple[T.StructType | None, T.StructType | None] = (None, None),
 ) -> tuple[DataFrame, DataFrame]:
     """Write both raw tables once; later calls read the landed copies.
 
     A copy counts as landed when its write has ended; a half-written one is written again. CSV
-    files are read as texts and then take the given schema (preop: RAW_SCHEMA by default; columns
-    it doesn't name stay). The long key name of the postop table is shortened here, once.
+    files are read as texts and then take the given schema (for preop RAW_SCHEMA, say; columns that it
+    doesn't name stay texts). The long key name of the postop table is shortened here, once.
     """
     out = []
-    for name, source, schema in zip(("preop_raw", "postop_raw"), (preop, postop), schemas or (RAW_SCHEMA, None)):
+    for name, source, schema in zip(("preop_raw", "postop_raw"), (preop, postop), schemas):
         path = f"{out_dir}/{name}.parquet"
         if not landed(spark, path):
             df = spark.read.csv(source, header=True) if isinstance(source, str) else source

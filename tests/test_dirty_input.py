@@ -69,7 +69,7 @@ def test_half_written_landing_is_written_again(spark, tmp_path):
 
 def test_landing_takes_a_schema(spark, tmp_path):
     (tmp_path / "pre.csv").write_text("Edad,Sexo,Extra\n34,F,x\nnada,M,y\n")
-    pre, post = tables.land_pair(spark, f"{tmp_path}/pre.csv", f"{tmp_path}/pre.csv", str(tmp_path / "out"))
+    pre, post = tables.land_pair(spark, f"{tmp_path}/pre.csv", f"{tmp_path}/pre.csv", str(tmp_path / "out"), (tables.RAW_SCHEMA, None))
     assert dict(pre.dtypes) == {"Edad": "double", "Sexo": "string", "Extra": "string"}
     assert [r.Edad for r in pre.orderBy("Extra").collect()] == [34.0, None] and dict(post.dtypes)["Edad"] == "string"
 
