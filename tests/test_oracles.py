@@ -5,9 +5,6 @@ import pytest
 from cohortloom.queries import ORACLES, QUERIES
 from tools.check import TABLES, canon
 
-# the slowest ones are left to tools/check.py, which runs every query
-SLOW = {"clean_pipeline", "clean_dx_procedures", "pre_post_linkage", "outlier_iqr"}
-
 
 @pytest.fixture(scope="module")
 def duck(sf):
@@ -17,7 +14,7 @@ def duck(sf):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(name, spark, duck, sf):
     df = QUERIES[name](spark, sf)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
