@@ -16,20 +16,40 @@ NEVER_FEATURES = {"target", "Documento PMD", "Documento_PMD", "n_flags_relevant"
 MAX_BINS = 32
 
 
-def candidate_features(
-    df: DataFrame, exclude: Sequence[str] = (), min_ratio: float = 0.4
-) -> list[str]:
-    """Columns with enough numbers and more than one distinct number; no keys, flags or target."""
+def column_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, n, n_values, n_numbers, varied, varied_numbers) of each column, from one pass: rows,
+    values, numbers, and whether there is more than one of either."""
+    cells = []
+    for c in columns:
+        v, number = col(c), to_number(col(c).cast("string"))
+        cells.append(
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.count(F.lit(1)).alias("n"),
+                F.count(v).alias("n_values"),
+                F.count(number).alias("n_numbers"),
+                F.coalesce(F.min(v) < F.max(v), F.lit(False)).alias("varied"),
+                F.coalesce(F.min(number) < F.max(number), F.lit(False)).alias("varied_numbers"),
+            )
+        )
+    return df.agg(F.array(*cells).alias("c")).select(F.explode("c").alias("c")).select("c.*")
+
+
+def screened_columns(df: DataFrame, exclude: Sequence[str] = (), min_ratio: float = 0.4) -> DataFrame:
+    """column_counts() of all columns that may be features, with `candidate`: enough numbers and more
+    than one distinct number."""
     banned = NEVER_FEATURES | set(exclude)
     names = [c for c in df.columns if c not in banned and not c.startswith("flag_")]
-    if not names:
+    enough = F.coalesce(F.try_divide(F.col("n_numbers"), F.col("n")) >= min_ratio, F.lit(False))
+    return column_counts(df, names).withColumn("candidate", enough & F.col("varied_numbers"))
+
+
+def candidate_features(df: DataFrame, exclude: Sequence[str] = (), min_ratio: float = 0.4) -> list[str]:
+    """Names of the candidates, in column order; no keys, flags or target."""
+    if not set(df.columns) - NEVER_FEATURES - set(exclude):
         return []
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(names):
-        v = to_number(col(c).cast("string"))
-        aggs += [F.count(v).alias(f"n{i}"), (F.min(v) < F.max(v)).alias(f"d{i}")]
-    row = df.agg(*aggs).first()
-    return [c for i, c in enumerate(names) if row["n"] and row[f"n{i}"] / row["n"] >= min_ratio and row[f"d{i}"]]
+    found = {r["feature"] for r in screened_columns(df, exclude, min_ratio).where("candidate").collect()}
+    return [c for c in df.columns if c in found]
 
 
 def drop_constant(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -37,9 +57,8 @@ def drop_constant(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], lis
     present = [c for c in columns if c in set(df.columns)]
     if not present:
         return [], []
-    row = df.agg(*[(F.min(col(c)) < F.max(col(c))).alias(f"d{i}") for i, c in enumerate(present)]).first()
-    kept = [c for i, c in enumerate(present) if row[f"d{i}"]]
-    return kept, [c for c in present if c not in kept]
+    varied = {r["feature"] for r in column_counts(df, present).where("varied").collect()}
+    return [c for c in present if c in varied], [c for c in present if c not in varied]
 
 
 def long_features(df: DataFrame, features: Sequence[str], outcomes: Sequence[str], fill: float | None = -1.0) -> DataFrame:

@@ -14,29 +14,45 @@ from cohortloom.sources.tables import KEY, KEY_ALIAS
 
 
 # ---- column screening -----------------------------------------------------------------------
+NUMBER_RX = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def counts_sql(feature: str, e: str) -> str:
+    """column_counts() of one expression for DuckDB."""
+    x = f"CASE WHEN regexp_matches(({e})::VARCHAR, '{NUMBER_RX}') THEN TRY_CAST(trim(({e})::VARCHAR) AS DOUBLE) END"
+    return (
+        f"SELECT '{feature}' AS feature, count(*) AS n, count({e}) AS n_values, count({x}) AS n_numbers, "
+        f"coalesce(min({e}) < max({e}), false) AS varied, coalesce(min({x}) < max({x}), false) AS varied_numbers FROM preop_v"
+    )
+
+
+SCREENED = {"k": "k", "Edad": '"Edad"', "Temperatura": '"Temperatura"', "Puntaje Mallampati": '"Puntaje Mallampati"', "Sexo": '"Sexo"', "Hora": '"Hora"', "constante": "1"}
+
+
 @query(
     "candidate_features",
-    "SELECT feature FROM (VALUES ('k'), ('Edad'), ('Temperatura'), ('Puntaje Mallampati')) AS f(feature) WHERE (SELECT count(*) FROM preop_v) > 0",
+    "SELECT *, n > 0 AND n_numbers >= 0.4 * n AND varied_numbers AS candidate FROM (" + " UNION ALL ".join(counts_sql(f, e) for f, e in SCREENED.items()) + ")",
     needs=("preop_v",),
 )
 def candidate_features(spark, sf):
-    """The sex text is no number, the hour text neither, the constant has one value, flags are out."""
+    """The sex text is no number, the hour text neither, the constant has one value; keys, flags and
+    the target are no columns to screen."""
     df = fx.preop(spark, sf).select("k", KEY, "Edad", "Temperatura", "Puntaje Mallampati", "Sexo", "Hora")
     df = df.withColumns({"constante": F.lit(1), "flag_x": col("k") % 2, "target": col("k") % 3})
-    names = screen.candidate_features(df)
-    return df.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("feature")).distinct()
+    return screen.screened_columns(df)
 
 
 @query(
     "drop_constant",
-    """SELECT 'Edad' AS feature, 'kept' AS status FROM preop_v UNION SELECT 'Hora', 'kept' FROM preop_v UNION SELECT 'uno', 'constant' FROM preop_v""",
+    "SELECT feature, n, n_values, CASE WHEN varied THEN 'kept' ELSE 'constant' END AS status FROM ("
+    + " UNION ALL ".join(counts_sql(f, e) for f, e in {"Edad": '"Edad"', "Hora": '"Hora"', "uno": "CASE WHEN k % 2 = 0 THEN 1 END"}.items())
+    + ")",
     needs=("preop_v",),
 )
 def drop_constant(spark, sf):
     df = fx.preop(spark, sf).select("k", "Edad", "Hora").withColumn("uno", F.when(col("k") % 2 == 0, 1))
-    kept, constant = screen.drop_constant(df, ["Edad", "Hora", "uno", "absent"])
-    cells = [F.struct(F.lit(c).alias("feature"), F.lit(s).alias("status")) for s, cs in (("kept", kept), ("constant", constant)) for c in cs]
-    return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").distinct()
+    counts = screen.column_counts(df, ["Edad", "Hora", "uno"])
+    return counts.select("feature", "n", "n_values", F.when(F.col("varied"), "kept").otherwise("constant").alias("status"))
 
 
 # ---- mutual information and correlation -----------------------------------------------------
