@@ -1,7 +1,10 @@
 """Session settings the engine relies on; an existing session is left as it is."""
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +18,20 @@ RUNTIME_CONF = {
 }
 
 
+def send_package(spark: SparkSession) -> None:
+    """Give Python workers this package if their path may not hold it: Spark sends it as a file, once."""
+    package, context = Path(__file__).resolve().parent, spark.sparkContext
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if str(package.parent) in known or getattr(context, "_package_sent", False):
+        return
+    base = Path(tempfile.mkdtemp()) / package.name
+    context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+    context._package_sent = True
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a running session."""
+    send_package(spark)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
