@@ -1,19 +1,15 @@
 """Helpers shared by the corpus operators: batches of text, words, hashes, written tables."""
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.session import shared_dir
+from cohortloom.session import send_package, shared_dir
 
 #: Bytes of text that a Python task works on at once; a longer text is one piece of work by itself.
 CHUNK_BYTES = 1 << 20
@@ -41,13 +37,7 @@ def ship(spark) -> None:
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(rows) == "10000":
         spark.conf.set(rows, str(BATCH_ROWS))
-    package, context = Path(__file__).resolve().parents[1], spark.sparkContext
-    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    if str(package.parent) in known or getattr(context, "_package_sent", False):
-        return
-    base = Path(tempfile.mkdtemp()) / package.name
-    context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
-    context._package_sent = True
+    send_package(spark)
 
 
 def remainder(id_column: str, k: int) -> Column:
