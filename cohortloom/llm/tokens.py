@@ -13,7 +13,7 @@ import unicodedata
 
 import numpy as np
 
-#: Pieces that a worker remembers before it starts anew.
+#: Pieces that a worker remembers before it drops the rare ones.
 CACHE_ENTRIES = 600_000
 #: Pieces that are encoded as one text.
 JOINED = 256
@@ -63,12 +63,28 @@ class Encoder:
     def forget(self) -> None:
         self.known, self.done = Numbered(), 0
         self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.uses = np.zeros(1 << 12, np.int64)
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
+    def trim(self) -> None:
+        """Keep the pieces met most often, at most half of what is remembered, and drop the rest."""
+        keep = np.flatnonzero(self.uses[: self.done] > 1)
+        if len(keep) > CACHE_ENTRIES // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[: CACHE_ENTRIES // 2]])
+        names, ids, size, uses = list(self.known), self.gather(keep), self.size[keep], self.uses[keep]
+        self.forget()
+        self.known.update(zip([names[i] for i in keep], range(len(keep))))
+        self.room(len(keep))
+        self.keep(np.arange(len(keep)), ids, size)
+        self.uses[: len(keep)], self.done = uses // 2, len(keep)
+
+    def room(self, n: int) -> None:
+        while n > len(self.begin):
+            self.begin, self.size, self.uses = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.size, self.uses))
+
     def learn(self, pieces: list[str]) -> None:
         """Encode pieces that were numbered anew, many in one text with a mark between them."""
-        while len(self.known) > len(self.begin):
-            self.begin, self.size = (np.concatenate((x, np.zeros(len(x), np.int64))) for x in (self.begin, self.size))
+        self.room(len(self.known))
         letters = [] if self.keeps_spaces else [i for i, p in enumerate(pieces) if p.isalpha() or p[-1:] in ".," and p[:-1].isalpha()]
         chosen = set(letters)
         for numbers, f in ((letters, self.encode_letters), ([i for i in range(len(pieces)) if i not in chosen], self.encode_marked)):
@@ -126,13 +142,16 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; null and empty texts have none."""
         if len(self.known) > CACHE_ENTRIES:
-            self.forget()
+            self.trim()
         cut = [self.cut(t) if t else [] for t in texts]
         number = self.known.__getitem__
         at = [None if c is None else np.fromiter(map(number, c), np.int64, len(c)) for c in cut]
         if self.known.new:
             self.learn(self.known.new)
             self.known.new = []
+        for a in at:
+            if a is not None:
+                np.add.at(self.uses, a, 1)
         whole = [i for i, c in enumerate(cut) if c is None]
         direct = dict(zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)))
         return [np.array(direct[i].ids, np.uint32) if a is None else self.gather(a) for i, a in enumerate(at)]
