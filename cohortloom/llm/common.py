@@ -145,10 +145,11 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 class Words:
     """Lower-cased words of some texts, with their 64-bit hashes; all arrays in text order."""
 
-    def __init__(self, text: pa.Array, hashes: bool = True):
+    def __init__(self, text: pa.Array, hashes: bool = True, breaks=None):
+        """breaks(bytes) marks further bytes that belong to no word."""
         raw, self.offsets = text_bytes(text)
         self.raw, self.data = raw, LOWER[raw]
-        self.starts, self.ends = runs(IS_WORD[raw], self.offsets)
+        self.starts, self.ends = runs(IS_WORD[raw] & ~breaks(raw) if breaks else IS_WORD[raw], self.offsets)
         #: position of each text's first word, and one more
         self.first = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.first)

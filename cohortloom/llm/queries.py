@@ -134,7 +134,7 @@ def op2_secret_scan(spark, sf_dir):
 
 @query("op9_substring_dedup")
 def op9_substring_dedup(spark, sf_dir):
-    found = substring_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    found = substring_dedup.deduplicate(table(spark, sf_dir, "documents"), min_line_words=1)
     return found.select("doc_id", "text", "n_units", "removed_chars", F.to_json("removed").alias("removed"), F.to_json("kept").alias("kept"))
 
 

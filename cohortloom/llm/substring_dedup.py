@@ -1,8 +1,10 @@
 """Substring dedup: repeated lines and sentences are kept once, in the earliest document.
 
 Method. The units of a text are its lines, and the sentences of lines that hold more than one. A
-unit is normalised to its lower-cased words and known by a 128-bit digest; units of fewer than
-MIN_WORDS words are left alone, because short ones repeat by chance. Digests are grouped over all
+unit is normalised to its lower-cased words and known by a 128-bit digest. Sentences of fewer than
+MIN_WORDS words are left alone, because short ones repeat by chance; in scripts written without
+spaces two code points count as a word, and sentences end at their own full stops. The least length
+of lines is the caller's: the query counts every line that has a word. Digests are grouped over all
 documents; the occurrence in the document of the lowest rank (the id) stays, and within a document
 the first one. All others are removed, with the white space behind them. Removed and kept stretches
 are given as places in the original text.
@@ -10,8 +12,9 @@ are given as places in the original text.
 Digests are counted with partial sums, so a unit that stands in a third of all documents is one row
 per task; the join that marks its occurrences can be split by Spark.
 
-Edge cases: a null or empty text has no units and stays as it is; a null id ranks last; rows alike
-in id and text are one document and get the same result each; an empty table gives none.
+Edge cases: a line without words (a rule of dashes) has an empty normal form and stays; a null or
+empty text has no units and stays as it is; a null id ranks last; rows alike in id and text are one
+document and get the same result each; an empty table gives none.
 """
 from __future__ import annotations
 
@@ -35,6 +38,33 @@ _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\r\n")] = True
+#: Full stops that no space follows: ideographic, halfwidth, wide marks, danda.
+_WIDE_STOPS = tuple(c.encode() for c in "。｡！？।")
+
+
+def wide_stops(raw: np.ndarray) -> np.ndarray:
+    """True for the three bytes of each wide full stop."""
+    out = np.zeros(len(raw), bool)
+    if len(raw) < 3:
+        return out
+    at = np.flatnonzero((raw[:-2] == 0xE3) | (raw[:-2] == 0xEF) | (raw[:-2] == 0xE0))
+    for stop in _WIDE_STOPS:
+        found = at[(raw[at] == stop[0]) & (raw[at + 1] == stop[1]) & (raw[at + 2] == stop[2])]
+        for k in range(3):
+            out[found + k] = True
+    return out
+
+
+def unspaced(raw: np.ndarray) -> np.ndarray:
+    """True for the first byte of a letter of a script written without spaces: Thai, Lao, Myanmar,
+    Khmer, kana and ideographs."""
+    out = (raw >= 0xE3) & (raw <= 0xE9)
+    out |= raw == 0xF0
+    if len(raw) > 1:
+        second = raw[1:]
+        out[:-1] |= (raw[:-1] == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+        out[:-1] |= (raw[:-1] == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    return out
 
 
 def unit_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,6 +74,8 @@ def unit_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     lines = np.unique(np.concatenate((texts, np.flatnonzero(raw == 10) + 1)))
     stop = _STOP[raw]
     stop[:-1] &= _SPACE[raw[1:]]
+    wide = wide_stops(raw)
+    stop[2:] |= wide[2:] & ((raw[:-2] == 0xE3) | (raw[:-2] == 0xEF) | (raw[:-2] == 0xE0)) & wide[:-2]
     sentences = np.unique(np.concatenate((lines, np.flatnonzero(stop) + 1)))
     lines, sentences = lines[lines <= n], sentences[sentences <= n]
     line_of = np.searchsorted(lines, sentences[:-1], side="right") - 1
@@ -62,13 +94,15 @@ def sequence_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, sal
         return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
 
 
-def find_units(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+def find_units(batches: Iterator[pa.RecordBatch], min_words: int, min_line_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_chunks(batch):
-            words = Words(part.column(2))
-            begin, end, _ = unit_bounds(words.raw, words.offsets)
+            words = Words(part.column(2), breaks=wide_stops)
+            begin, end, is_line = unit_bounds(words.raw, words.offsets)
             first, last = np.searchsorted(words.starts, begin), np.searchsorted(words.starts, end)
-            long_enough = last - first >= min_words
+            letters = np.concatenate(([0], np.cumsum(unspaced(words.raw) & ~wide_stops(words.raw))))
+            size = 2 * (last - first) + letters[end] - letters[begin]
+            long_enough = (last > first) & (size >= 2 * np.where(is_line, min_line_words, min_words))
             begin, end, first, last = (x[long_enough] for x in (begin, end, first, last))
             # a line's only sentence with words is the line itself
             keep = np.ones(len(first), bool)
@@ -119,12 +153,14 @@ def cut(text: str | None, spans: list[tuple[int, int]]) -> tuple[str | None, lis
     return "".join(text[a:b] for a, b in kept), [tuple(r) for r in removed], kept
 
 
-def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, min_line_words: int | None = None) -> DataFrame:
     """A row per document: doc_id, the text that stays, n_units (removed ones), removed_chars, and
-    the removed and kept stretches in code points of the original."""
+    the removed and kept stretches in code points of the original. min_line_words is the least length
+    of a line, that of a sentence if None; 1 takes every line that has a word."""
+    line_words = min_words if min_line_words is None else min_line_words
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     keyed = texts.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("text_hash"), "text")
-    units = keyed.mapInArrow(lambda it: find_units(it, min_words), UNITS_SCHEMA)
+    units = keyed.mapInArrow(lambda it: find_units(it, min_words, line_words), UNITS_SCHEMA)
     # a unit that a document repeats counts there twice
     repeated = units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min("doc").alias("keeper")).where("n > 1")
     surplus = units.join(repeated.select("high", "low", "keeper"), ["high", "low"]).where("again OR doc != keeper")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.llm import decontamination, licenses, secret_scan, substring_dedup
+from cohortloom.llm.queries import QUERIES
 from tests.llm.fixtures import WORD, LOWER, awkward, frame, prose, row, words
 
 LICENSED = [
@@ -218,3 +219,26 @@ def test_repeated_units_equal_brute_force(spark):
         assert r.removed_chars == len(text[r.doc_id]) - len(r.text) == sum(s.end - s.start for s in r.removed)
     assert want[1] == 1 and want[6] == want[7] == 0
     assert substring_dedup.deduplicate(frame(spark, [])).count() == 0
+
+
+def test_query_removes_short_lines_and_unspaced_scripts(spark, tmp_path):
+    """Every repeated line goes, whatever its length; sentences in scripts without spaces count too."""
+    paragraph = "今日は天気がよいので公園まで歩いて行きました。"
+    rows = [
+        row(1, f"Read more\n{prose(71, 20)}\n---\nx y.\n{paragraph}"),
+        row(2, f"{prose(72, 20)}\nread MORE!\n---\n{paragraph}\nx y. and no more"),
+        row(3, f"{prose(73, 20)}\nRead more"),
+        row(4, f"明日もまた来ます。{paragraph}終わり"),
+        row(5, "ประเทศไทย\nอื่น"),
+        row(6, "ประเทศไทย"),
+    ]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in QUERIES["op9_substring_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {
+        1: rows[0][1],
+        2: f"{prose(72, 20)}\n---\nx y. and no more",
+        3: f"{prose(73, 20)}\n",
+        4: "明日もまた来ます。終わり",
+        5: rows[4][1],
+        6: "",
+    }
