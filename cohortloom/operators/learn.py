@@ -351,7 +351,7 @@ def hyperparameter_search(
     rows = training_rows(folded_rows(df, spec, folds), spec).persist(StorageLevel.MEMORY_AND_DISK)
     total = rows.count()
     base = estimator(spec, total)
-    grid, shown = [], random_grid(space or SEARCH_SPACES[spec.name], n, spec.seed)
+    grid, shown = [], random_grid(space or SEARCH_SPACES.get(spec.name, {}), n, spec.seed)
     for setting in shown:
         values = {k: v for k, v in setting.items() if k != "C"}
         if "C" in setting:
@@ -389,12 +389,13 @@ def baseline_experiments(
 
 
 def tuning_experiments(
-    frames: Mapping[str, DataFrame], specs: Sequence[Spec], fractions: Sequence[float], space: Mapping[str, Sequence],
-    n: int = 3, folds: int = 3,
+    frames: Mapping[str, DataFrame], specs: Sequence[Spec], fractions: Sequence[float],
+    space: Mapping[str, Sequence] | None = None, n: int = 3, folds: int = 3,
 ) -> DataFrame:
     """(version, model, fraction, n_features, f2, params): search per share of the ranked features.
 
-    The features of a spec are taken in the given (ranked) order.
+    Without a space each model has its own; one that has none is measured with its preset. The
+    features of a spec are taken in the given (ranked) order.
     """
     rows = []
     for version, df in frames.items():

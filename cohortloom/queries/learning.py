@@ -1,8 +1,8 @@
 """Learners, calibration, tuning, scoring and model explanation.
 
-Folds, versions, networks and linear models have their full settings. Forests grow their 300 trees
-to depth 8, and boosting runs 20 rounds, so that the queries finish on one machine; the presets
-keep the full ones.
+Folds, versions, trials, networks and linear models have their full settings; so has every model of
+baseline_experiments, tuning_experiments, fit_stacking and shap_sampling. In the other queries forests
+grow their 300 trees to depth 8 and boosting runs 20 rounds, so that they finish on one machine.
 """
 from __future__ import annotations
 
@@ -39,6 +39,11 @@ def spec(name: str, **changes) -> Spec:
     return Spec(name, tuple(FEATS), params={**SMALL[name], **changes})
 
 
+def preset(name: str) -> Spec:
+    """A model with the full settings of its preset."""
+    return Spec(name, tuple(FEATS))
+
+
 def rows(spark, sf):
     return fx.scored(spark, sf).select("row_key", "y_true", "version", *FEATS)
 
@@ -81,7 +86,7 @@ BASES = ("random_forest", "logistic_regression")
 @query("fit_stacking")
 def fit_stacking(spark, sf):
     split = sample.split_stratified(rows(spark, sf), "row_key", "y_true")
-    stack = learn.fit_stacking(split.where("split = 'train'").drop("split"), [spec(b) for b in BASES], folds=3)
+    stack = learn.fit_stacking(split.where("split = 'train'").drop("split"), [preset(b) for b in learn.STACK_BASE])
     return test_metrics(stack, split.where("split = 'test'"), "stacking")
 
 
@@ -134,7 +139,7 @@ def train_with_threshold(spark, sf):
 
 @query("hyperparameter_search")
 def hyperparameter_search(spark, sf):
-    found = learn.hyperparameter_search(rows(spark, sf), spec("logistic_regression"), n=5, folds=5)
+    found = learn.hyperparameter_search(rows(spark, sf), spec("logistic_regression"))
     return spark.createDataFrame([(str(f["params"]), float(f["f2"])) for f in found], "params string, f2 double")
 
 
@@ -145,15 +150,12 @@ def version_frames(spark, sf):
 
 @query("tuning_experiments")
 def tuning_experiments(spark, sf):
-    results = learn.tuning_experiments(
-        version_frames(spark, sf), [spec("logistic_regression")], [0.5, 1.0], {"C": [0.1, 1.0]}, n=2, folds=2
-    )
-    return learn.best_tuned(results)
+    return learn.best_tuned(learn.tuning_experiments(version_frames(spark, sf), [preset(m) for m in learn.PRESETS], [0.5, 1.0]))
 
 
 @query("baseline_experiments")
 def baseline_experiments(spark, sf):
-    return learn.baseline_experiments(version_frames(spark, sf), [spec("logistic_regression"), spec("decision_tree")])
+    return learn.baseline_experiments(version_frames(spark, sf), [preset(m) for m in learn.PRESETS])
 
 
 META = ["Edad", "IMC", "Temperatura"]
@@ -247,7 +249,7 @@ def score_raw_records(spark, sf):
     cleaned, vocabulary = clean.clean_all(raw, "k")
     train = cut_lineage(cleaned.select("k", *RAW_FEATURES, (F.col("k") % 3 == 0).cast("int").alias("target")))
     model = Spec("decision_tree", RAW_FEATURES, label="target", key="k")
-    scorer, metrics = learn.train_with_threshold(train, model, folds=3)
+    scorer, metrics = learn.train_with_threshold(train, model)
     best = metrics.first()
     path = scratch(spark, "raw-model")
     store.save(spark, scorer, f"{path}/model")
@@ -284,7 +286,7 @@ def global_importance(spark, sf):
 @query("shap_sampling")
 def shap_sampling(spark, sf):
     df = rows(spark, sf)
-    return explain.sampled_attributions(df, learn.fit_model(df, spec("random_forest", numTrees=20)), permutations=10)
+    return explain.sampled_attributions(df, learn.fit_model(df, preset("random_forest")), permutations=10)
 
 
 @query("flag_predictability")
