@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from cohortloom.functions.numeric import clip, col, to_number
 from cohortloom.operators.ordered import exact_quantiles, histogram, running_totals
+from cohortloom.session import cut_lineage
 
 NEVER_FEATURES = {"target", "Documento PMD", "Documento_PMD", "n_flags_relevant"}
 MAX_BINS = 32
@@ -141,6 +142,25 @@ def pre_post_linkage(frames: dict[str, DataFrame], features: Sequence[str], outc
     return out
 
 
+def version_linkage(
+    df: DataFrame, features: Sequence[str], flags: Sequence[str], versions: Sequence[str], bins: int = MAX_BINS
+) -> DataFrame:
+    """pre_post_linkage() of versions that are columns of one merged frame: all flags and all versions
+    are outcomes of one contingency table, and the flags' rows are given for each version."""
+    outcomes = [*flags, *versions]
+    df = cut_lineage(df.select(*[col(c) for c in (*features, *outcomes)]))  # read by five aggregations
+    means = df.agg(*[F.avg(col(o).cast("double")).alias(o) for o in outcomes])
+    prevalence = means.unpivot([], outcomes, "outcome", "prevalence").where("prevalence > 0 AND prevalence < 1")
+    found = linkage(df, features, outcomes, bins).join(prevalence, "outcome")
+    is_version = F.col("outcome").isin(list(versions))
+    every = F.array(*[F.lit(v) for v in versions])
+    return found.select(
+        F.explode(F.when(is_version, F.array("outcome")).otherwise(every)).alias("version"),
+        F.when(is_version, "target").otherwise(F.col("outcome")).alias("post_variable"),
+        "feature", "mi", "abs_pearson", "combined", "prevalence",
+    )
+
+
 def univariate_tests(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """(feature, n0, n1, auc, u, z, mean0, mean1): rank statistics per feature, ties averaged.
 

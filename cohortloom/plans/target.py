@@ -138,8 +138,8 @@ def extract_target(df: DataFrame, version: str | Mapping, stay_days: float = 3)
     return target_threshold(df, cfg["flags"], cfg.get("threshold", 1), override)
 
 
-def target_wide(df: DataFrame, key: str, versions: Sequence[str] | None = None) -> DataFrame:
-    """One scan to the key and one 0/1 column per target definition."""
+def target_wide(df: DataFrame, key: str, versions: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """One scan to the key, the kept columns (flags too) and one 0/1 column per target definition."""
     versions = list(versions or TARGETS)
     df = flags_all(df)
     shared: dict[str, str] = {}
@@ -156,7 +156,7 @@ def target_wide(df: DataFrame, key: str, versions: Sequence[str] | None = None)
         else:
             hit = flag(flag_total(cfg["flags"]) >= cfg["threshold"])
         outcomes.append(_unless_cancelled(hit).alias(v))
-    return df.select(col(key), *outcomes)
+    return df.select(col(key), *[col(c) for c in keep], *outcomes)
 
 
 def target_versions(df: DataFrame, key: str, versions: Sequence[str] | None = None) -> DataFrame:

@@ -7,9 +7,10 @@ from cohortloom import fixtures as fx
 from cohortloom.functions.numeric import col, round_half_up as r6
 from cohortloom.operators import joins, rank, sample, screen, unsup
 from cohortloom.operators.learn import Spec
-from cohortloom.plans import target
+from cohortloom.plans import flags, target
 from cohortloom.queries.base import block, q, query, r
 from cohortloom.queries.profiles import hash_sql, rounded
+from cohortloom.queries.targets import VERSION_SQL, override
 from cohortloom.sources.tables import KEY, KEY_ALIAS
 
 
@@ -147,6 +148,34 @@ def pre_post_linkage(spark, sf):
     return rounded(out, "mi", "abs_pearson", "combined", "prevalence")
 
 
+# the whole job: every version and every flag, in one cube
+PP_VERSIONS = list(VERSION_SQL)
+PP_OUT = [*flags.ALL_FLAGS, *PP_VERSIONS]
+block(
+    "ppa_merged",
+    "SELECT " + ", ".join(f'p."{f}"' for f in PRE_FEATS) + ", " + ", ".join(f"f.{x}" for x in flags.ALL_FLAGS) + ", "
+    + ", ".join(f"{override(e)} AS {v}" for v, e in VERSION_SQL.items())
+    + " FROM preop_v p JOIN flags_v f ON f.doc = p.\"Documento PMD\" WHERE p.\"Edad\" >= 18",
+    ("preop_v", "flags_v"),
+)
+mi_blocks("ppa", long_sql("ppa_merged", PRE_FEATS, ", ".join(PP_OUT)), ("ppa_merged",), PP_OUT)
+
+
+@query(
+    "pre_post_linkage_all",
+    f"""SELECT version, CASE WHEN m.outcome = version THEN 'target' ELSE m.outcome END AS post_variable, m.feature, {r('mi')} AS mi, {r('p')} AS abs_pearson, {r('0.7 * mi + 0.3 * p')} AS combined, {r('prev')} AS prevalence
+FROM ppa_mi m JOIN ({' UNION ALL '.join(f"SELECT feature, '{o}' AS outcome, {r_sql(o)} AS p, avg({o}) AS prev FROM ppa_long GROUP BY feature" for o in PP_OUT)}) c ON c.feature = m.feature AND c.outcome = m.outcome
+JOIN (VALUES {', '.join(f"('{v}')" for v in PP_VERSIONS)}) AS v(version) ON m.outcome = version OR m.outcome NOT IN ({', '.join(f"'{v}'" for v in PP_VERSIONS)})
+WHERE prev > 0 AND prev < 1""",
+    needs=("ppa_mi",),
+)
+def pre_post_linkage_all(spark, sf):
+    pre = fx.preop(spark, sf).where("Edad >= 18").select(col(KEY), *[col(f) for f in PRE_FEATS])
+    wide = joins.short_key(target.target_wide(fx.posop(spark, sf), KEY_ALIAS, keep=flags.ALL_FLAGS))
+    out = screen.version_linkage(pre.join(wide, KEY), PRE_FEATS, flags.ALL_FLAGS, list(target.TARGETS))
+    return rounded(out, "mi", "abs_pearson", "combined", "prevalence")
+
+
 UNI = ["feat_a", "feat_b", "feat_c", "Edad"]
 block("uni_long", " UNION ALL ".join(f"SELECT '{f}' AS feature, {q(f)}::DOUBLE AS value, y_true FROM scored_v" for f in UNI), ("scored_v",))
 
