@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, language, licenses, near_duplicates, neighbours, packing, secret_scan, substring_dedup, token_files, toxicity
+from cohortloom.llm import decontamination, language, licenses, near_duplicates, neighbours, packing, periodic_runs, secret_scan, substring_dedup, token_files, toxicity
 from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -148,3 +148,30 @@ def op1_nearest_neighbours(spark, sf_dir):
 def op6_near_duplicates(spark, sf_dir):
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_size", "keep")
+
+
+def with_repetitions(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where every tenth text, by the hash h of its id, ends in repetitions: its words
+    from a = g % n on repeat with period 1 + (n - a) div (3 + g % 8), for g = h div 10 and n words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).alias("words"))
+    sized = cut.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    placed = sized.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    placed = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = "transform(sequence(0L, n - 1L), i -> element_at(words, cast(if(i < a, i, a + (i - a) % p) as int) + 1))"
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.expr(f"array_join({repeated}, ' ')")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(with_repetitions(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periodic_runs.best_run(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
