@@ -86,7 +86,7 @@ def test_unary_text_is_linear():
 
 
 def test_awkward_rows_and_empty_table(spark):
-    rows = awkward() + [row(20, "x y\x0bz " * 40), row(21, "x y " * 30)]
+    rows = awkward() + [row(20, "x y\x0bz " * 40), row(21, "x\u00a0y " * 30)]
     found = periodic_runs.periodic_runs(frame(spark, rows)).collect()
     assert len(found) == len(rows)
     texts = sorted(re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t, *_ in rows)
