@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, language, licenses, near_duplicates, neighbours, packing, periodic_runs, secret_scan, substring_dedup, token_files, toxicity
+from cohortloom.llm import collocations, decontamination, language, licenses, near_duplicates, neighbours, packing, periodic_runs, secret_scan, substring_dedup, token_files, toxicity
 from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -175,3 +175,31 @@ def op13_periodic_runs(spark, sf_dir):
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
         "n_words",
     )
+
+
+@query(
+    "op12_collocations",
+    r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase FROM (
+        SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k))
+    GROUP BY lang, k, phrase),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT lang, phrase, a, j, array_to_string(p[1 : j], ' ') AS x, array_to_string(p[j + 1 : k], ' ') AS y
+    FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM c)),
+s AS (SELECT cut.lang, cut.phrase, cut.a, cut.j, fx.f AS l, fy.f AS r, ((1000000::HUGEINT * cut.a * cut.a) // (fx.f::HUGEINT * fy.f))::BIGINT AS score
+    FROM cut JOIN f fx ON fx.lang = cut.lang AND fx.phrase = cut.x JOIN f fy ON fy.lang = cut.lang AND fy.phrase = cut.y),
+least_cut AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, array_to_string(p[1 : 2], ' ') AS phrase, a FROM c WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(p[2 : 3], ' '), a FROM c WHERE k = 3) GROUP BY lang, phrase)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank, s.phrase, s.a, s.l, s.r, n.n, s.score
+FROM least_cut s JOIN n ON n.lang = s.lang LEFT JOIN longer ON longer.lang = s.lang AND longer.phrase = s.phrase
+WHERE longer.a IS NULL OR 100 * longer.a < 50 * s.a
+QUALIFY rank <= 2000""",
+)
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
