@@ -18,8 +18,8 @@ phrase, chunk and shard; results stay whole. Counts are sums by the phrase's 64-
 its language and length; two of a billion phrases share one with probability 0.03), combined before
 each shuffle, so a phrase of all documents is one row a task.
 
-A last scan finds words and halves of the phrases that reached `least`. Each is cut after its first k
-words; score = floor(scale * a * a / (l * r)) with counts a of the phrase, l and r of its parts, in
+A last scan reads the words of some occurrences of the phrases that reached `least`, drawn so that each
+gives about NAMED rows, and one more scan those of the phrases missed. Each is cut after its first k words; score = floor(scale * a * a / (l * r)) with counts a of the phrase, l and r of its parts, in
 38-digit integers (exact below 10^15 words); the cut of the lowest score counts, ties to the smallest k.
 A phrase is dropped if a longer one that holds it and reached `least` has at least `covered` percent of
 its count. The best `top` of a language are ranked by score, count and phrase (UTF-8 byte order).
@@ -34,7 +34,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.common import LOWER, batch_of, mix, new_folder, prefix_sums, runs, span_hashes, text_bytes, text_chunks, written
@@ -44,8 +45,8 @@ LONGEST = 3
 SHARDS = 2
 #: Hash values told apart in a task's tables, a byte each for every length.
 SLOTS = 1 << 24
-#: Phrases that a task of the last scan remembers as already given.
-REMEMBERED = 1 << 20
+#: Occurrences of a phrase from which its words are read, on average up to twice as many.
+NAMED = 4
 CHUNK = 2 << 20
 
 _BREAK = np.zeros(256, bool)
@@ -73,27 +74,27 @@ class Pieces:
         self.words = mix(span_hashes(prefix_sums(self.data), self.starts, self.ends) ^ self.language)
 
     def phrases(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of every phrase of n words."""
-        size = len(self.words) - n + 1
-        if size <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        at = np.flatnonzero(self.piece[:size] == self.piece[n - 1 :])
+        """First words of the phrases of n words, and a hash for every word that n - 1 others follow:
+        the phrase's where it begins one."""
+        size = max(len(self.words) - n + 1, 0)
+        at = np.flatnonzero(self.piece[:size] == self.piece[len(self.piece) - size :])
         with np.errstate(over="ignore"):
-            h = self.words[at]
+            h = self.words[:size]
             for j in range(1, n):
-                h = h * _P + self.words[at + j]
+                h = h * _P + self.words[j : size + j]
         return at, h if n == 1 else mix(h ^ np.uint64(n))
 
 
-def births(pieces: Pieces, tables: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, hash and step of activation (0: not active) of every phrase of n > 1 words."""
+def looked_up(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return table[(h & np.uint64(len(table) - 1)).astype(np.int64)]
+
+
+def births(pieces: Pieces, tables: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and step of activation (0: not active) of every phrase of n > 1 words."""
     at, h = pieces.phrases(n)
-    inner_at, inner = pieces.phrases(n - 1)
-    table = tables[n - 2]
-    step = table[(inner & np.uint64(len(table) - 1)).astype(np.int64)]
-    left = step[np.searchsorted(inner_at, at)]
-    right = step[np.searchsorted(inner_at, at + 1)]
-    return at, h, np.where((left > 0) & (right > 0), np.maximum(left, right), 0)
+    step = looked_up(tables[n - 2], pieces.phrases(n - 1)[1])
+    left, right = step[at], step[at + 1]
+    return h[at], np.where((left > 0) & (right > 0), np.maximum(left, right), 0)
 
 
 def _counted(length: int, born: int, hashes: np.ndarray) -> pa.RecordBatch:
@@ -114,74 +115,71 @@ def scan(batches: Iterator[pa.RecordBatch], tables: list[np.ndarray], step: int,
                 yield _counted(0, 0, pieces.language)
                 yield _counted(1, 0, pieces.words)
             for n in range(2, len(tables) + 2):
-                _, h, born = births(pieces, tables, n)
+                h, born = births(pieces, tables, n)
                 for b in range(max(1, step - shards + 1), step + 1):
                     if (born == b).any():
                         yield _counted(n, b, h[born == b])
 
 
-NAMES = pa.schema(
-    [("h", pa.int64()), ("length", pa.int32()), ("language", pa.int64()), ("phrase", pa.string())]
-    + [("lefts", pa.list_(pa.int64())), ("rights", pa.list_(pa.int64())), ("inner", pa.list_(pa.int64()))]
-)
-NAMES_SCHEMA = "h long, length int, language long, phrase string, lefts array<long>, rights array<long>, inner array<long>"
+NAMES = pa.schema([("h", pa.int64()), ("language", pa.int64()), ("phrase", pa.string())])
+NAMES_SCHEMA = "h long, language long, phrase string"
 
 
 def name(batches: Iterator[pa.RecordBatch], tables: list[np.ndarray], longest: int) -> Iterator[pa.RecordBatch]:
-    """Words of the phrases that a table holds, hashes of both parts of each cut and of the phrases
-    one word shorter; a phrase about once a task."""
-    seen = np.zeros(0, np.uint64)
+    """The words of some occurrences of the phrases in the tables: value v gives about one in 2^(v - 1)."""
+    draw = np.random.default_rng(TaskContext.get().partitionId())
     for batch in batches:
         for part in text_chunks(batch, CHUNK):
             pieces = Pieces(part.column(1), _language(part))
-            by_length = {n: pieces.phrases(n) for n in range(1, longest + 1)}
-            if len(seen) > REMEMBERED:
-                seen = seen[:0]
+            text = pieces.data.tobytes()
             for n in range(2, longest + 1):
-                at, h = by_length[n]
-                table = tables[n - 2]
-                held = table[(h & np.uint64(len(table) - 1)).astype(np.int64)] > 0
-                h, first = np.unique(h[held], return_index=True)
-                new = ~np.isin(h, seen, assume_unique=True)
-                h, at = h[new], at[held][first[new]]
-                seen = np.union1d(seen, h)
-                if len(h):
-                    yield _named(pieces, by_length, n, at, h)
-
-
-def _named(pieces: Pieces, by_length: dict, n: int, at: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    text = pieces.data.tobytes()
-    starts, ends = pieces.starts, pieces.ends
-    words = [[text[s:e] for s, e in zip(starts[at + j].tolist(), ends[at + j].tolist())] for j in range(n)]
-    of = lambda size, begin: by_length[size][1][np.searchsorted(by_length[size][0], begin)]
-    lists = lambda parts: _lists(np.stack(parts, axis=1).view(np.int64))
-    return batch_of(
-        NAMES,
-        h=h.view(np.int64),
-        length=np.full(len(h), n, np.int32),
-        language=pieces.language[at].view(np.int64),
-        phrase=pa.array([b" ".join(w) for w in zip(*words)], pa.binary()).cast(pa.string()),
-        lefts=lists([of(k, at) for k in range(1, n)]),
-        rights=lists([of(n - k, at + k) for k in range(1, n)]),
-        inner=lists([of(n - 1, at), of(n - 1, at + 1)]),
-    )
+                at, h = pieces.phrases(n)
+                value = looked_up(tables[n - 2], h[at])
+                at = at[(value > 0) & (draw.random(len(at)) < 0.5 ** (value - 1.0))]
+                found, first = np.unique(h[at], return_index=True)
+                at = at[first]
+                words = [[text[s:e] for s, e in zip(pieces.starts[at + j].tolist(), pieces.ends[at + j].tolist())] for j in range(n)]
+                phrase = pa.array([b" ".join(w) for w in zip(*words)], pa.binary()).cast(pa.string())
+                if len(at):
+                    yield batch_of(NAMES, h=found.view(np.int64), language=pieces.language[at].view(np.int64), phrase=phrase)
 
 
-def _lists(rows: np.ndarray) -> pa.Array:
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).ravel()))
+PARTS = "h long, length int, language long, phrase string, a long, lefts array<long>, rights array<long>, inner array<long>"
 
 
-def mark(table: np.ndarray, hashes: DataFrame, value: int) -> int:
-    """Give the value to the free slots of the hashes h; returns how many. One bit a slot reaches the driver."""
+def cut_parts(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+    """To every phrase the hashes of both parts of each cut and of the phrases one word shorter."""
+    for batch in batches:
+        lengths = batch.column(1).to_numpy(zero_copy_only=False)
+        for n in np.unique(lengths):
+            part = batch.filter(pa.array(lengths == n))
+            pieces = Pieces(part.column(3), part.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
+            of = [pieces.phrases(k)[1] for k in range(1, n)]
+            at = np.arange(part.num_rows) * n
+            sides = (
+                [of[k - 1][at] for k in range(1, n)],
+                [of[n - k - 1][at + k] for k in range(1, n)],
+                [of[n - 2][at], of[n - 2][at + 1]],
+            )
+            yield pa.RecordBatch.from_arrays([*part.columns, *map(_lists, sides)], names=[*part.schema.names, "lefts", "rights", "inner"])
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    rows = np.stack(parts, axis=1).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+
+
+def mark(table: np.ndarray, hashes: DataFrame, value: Column) -> int:
+    """Give each free slot of the hashes h its least value; returns how many. Bits reach the driver,
+    one a slot and value."""
     slot = F.col("h").bitwiseAND(F.lit(len(table) - 1)) + 1
-    bits = hashes.select(slot.alias("slot")).groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
+    bits = hashes.select(slot.alias("slot"), value.cast("int").alias("value")).groupBy("value", F.expr("bitmap_bucket_number(slot)").alias("bucket"))
     fresh = 0
-    for row in bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")).collect():
+    for row in sorted(bits.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits")).collect()):
         held = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little").astype(bool)
         part = table[(row.bucket - 1) * len(held) :][: len(held)]
         free = held[: len(part)] & (part == 0)
-        part[free] = value
+        part[free] = row.value
         fresh += int(free.sum())
     return fresh
 
@@ -197,9 +195,8 @@ def sharded(docs: DataFrame, text: str, language: str, shards: int) -> DataFrame
     return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def count_phrases(corpus: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, list[np.ndarray]]:
-    """(length, h, c) of all languages (length 0), words and phrases counted `least` times or more, and
-    the tables of the phrases among them."""
+def count_phrases(corpus: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+    """(length, h, c) of all languages (length 0), words and phrases counted `least` times or more."""
     context = corpus.sparkSession.sparkContext
     tables = [np.zeros(slots, np.uint8) for _ in range(longest - 1)]
     complete, state, step, latest = [], None, 0, 0
@@ -216,14 +213,29 @@ def count_phrases(corpus: DataFrame, least: int = LEAST, longest: int = LONGEST,
         state = counts.where(~ended)
         step += 1
         for n in range(1, longest):
-            known = counts.where((F.col("length") == n) & (F.col("c") >= least))
-            if mark(tables[n - 1], known, step):
+            if mark(tables[n - 1], counts.where((F.col("length") == n) & (F.col("c") >= least)), F.lit(step)):
                 latest = step
-    found = reduce(DataFrame.union, complete)
-    kept = [np.zeros(slots, np.uint8) for _ in range(longest - 1)]
-    for n in range(2, longest + 1):
-        mark(kept[n - 2], found.where(F.col("length") == n), 1)
-    return found, kept
+    return written(reduce(DataFrame.union, complete), "phrase-counts")
+
+
+def name_phrases(corpus: DataFrame, counts: DataFrame, longest: int = LONGEST, slots: int = SLOTS) -> DataFrame:
+    """The counted phrases with their words and parts. Of a phrase counted a times about NAMED
+    occurrences are read, whatever a is; the few phrases missed so are read in full."""
+    context = corpus.sparkSession.sparkContext
+    missing = counts.where("length > 1").select("h", "length", F.col("c").alias("a"))
+    share, found = F.greatest(F.lit(0), F.floor(F.log2(F.col("a") / NAMED))) + 1, []
+    while not missing.isEmpty():
+        tables = [np.zeros(slots, np.uint8) for _ in range(longest - 1)]
+        for n in range(2, longest + 1):
+            mark(tables[n - 2], missing.where(F.col("length") == n), share)
+        shared = context.broadcast(tables)
+        rows = corpus.select("language", "text").mapInArrow(lambda it, b=shared: name(it, b.value, longest), NAMES_SCHEMA)
+        found.append(written(rows.join(missing, "h").dropDuplicates(["h"]).select("h", "length", "language", "phrase", "a"), "names"))
+        shared.destroy()
+        missing, share = written(missing.join(found[-1], "h", "left_anti"), "missing"), F.lit(1)
+    if not found:
+        found = [missing.select("h", "length", F.col("h").alias("language"), F.lit("").alias("phrase"), "a")]
+    return written(reduce(DataFrame.union, found).mapInArrow(lambda it: cut_parts(it, longest), PARTS), "phrases")
 
 
 def collocations(
@@ -234,13 +246,8 @@ def collocations(
     if not 1 <= shards <= 80:
         raise ValueError("shards must be between 1 and 80: steps are kept in a byte")
     corpus = sharded(docs, text, language, shards)
-    counts, tables = count_phrases(corpus, least, longest, shards, slots)
-    counts = written(counts, "phrase-counts")
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
-    named = corpus.select("language", "text").mapInArrow(lambda it: name(it, shared.value, longest), NAMES_SCHEMA)
-    phrases = counts.where("length > 1").select("h", F.col("c").alias("a"))
-    phrases = written(named.join(phrases, "h").dropDuplicates(["h"]), "phrases")
-    shared.destroy()
+    counts = count_phrases(corpus, least, longest, shards, slots)
+    phrases = name_phrases(corpus, counts, longest, slots)
 
     parts = counts.where((F.col("length") > 0) & (F.col("length") < longest)).select("h", "c")
     cut = phrases.select("h", "a", F.posexplode(F.arrays_zip("lefts", "rights")).alias("k", "cut")).select("h", "a", "k", "cut.*")
@@ -257,7 +264,11 @@ def collocations(
     names = docs.select(F.coalesce(F.col(language).cast("string"), F.lit("und")).alias("lang")).distinct()
     totals = counts.where("length = 0").select(F.col("h").alias("language"), F.col("c").alias("n"))
     totals = totals.join(names.withColumn("language", F.xxhash64("lang")), "language")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     scored = kept.join(score, "h").join(totals, "language").select("lang", "phrase", "a", "cut.l", "cut.r", "n", F.col("cut.score").alias("score"))
-    ranked = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # a language may hold most phrases: its best of every part first
+    parts = F.pmod(F.xxhash64("phrase"), F.lit(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    place = F.row_number().over(Window.partitionBy("lang", parts).orderBy(*order))
+    best = scored.withColumn("place", place).where(F.col("place") <= top).drop("place")
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -87,6 +87,7 @@ def test_activation_is_the_later_half(spark):
     word = pieces.phrases(1)[1]
     for h, step in zip(word[:3], (1, 3, 2)):
         tables[0][int(h) & 0xFFFF] = step
-    at, _, born = collocations.births(pieces, tables, 2)
-    assert at.tolist() == [0, 1, 3, 5] and born.tolist() == [3, 3, 3, 3]
-    assert collocations.births(pieces, tables, 3)[2].tolist() == [0]
+    h, born = collocations.births(pieces, tables, 2)
+    assert pieces.phrases(2)[0].tolist() == [0, 1, 3, 5] and born.tolist() == [3, 3, 3, 3]
+    assert h[0] == h[2] != h[1] == h[3]
+    assert collocations.births(pieces, tables, 3)[1].tolist() == [0]
