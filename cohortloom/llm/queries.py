@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import collocations, decontamination, language, licenses, near_duplicates, neighbours, packing, periodic_runs, secret_scan, substring_dedup, token_files, toxicity
+from cohortloom.llm import collocations, decontamination, language, licenses, main_text, near_duplicates, neighbours, packing, periodic_runs, secret_scan, substring_dedup, token_files, toxicity
 from cohortloom.llm.common import new_folder, remainder, ship
 from cohortloom.llm.tokens import vocabulary
 
@@ -203,3 +203,8 @@ QUALIFY rank <= 2000""",
 )
 def op12_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op11_main_text")
+def op11_main_text(spark, sf_dir):
+    return main_text.main_text(table(spark, sf_dir, "pages"))
