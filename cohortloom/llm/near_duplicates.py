@@ -8,13 +8,20 @@ estimates the probability Jaccard similarity of their weighted shingles (for uni
 Jaccard similarity). BANDS bands of ROWS registers make candidates; two texts are linked if their
 probability Jaccard, or that of the plain sets, is at least THRESHOLD, both computed exactly.
 
+A text in which shingles repeat has a second signature of unit weights, whose bands stand beside the
+first ones; of other texts both are the same, so bands of either kind meet.
+
 Classes are the connected components of the links. Equal texts are one node. A bucket is never
-expanded into all pairs: each member is first compared with the LEADERS leaders that it shares most
-bands with (a bucket's centre and MASKS random ones), and components are formed.
-Only members of different components that still share a bucket are then compared pair by pair, once
-for all their bands, where REGISTERS registers allow the similarity at all: MIN_ESTIMATE lies 3.2
+expanded into all pairs. Each member is first compared with the LEADERS leaders that it shares most
+bands with (a bucket's centre and MASKS random ones), and components are formed. Then rounds follow, as
+long as a fair share (PROGRESS) of their comparisons finds a link: in a bucket that still holds several
+components, the members outside its largest one are compared with TRIES leaders of other components,
+drawn anew each round. What stays apart after that is compared with the other components of its buckets
+where REGISTERS registers of either signature allow the similarity at all: MIN_ESTIMATE lies 3.2
 standard errors below it, so a pair exactly at the threshold is passed over with probability 7e-4,
 and one at 0.85 with 1e-8. A pair at the threshold shares no bucket with probability 7e-5.
+Comparisons grow with the texts, but for texts that share buckets with many others and have no link to
+them: their signatures must be held against all of these, so none is lost.
 
 Edge cases: null is the empty text; texts without words are alike only if they are equal; null ids
 rank last; rows that repeat id and text belong to one class, and one of them is kept.
@@ -38,6 +45,9 @@ REGISTERS = 256
 MIN_ESTIMATE = 0.72
 #: Random leaders of a bucket besides its centre, and how many of its buckets' leaders a text is compared with.
 MASKS, LEADERS = 1, 2
+#: Leaders drawn in a bucket, and compared with a text, in each later round; a round that links less than
+#: this share of its pairs is the last one.
+HEADS, TRIES, PROGRESS = 4, 8, 0.02
 LAST = (1 << 63) - 1
 
 
@@ -128,7 +138,7 @@ def similarities(left: pa.Array, right: pa.Array) -> np.ndarray:
     return out
 
 
-SIGNED = pa.schema([("doc", pa.int64()), ("hash1", pa.int64()), ("hash2", pa.int64()), ("signature", pa.list_(pa.int16())), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("doc", pa.int64()), ("hash1", pa.int64()), ("hash2", pa.int64()), ("signature", pa.list_(pa.int16())), ("plain", pa.list_(pa.int16())), ("bands", pa.list_(pa.int64()))])
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,10 +149,24 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.flatnonzero(words.counts > 0)
             place = np.cumsum(words.counts > 0) - 1
             marks = signatures(len(own), place[text], hashes, weights(times))
-            keys = band_keys(marks[:, : BANDS * ROWS]).view(np.int64)
-            offsets = np.concatenate(([0], np.cumsum(words.counts > 0)))
-            lists = lambda x, k: pa.ListArray.from_arrays(pa.array((offsets * k).astype(np.int32)), pa.array(x.ravel()))
-            yield batch_of(SIGNED, doc=part.column(0), hash1=part.column(1), hash2=part.column(2), signature=lists((marks & np.uint32(0xFFFF)).astype(np.uint16).view(np.int16), REGISTERS), bands=lists(keys, BANDS))
+            # unit weights give other marks only where a shingle repeats
+            many = np.unique(place[text[times > 1]])
+            inner = np.isin(place[text], many)
+            unit = signatures(len(many), np.searchsorted(many, place[text[inner]]), hashes[inner], np.ones(inner.sum()))
+            keys = [band_keys(m[:, : BANDS * ROWS]).view(np.int64) for m in (marks, unit)]
+            short = lambda m: (m & np.uint32(0xFFFF)).astype(np.uint16).view(np.int16)
+            yield batch_of(
+                SIGNED, doc=part.column(0), hash1=part.column(1), hash2=part.column(2),
+                signature=rows_of(len(part), own, short(marks)), plain=rows_of(len(part), own[many], short(unit)),
+                bands=rows_of(len(part), np.concatenate((own, own[many])), np.concatenate(keys)),
+            )
+
+
+def rows_of(n: int, owner: np.ndarray, rows: np.ndarray) -> pa.Array:
+    """n lists: the rows of each owner, one after the other."""
+    order = np.argsort(owner, kind="stable")
+    offsets = np.searchsorted(owner[order], np.arange(n + 1)) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(rows[order].ravel()))
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -209,14 +233,47 @@ def apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(mixed, ["band", "key"])
 
 
-def open_pairs(members: DataFrame, marks: DataFrame) -> DataFrame:
-    """(a, b) of different components that share a bucket and may be similar, in their first one."""
-    side = lambda s: members.join(marks, "node").select("band", "key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "signature", "bands")])
-    # comparisons from cheap to dear: components, the first band in common, the signatures
-    shared = F.array_position(F.zip_with("a_bands", "b_bands", lambda x, y: x == y), F.lit(True)) == F.col("band") + 1
-    equal = F.aggregate(F.zip_with("a_signature", "b_signature", lambda x, y: x == y), F.lit(0), lambda s, x: s + x.cast("int"))
-    near = F.when(F.col("a_component") < F.col("b_component"), F.when(shared, equal >= int(MIN_ESTIMATE * REGISTERS)))
-    return side("a").join(side("b"), ["band", "key"]).where((F.col("a_component") < F.col("b_component")) & near).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+def strays(members: DataFrame) -> DataFrame:
+    """The members, and whether they stand outside the largest component of their bucket."""
+    sizes = members.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "component")).alias("top"))
+    return members.join(top, ["band", "key"]).select("band", "key", "node", "component", (F.col("component") != F.col("top.component")).alias("stray"))
+
+
+def stray_pairs(members: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
+    """(a, b): strays with the leaders of other components that they share most buckets with."""
+    mask = [F.xxhash64("band", F.lit(turn), F.lit(i)) for i in range(HEADS)]
+    drawn = [F.min(F.struct(F.col("node").bitwiseXOR(m).alias("order"), "node", F.col("component").alias("other"))).alias(f"m{i}") for i, m in enumerate(mask)]
+    heads = members.groupBy("band", "key").agg(*drawn).select("band", "key", F.array(*[f"m{i}" for i in range(HEADS)]).alias("heads"))
+    met = members.where("stray").join(heads, ["band", "key"]).select("node", "component", F.explode(F.array_distinct("heads")).alias("head"))
+    met = met.where("component != head.other").groupBy(F.col("node").alias("a"), F.col("head.node").alias("b")).agg(F.count("*").alias("n"))
+    met = met.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
+    order = Window.partitionBy("a").orderBy(F.desc("n"), F.xxhash64("a", "b"), "b")
+    return met.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TRIES).select("a", "b")
+
+
+def open_pairs(members: DataFrame, marks: DataFrame, tried: DataFrame) -> DataFrame:
+    """(a, b): strays with members of other components of their buckets, if they may be similar."""
+    side = lambda s: members.join(marks, "node").select("band", "key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "stray", "signature", "plain")])
+    equal = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p == q), F.lit(0), lambda n, p: n + p.cast("int"))
+    unit = lambda s: F.when(F.size(f"{s}_plain") > 0, F.col(f"{s}_plain")).otherwise(F.col(f"{s}_signature"))
+    least = int(MIN_ESTIMATE * REGISTERS)
+    repeats = (F.size("a_plain") > 0) | (F.size("b_plain") > 0)
+    near = F.when(equal("a_signature", "b_signature") >= least, True).when(repeats, equal(unit("a"), unit("b")) >= least)
+    once = (F.col("a_component") != F.col("b_component")) & (~F.col("b_stray") | (F.col("a_node") < F.col("b_node")))
+    found = side("a").where("a_stray").join(side("b"), ["band", "key"]).where(F.when(once, near))
+    return found.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of the nodes after more links: components of components."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    alone = ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("component"))
+    known = written(labels.union(alone), "labels")
+    of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"))
+    edges = links.join(of("a"), "a").join(of("b"), "b").where("a_in != b_in").select(F.col("a_in").alias("a"), F.col("b_in").alias("b"))
+    moved = components(edges).select(F.col("node").alias("component"), F.col("component").alias("now"))
+    return written(known.join(moved, "component", "left").select("node", F.coalesce("now", "component").alias("component")), "labels")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -229,23 +286,32 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.xxhash64(F.lit("second"), text).alias("hash2"),
         text.alias("text"),
     )
-    signed = keyed.mapInArrow(sign, "doc long, hash1 long, hash2 long, signature array<short>, bands array<long>")
+    signed = keyed.mapInArrow(sign, "doc long, hash1 long, hash2 long, signature array<short>, plain array<short>, bands array<long>")
     signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
     same = signed.groupBy("hash1", "hash2").agg(F.min("row").alias("node"))
     every = signed.join(same.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.posexplode("bands").alias("band", "key"))
-    every = written(every, "bands")
+    every = written(every.withColumn("band", F.col("band") % BANDS), "bands")
     shared = every.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = written(every.join(shared, ["band", "key"]), "buckets")
     wanted = signed.join(buckets.select(F.col("node").alias("row")).distinct(), "row")
     wanted = written(wanted.withColumnRenamed("row", "node"), "marks")
     found = keyed.join(wanted.select("node", "doc", "hash1", "hash2"), ["doc", "hash1", "hash2"]).select("node", "text").dropDuplicates(["node"])
     texts = Texts(written(found, "texts"), threshold)
-    links = texts.links(leaders(buckets))
-    labels = components(links)
-    rest = open_pairs(apart(buckets, labels), wanted.select("node", "signature", "bands"))
-    more = texts.links(rest)
+    tried = written(leaders(buckets), "pairs")
+    labels = components(texts.links(tried))
+    turn, share = 0, 1.0
+    while share >= PROGRESS:
+        members = written(strays(apart(buckets, labels)), "apart")
+        pairs = written(stray_pairs(members, tried, turn), "pairs")
+        more = texts.links(pairs)
+        compared, linked = pairs.count(), more.count()
+        tried, turn, share = tried.union(pairs), turn + 1, linked / max(compared, 1)
+        if linked:
+            labels = merged(labels, more)
+    rest = strays(apart(buckets, labels))
+    more = texts.links(open_pairs(rest, wanted.select("node", "signature", "plain"), tried))
     if not more.isEmpty():
-        labels = components(links.union(more))
+        labels = merged(labels, more)
     member = signed.select("row", "doc", "hash1", "hash2").join(same.select("hash1", "hash2", "node"), ["hash1", "hash2"])
     member = member.join(labels, "node", "left").select("row", "doc", "hash1", "hash2", F.coalesce("component", "node").alias("component"))
     member = written(member, "members")

@@ -262,6 +262,47 @@ def test_classes_equal_brute_force(spark):
     assert near_duplicates.drop_near_duplicates(frame(spark, [])).count() == 0
 
 
+def by_class(rows, class_of):
+    groups = {}
+    for x in rows:
+        groups.setdefault(class_of(x), []).append(x[0])
+    return sorted(sorted(map(str, g)) for g in groups.values())
+
+
+@pytest.mark.parametrize("n", [300, 900])
+def test_dense_groups_cost_a_few_comparisons_a_text(spark, monkeypatch, n):
+    """Variants of one text with three or four changed words: most pairs lie between 0.75 and 0.85."""
+    r, base, compared = random.Random(n), prose(7, 300).split(), []
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(r.randint(3, 4)):
+            w[r.randrange(300)] = prose(r.random(), 1)
+        rows.append(row(i, " ".join(w)))
+    links = near_duplicates.Texts.links
+
+    def counted(self, pairs):
+        compared.append(pairs.count())
+        return links(self, pairs)
+
+    monkeypatch.setattr(near_duplicates.Texts, "links", counted)
+    got = {x.doc_id: x.class_id for x in near_duplicates.near_duplicates(frame(spark, rows)).collect()}
+    want = plain_classes(rows)
+    assert by_class(rows, lambda x: got[x[0]]) == by_class(rows, lambda x: want[x[:2]])
+    assert sum(compared) <= 6 * n
+
+
+def test_a_passage_repeated_in_one_copy_links_by_the_sets(spark):
+    rows = []
+    for g in range(6):
+        w = prose(40 + g, 104).split()
+        rows += [row(5000 + 10 * g, " ".join(w)), row(5001 + 10 * g, " ".join(w[:34] * 100 + w[34:])), row(5002 + 10 * g, " ".join(w[34:] + w[:34] * 60))]
+    rows += near_rows()[:40]
+    got = {x.doc_id: x.class_id for x in near_duplicates.near_duplicates(frame(spark, rows)).collect()}
+    want = plain_classes(rows)
+    assert by_class(rows, lambda x: got[x[0]]) == by_class(rows, lambda x: want[x[:2]])
+
+
 def test_signatures_estimate_probability_jaccard():
     r = np.random.default_rng(1)
     hashes = r.integers(0, 1 << 62, 400).astype(np.uint64)
