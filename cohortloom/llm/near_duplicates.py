@@ -47,7 +47,7 @@ MIN_ESTIMATE = 0.72
 MASKS, LEADERS = 1, 2
 #: Leaders drawn in a bucket, and compared with a text, in each later round; a round that links less than
 #: this share of its pairs is the last one.
-HEADS, TRIES, PROGRESS = 4, 8, 0.02
+HEADS, TRIES, PROGRESS = 4, 8, 0.005
 LAST = (1 << 63) - 1
 
 
@@ -254,14 +254,19 @@ def stray_pairs(members: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
 
 def open_pairs(members: DataFrame, marks: DataFrame, tried: DataFrame) -> DataFrame:
     """(a, b): strays with members of other components of their buckets, if they may be similar."""
-    side = lambda s: members.join(marks, "node").select("band", "key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "stray", "signature", "plain")])
+    side = lambda s: members.join(marks, "node").select("band", "key", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "stray", "signature", "plain", "bands")])
     equal = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p == q), F.lit(0), lambda n, p: n + p.cast("int"))
     unit = lambda s: F.when(F.size(f"{s}_plain") > 0, F.col(f"{s}_plain")).otherwise(F.col(f"{s}_signature"))
     least = int(MIN_ESTIMATE * REGISTERS)
     repeats = (F.size("a_plain") > 0) | (F.size("b_plain") > 0)
     near = F.when(equal("a_signature", "b_signature") >= least, True).when(repeats, equal(unit("a"), unit("b")) >= least)
     once = (F.col("a_component") != F.col("b_component")) & (~F.col("b_stray") | (F.col("a_node") < F.col("b_node")))
-    found = side("a").where("a_stray").join(side("b"), ["band", "key"]).where(F.when(once, near))
+    # a pair is compared in the first band in which any key of one is a key of the other
+    keys = lambda s: (F.slice(f"{s}_bands", 1, BANDS), F.slice(f"{s}_bands", F.size(f"{s}_bands") - BANDS + 1, BANDS))
+    meets = [F.zip_with(x, y, lambda p, q: p == q) for x in keys("a") for y in keys("b")]
+    any_of = F.zip_with(F.zip_with(meets[0], meets[1], lambda p, q: p | q), F.zip_with(meets[2], meets[3], lambda p, q: p | q), lambda p, q: p | q)
+    first = F.array_position(F.when(repeats, any_of).otherwise(meets[0]), True) == F.col("band") + 1
+    found = side("a").where("a_stray").join(side("b"), ["band", "key"]).where(F.when(once, F.when(first, near)))
     return found.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
@@ -309,7 +314,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         if linked:
             labels = merged(labels, more)
     rest = strays(apart(buckets, labels))
-    more = texts.links(open_pairs(rest, wanted.select("node", "signature", "plain"), tried))
+    more = texts.links(open_pairs(rest, wanted.select("node", "signature", "plain", "bands"), tried))
     if not more.isEmpty():
         labels = merged(labels, more)
     member = signed.select("row", "doc", "hash1", "hash2").join(same.select("hash1", "hash2", "node"), ["hash1", "hash2"])
