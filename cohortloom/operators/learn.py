@@ -4,14 +4,14 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import ArithmeticException, IllegalArgumentException
 from pyspark.ml import Model
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
+    DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import col, to_number
-from cohortloom.operators import evaluate, rank, sample
+from cohortloom.operators import evaluate, forest, rank, sample
 from cohortloom.operators.project import column_medians
 from cohortloom.session import cut_lineage
 
@@ -32,15 +32,15 @@ SCORE = evaluate.SCORE
 
 # ---- presets ------------------------------------------------------------------------------
 # Family, default parameters and first choice of calibration of each model.
-# MLlib has no extra-trees, xgboost, histogram boosting or lightgbm; their presets are the
-# closest forest or gradient-boosted settings. Unlimited depth becomes 30, the deepest that the
-# library grows; boosting that is limited by 31 leaves instead gets depth 5.
+# Forests grow in operators/forest.py, depth 0 is open. MLlib has no xgboost, histogram boosting or
+# lightgbm; their presets are the closest gradient-boosted settings, where a limit of 31 leaves becomes
+# depth 5.
 PRESETS: dict[str, dict] = {
     "logistic_regression": {"family": "logistic", "params": {"C": 1.0, "maxIter": 300}, "calibration": "sigmoid"},
     "decision_tree": {"family": "tree", "params": {"maxDepth": 5, "minInstancesPerNode": 50}, "calibration": "isotonic"},
-    "random_forest": {"family": "forest", "params": {"numTrees": 300, "maxDepth": 30}, "calibration": "isotonic"},
+    "random_forest": {"family": "forest", "params": {"numTrees": 300, "maxDepth": 0}, "calibration": "isotonic"},
     "extra_trees": {
-        "family": "forest", "params": {"numTrees": 300, "maxDepth": 30, "bootstrap": False, "maxBins": 8},
+        "family": "forest", "params": {"numTrees": 300, "maxDepth": 0, "bootstrap": False, "randomSplits": True},
         "calibration": "isotonic",
     },
     "xgboost": {
@@ -63,7 +63,7 @@ STACK_BASE = ("random_forest", "xgboost", "hist_gradient_boosting")
 # Search spaces.
 SEARCH_SPACES: dict[str, dict[str, list]] = {
     "logistic_regression": {"C": [0.01, 0.1, 1.0, 10.0, 100.0]},
-    "random_forest": {"numTrees": [100, 200, 300, 500], "maxDepth": [30, 5, 10, 20]},
+    "random_forest": {"numTrees": [100, 200, 300, 500], "maxDepth": [0, 5, 10, 20]},
     "xgboost": {"maxIter": [100, 300, 500], "stepSize": [0.01, 0.05, 0.1], "maxDepth": [4, 6, 8]},
     "hist_gradient_boosting": {"maxIter": [100, 200, 300], "stepSize": [0.01, 0.05, 0.1]},
 }
@@ -101,14 +101,38 @@ def estimator(spec: Spec, n_rows: int):
         return LogisticRegression(weightCol="weight", regParam=strength, **common, **p)
     if family == "tree":
         return DecisionTreeClassifier(weightCol="weight", seed=spec.seed, **common, **p)
-    if family == "forest":
-        return RandomForestClassifier(weightCol="weight", seed=spec.seed, **common, **p)
     if family == "boosted":
         return GBTClassifier(weightCol="weight", seed=spec.seed, **common, **p)
     layers = [len(spec.features), *p.pop("hidden"), 2]
     return MultilayerPerceptronClassifier(layers=layers, seed=spec.seed, **common, **p)
 
 
+def forest_settings(spec: Spec) -> forest.Settings:
+    p = spec.settings
+    return forest.Settings(
+        trees=p["numTrees"], depth=p["maxDepth"], min_leaf=p.get("minInstancesPerNode", 1), bootstrap=p.get("bootstrap", True),
+        random_splits=p.get("randomSplits", False), seed=spec.seed,
+    )
+
+
+def feature_values(features: Sequence[str]) -> Column:
+    """The columns as numbers in one array, missing ones as -1."""
+    return F.array(*[F.coalesce(to_number(f), F.lit(FILL)).cast("double") for f in features])
+
+
+def forest_rows(df: DataFrame, spec: Spec) -> DataFrame:
+    """row, y, w and x of the rows with a label, balanced by weight; rows without key are told apart by
+    their values."""
+    label = col(spec.label).cast("double")
+    known = sample.with_class_weight(df.withColumn(spec.label, label).where(label.isNotNull()), spec.label)
+    key = F.xxhash64(col(spec.key)) if spec.key in df.columns else F.xxhash64(*[col(f) for f in spec.features])
+    return known.select(key.alias("row"), col(spec.label).alias("y"), F.col("weight").alias("w"), feature_values(spec.features).alias("x"))
+
+
+def _is_forest(spec: Spec) -> bool:
+    return PRESETS[spec.name]["family"] == "forest"
+
+
 def _is_network(spec: Spec) -> bool:
     return PRESETS[spec.name]["family"] == "mlp"
 
@@ -127,18 +151,26 @@ class Scorer:
     """Anything that adds a probability column."""
 
     spec: Spec
-    model: Model
+    model: Model | forest.ForestModel
     calibrators: tuple = ()
     method: str | None = None
     warnings: tuple[str, ...] = ()
 
     def score(self, df: DataFrame, out: str = SCORE) -> DataFrame:
+        if isinstance(self.model, forest.ForestModel):
+            return self.model.add_score(df.withColumn("_x", feature_values(self.spec.features)), "_x", out).drop("_x")
         scored = self.model.transform(assemble(df, self.spec.features))
         return scored.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
 def fit_model(df: DataFrame, spec: Spec) -> Scorer:
     """The learner passes over its rows many times, so they are kept while it runs."""
+    if _is_forest(spec):
+        kept = forest_rows(df, spec).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return Scorer(spec, forest.fit(kept, forest_settings(spec)))
+        finally:
+            kept.unpersist()
     rows = training_rows(df, spec).select("features", spec.label, *([] if _is_network(spec) else ["weight"]))
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -348,6 +380,8 @@ def hyperparameter_search(
     parallelism: int = 4,
 ) -> list[dict]:
     """Settings with their mean cross-validated F2, best first."""
+    if _is_forest(spec):
+        return _search_forest(df, spec, space, n, folds)
     rows = training_rows(folded_rows(df, spec, folds), spec).persist(StorageLevel.MEMORY_AND_DISK)
     total = rows.count()
     base = estimator(spec, total)
@@ -366,6 +400,18 @@ def hyperparameter_search(
     return [{"params": s, "f2": m} for s, m in ranked]
 
 
+def _search_forest(df: DataFrame, spec: Spec, space: Mapping[str, Sequence] | None, n: int, folds: int) -> list[dict]:
+    """As hyperparameter_search: the held-out rows of all folds are scored and counted in one job a setting."""
+    folded = folded_rows(df, spec, folds)
+    found = []
+    for setting in random_grid(space or SEARCH_SPACES.get(spec.name, {}), n, spec.seed):
+        part = replace(spec, params={**spec.params, **setting})
+        held = [fit_model(folded.where(F.col("fold") != f), part).score(folded.where(F.col("fold") == f)).select("fold", spec.label, SCORE) for f in range(folds)]
+        metrics = evaluate.classification_metrics(reduce(DataFrame.unionByName, held), 0.5, ["fold"], label=spec.label)
+        found.append({"params": setting, "f2": metrics.agg(F.avg("F2")).first()[0] or 0.0})
+    return sorted(found, key=lambda x: -x["f2"])
+
+
 def _test_row(df: DataFrame, train: DataFrame, val: DataFrame, test: DataFrame, spec: Spec, recall_min: float) -> DataFrame:
     scorer = fit_model(train, spec)
     best = evaluate.find_threshold(

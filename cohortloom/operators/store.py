@@ -10,7 +10,8 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.operators.learn import CalibratedScorer, Calibrator, Ensemble, Scorer, Spec
+from cohortloom.operators.forest import ForestModel
+from cohortloom.operators.learn import PRESETS, CalibratedScorer, Calibrator, Ensemble, Scorer, Spec
 
 MANIFEST_VERSION = 1
 
@@ -23,7 +24,9 @@ def _read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).where("value <> ''").first()["value"])
 
 
-def _save(model: Model, path: str) -> None:
+def _save(model: Model | ForestModel, path: str) -> None:
+    if isinstance(model, ForestModel):
+        return model.save(path)
     PipelineModel(stages=[model]).write().overwrite().save(path)
 
 
@@ -31,6 +34,10 @@ def _load(path: str) -> Model:
     return PipelineModel.load(path).stages[0]
 
 
+def _load_learner(spark: SparkSession, spec: Spec, path: str) -> Model | ForestModel:
+    return ForestModel.load(spark, path) if PRESETS[spec.name]["family"] == "forest" else _load(path)
+
+
 def save(spark: SparkSession, scorer: Scorer | CalibratedScorer | Ensemble, path: str) -> None:
     """Write a model of any kind to a folder."""
     about: dict = {"kind": type(scorer).__name__}
@@ -60,11 +67,11 @@ def load(spark: SparkSession, path: str) -> Scorer | CalibratedScorer | Ensemble
     spec = Spec(**about["spec"] | {"features": tuple(about["spec"]["features"])})
     warnings = tuple(about["warnings"])
     if about["kind"] == "Scorer":
-        return Scorer(spec, _load(f"{path}/model-0"), method=about["method"], warnings=warnings)
+        return Scorer(spec, _load_learner(spark, spec, f"{path}/model-0"), method=about["method"], warnings=warnings)
     parts = []
     for i, method in enumerate(about["calibrators"]):
         calibrator = Calibrator(method, _load(f"{path}/calibrator-{i}")) if method else None
-        parts.append((Scorer(spec, _load(f"{path}/model-{i}")), calibrator))
+        parts.append((Scorer(spec, _load_learner(spark, spec, f"{path}/model-{i}")), calibrator))
     return CalibratedScorer(spec, parts, about["method"], warnings)
 
 

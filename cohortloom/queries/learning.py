@@ -25,8 +25,8 @@ from cohortloom.streaming.score import read_records, score_stream as stream_scor
 SMALL = {
     "logistic_regression": {},
     "decision_tree": {},
-    "random_forest": {"maxDepth": 8},
-    "extra_trees": {"maxDepth": 8},
+    "random_forest": {},
+    "extra_trees": {},
     "xgboost": {"maxIter": 20, "stepSize": 0.2},
     "hist_gradient_boosting": {"maxIter": 20, "stepSize": 0.2},
     "lightgbm": {"maxIter": 20, "stepSize": 0.2},

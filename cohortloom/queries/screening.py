@@ -304,25 +304,24 @@ def anomaly_contrast(spark, sf):
 
 
 # ---- learners for screening -------------------------------------------------------------------
-#: The depth at which a forest on these few features stops to gain; the trees are the preset's.
-SMALL = {"maxDepth": 8}
+IMPORTANCE = {"maxDepth": 12}
 
 
 @query("rf_importance")
 def rf_importance(spark, sf):
-    return unsup.forest_importance(fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=SMALL))
+    return unsup.forest_importance(fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=IMPORTANCE))
 
 
 @query("feature_ranking")
 def feature_ranking(spark, sf):
-    ranked, _ = unsup.feature_ranking(fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=SMALL), min_score=0.02)
+    ranked, _ = unsup.feature_ranking(fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=IMPORTANCE), min_score=0.02)
     return ranked
 
 
 @query("feature_stability")
 def feature_stability(spark, sf):
     return unsup.feature_stability(
-        fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=SMALL), top_k=3
+        fx.scored(spark, sf), Spec("random_forest", tuple(FEATS), params=IMPORTANCE), top_k=3
     )
 
 
