@@ -13,7 +13,8 @@ from pyspark.sql.window import Window
 
 from cohortloom.functions.numeric import col
 from cohortloom.operators.evaluate import rates, roc_auc
-from cohortloom.operators.learn import cv_evaluate
+from cohortloom.operators.forest import ForestModel
+from cohortloom.operators.learn import FILL, cv_evaluate, feature_values
 from cohortloom.operators.ordered import running_totals
 from cohortloom.operators.rank import case_type
 from cohortloom.operators.sample import shuffled_column
@@ -128,9 +129,10 @@ def permutation_importance(df: DataFrame, scorer, repeats: int = 5) -> DataFrame
 
 
 def sampled_attributions(df: DataFrame, scorer, permutations: int = 3, seed: int = 42) -> DataFrame:
-    """(key, feature, contribution) of any model by permutation sampling against the mean row.
+    """(key, feature, contribution) of any model against the mean row, averaged over permutations.
 
-    A row is scored once per permutation and prefix: the features of the prefix come from
+    A forest's contributions are the average over all permutations, summed in closed form in one pass.
+    Other models are sampled: a row is scored once per permutation and prefix: the features of the prefix come from
     the row, the others from the background. Differences of neighbouring prefixes are the
     contributions, averaged over the permutations.
     """
@@ -138,7 +140,14 @@ def sampled_attributions(df: DataFrame, scorer, permutations: int = 3, seed: int
     rng = random.Random(seed)
     names = list(spec.features)
     orders = [rng.sample(range(len(names)), len(names)) for _ in range(permutations)]
-    background = df.agg(F.struct(*[F.avg(col(f)).alias(f"b{i}") for i, f in enumerate(names)]).alias("b")).scalar()
+    means = F.struct(*[F.avg(col(f)).alias(f"b{i}") for i, f in enumerate(names)])
+    if isinstance(getattr(scorer, "model", None), ForestModel):
+        at = [FILL if v is None else float(v) for v in df.agg(means.alias("b")).first()["b"]]
+        found = scorer.model.add_contributions(df.select(col(spec.key), feature_values(names).alias("_x")), "_x", at, "_c")
+        return found.select(col(spec.key), F.posexplode("_c").alias("_i", "contribution")).select(
+            col(spec.key), F.get(F.array(*[F.lit(f) for f in names]), F.col("_i")).alias("feature"), "contribution"
+        )
+    background = df.agg(means.alias("b")).scalar()
     ranks = F.array(*[F.array(*[F.lit(order.index(i)) for i in range(len(names))]) for order in orders])
     wide = df.select(col(spec.key), *[col(f).cast("double").alias(f) for f in names]).withColumn("_b", background)
     wide = wide.withColumn("_r", ranks).select("*", F.posexplode("_r").alias("_perm", "_rank"))

@@ -22,8 +22,9 @@ constant features are never tried; a pure node is a leaf; equal rows stay togeth
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -219,6 +220,45 @@ def walk(arrays: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     return at
 
 
+def contributions(arrays: dict[str, np.ndarray], x: np.ndarray, background: np.ndarray) -> np.ndarray:
+    """Rows x features: what each feature adds to a tree's value when a row's values replace the
+    background's, averaged over all orders of replacing them.
+
+    Only leaves that a mixture of both reaches matter. Such a leaf asks for the row's value of a features
+    and the background's of b others; in a!(b-1)!/(a+b)! of the orders one of the b is the first to spoil
+    it, in (a-1)!b!/(a+b)! one of the a the last to make it. Rows fork where both part, so a row costs
+    the leaves in its reach times their depth.
+    """
+    n, k = x.shape
+    out = np.zeros((n, k))
+    fact = np.cumprod(np.concatenate(([1.0], np.arange(1, k + 1, dtype=float))))
+    row, at = np.arange(n), np.zeros(n, np.int64)
+    own, other = np.zeros((n, k), bool), np.zeros((n, k), bool)
+    while len(row):
+        f = arrays["feature"][at]
+        end = f < 0
+        a, b = own[end].sum(axis=1), other[end].sum(axis=1)
+        value = arrays["value"][at[end]] / fact[a + b]
+        made = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b], 0.0) * value
+        spoilt = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)], 0.0) * value
+        np.add.at(out, row[end], own[end] * made[:, None] - other[end] * spoilt[:, None])
+        row, at, own, other, f = row[~end], at[~end], own[~end], other[~end], f[~end]
+        every = np.arange(len(row))
+        cut = arrays["threshold"][at]
+        mine, theirs = x[row, f] <= cut, background[f] <= cut
+        fork = (mine != theirs) & ~own[every, f] & ~other[every, f]
+        side = np.where(other[every, f], theirs, mine)
+        step = lambda node, left: np.where(left, arrays["left"][node], arrays["right"][node])
+        again = np.flatnonzero(fork)
+        third = other[again].copy()
+        third[np.arange(len(again)), f[again]] = True
+        row, at, other = np.append(row, row[again]), np.append(step(at, side), step(at[again], theirs[again])), np.concatenate((other, third))
+        second = own[again].copy()
+        own[again, f[again]] = True
+        own = np.concatenate((own, second))
+    return out
+
+
 # ---- large nodes in Spark -----------------------------------------------------------------
 @dataclass
 class Top:
@@ -402,6 +442,12 @@ def grow_group(group: pa.Table, s: Settings, tops: dict[int, Top]) -> pa.Table:
     return pa.table([pa.array([v], k) for v, k in zip([tree, at, *[found[n] for n in names[2:]]], kinds)], names=names)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Narrow rows with much work each, dealt over all cores however few files they come from."""
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _adder(block):
     """Sums of the trees of a broadcast block."""
 
@@ -414,6 +460,19 @@ def _adder(block):
     return add
 
 
+def _explainer(block, background: np.ndarray):
+    """Sums of the contributions of a broadcast block, a few rows at once."""
+
+    def add(x: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        points = np.stack(x.to_numpy())
+        parts = [points[i : i + 1024] for i in range(0, len(points), 1024)]
+        return pd.Series(list(np.concatenate([sum(contributions(t, p, background) for t in block.value.values()) for p in parts])))
+
+    return add
+
+
 def _grower(s: Settings, tops):
     """The function of one argument that Spark applies to a group."""
     return lambda group: grow_group(group, s, tops.value)
@@ -467,6 +526,15 @@ class ForestModel:
             df = df.withColumn(name, F.pandas_udf(_adder(shared), "double")(F.col(values)))
         return df.withColumn(out, sum((F.col(n) for n in names), F.lit(0.0)) / total).drop(*names)
 
+    def add_contributions(self, df: DataFrame, values: str, background: Sequence[float], out: str) -> DataFrame:
+        """An array with the contribution of each feature; it sums to the row's score less the background's."""
+        context, names, at, df = df.sparkSession.sparkContext, [], np.array(background, float), spread(df)
+        for i, block in enumerate(self.blocks()):
+            names.append(f"_part{i}")
+            df = df.withColumn(names[-1], F.pandas_udf(_explainer(context.broadcast(block), at), "array<double>")(F.col(values)))
+        total = reduce(lambda x, y: F.zip_with(x, y, lambda p, q: p + q), [F.col(n) for n in names])
+        return df.withColumn(out, F.transform(total, lambda v: v / len(self.tops))).drop(*names)
+
     @property
     def featureImportances(self) -> DenseVector:
         """Share of the fall of impurity that each feature brings, averaged over the trees."""

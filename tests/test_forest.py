@@ -126,3 +126,28 @@ def test_partitions_do_not_matter_and_odd_tables(spark):
 def test_bootstrap_counts_have_mean_one():
     k = forest.bootstrap_counts(np.arange(200_000), 3, 42)
     assert abs(k.mean() - 1) < 0.01 and abs((k == 0).mean() - np.exp(-1)) < 0.005
+
+
+def test_contributions_equal_full_enumeration(spark):
+    import itertools
+
+    rows, plain = table(spark, 120, 6)
+    model = forest.fit(rows, Settings(trees=3, bound=50, seed=2))
+    points = np.array([v for *_, v in plain])
+    background = points.mean(axis=0)
+    want = np.zeros(points.shape)
+    trees = [a for block in model.blocks() for a in block.values()]
+    for arrays in trees:
+        value = lambda z: arrays["value"][forest.walk(arrays, z)]  # noqa: E731, B023
+        for order in itertools.permutations(range(4)):
+            mixed = np.tile(background, (len(points), 1))
+            for f in order:
+                before = value(mixed)
+                mixed[:, f] = points[:, f]
+                want[:, f] += (value(mixed) - before) / 24
+    found = model.add_contributions(rows, "x", background, "c").orderBy("row").select("c").collect()
+    got = np.array([r.c for r in found])
+    assert np.allclose(got, want / len(trees), atol=1e-9)
+    scored = [r.score for r in model.add_score(rows, "x", "score").orderBy("row").collect()]
+    base = np.mean([a["value"][forest.walk(a, background[None])][0] for a in trees])
+    assert np.allclose(got.sum(axis=1) + base, scored)
