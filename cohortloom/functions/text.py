@@ -49,7 +49,7 @@ def fold_ascii(c: Column | str) -> Column:
     """Accents removed; characters without an ASCII form dropped.
 
     Plain ASCII text passes untouched; the few characters with a longer ASCII form
-    (ligatures, ellipsis, fractions) are replaced only in texts that hold one.
+    (ligatures, ellipsis, fractions) are replaced only in texts that hold one, and only those found.
     """
     c = col(c)
     multi = ascii_fold_multi()
@@ -61,14 +61,13 @@ def fold_ascii(c: Column | str) -> Column:
     def expand(x: Column) -> Column:
         # one literal that Spark folds into a table
         listed = "\x01".join(f"{ch}\x02{form}" for ch, form in multi.items())
-        pairs = F.map_entries(F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02")))
-        return F.aggregate(pairs, x, lambda acc, p: F.replace(acc, p["key"], p["value"]))
-
-    return (
-        F.when(~c.rlike(r"[^\x00-\x7F]"), c)
-        .when(c.rlike("[" + "".join(multi) + "]"), single(expand(c)))
-        .otherwise(single(c))
-    )
+        forms = F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
+        found = F.array_intersect(F.split(x, ""), F.map_keys(forms))
+        return F.aggregate(found, x, lambda acc, ch: F.replace(acc, ch, F.element_at(forms, ch)))
+
+    # a table look-up per character; a character class of this length is tried one by one
+    longer = F.length(F.translate(c, "".join(multi), "")) < F.length(c)
+    return F.when(~c.rlike(r"[^\x00-\x7F]"), c).when(longer, single(expand(c))).otherwise(single(c))
 
 
 def collapse_spaces(c: Column | str) -> Column:

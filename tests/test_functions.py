@@ -103,3 +103,22 @@ def test_vocabulary_refuses_free_text(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("t"))
     with pytest.raises(ValueError, match="too many classes"):
         encode.fit_vocabulary(df, onehot=["t"], max_classes=20)
+
+
+def test_fold_ascii_equals_a_plain_version(spark):
+    from cohortloom.functions import text
+
+    multi, (src, dst) = text.ascii_fold_multi(), text.ascii_fold_map()
+    single = {ord(a): b for a, b in zip(src, dst)} | {ord(a): None for a in src[len(dst) :]}
+
+    def plain(t):
+        if t is None:
+            return None
+        for ch, form in multi.items():
+            t = t.replace(ch, form)
+        return "".join(c for c in t.translate(single) if c.isascii())
+
+    signs = list(multi)
+    texts = [f"a {''.join(signs[i : i + 7])} é {signs[i]}" for i in range(0, len(signs), 5)] + ["ñandú", "", "plain", None, "½ﬁ😀"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.fold_ascii("t").alias("folded")).collect()
+    assert [r.folded for r in got] == [plain(r.t) for r in got]
