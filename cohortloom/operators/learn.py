@@ -11,7 +11,7 @@ from pyspark import StorageLevel
 from pyspark.errors import ArithmeticException, IllegalArgumentException
 from pyspark.ml import Model
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
+    DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import col, to_number
-from cohortloom.operators import evaluate, forest, rank, sample
+from cohortloom.operators import boost, evaluate, forest, rank, sample
 from cohortloom.operators.project import column_medians
 from cohortloom.session import cut_lineage
 
@@ -32,9 +32,7 @@ SCORE = evaluate.SCORE
 
 # ---- presets ------------------------------------------------------------------------------
 # Family, default parameters and first choice of calibration of each model.
-# Forests grow in operators/forest.py, depth 0 is open. MLlib has no xgboost, histogram boosting or
-# lightgbm; their presets are the closest gradient-boosted settings, where a limit of 31 leaves becomes
-# depth 5.
+# Forests grow in operators/forest.py, boosted trees in operators/boost.py; depth 0 is open.
 PRESETS: dict[str, dict] = {
     "logistic_regression": {"family": "logistic", "params": {"C": 1.0, "maxIter": 300}, "calibration": "sigmoid"},
     "decision_tree": {"family": "tree", "params": {"maxDepth": 5, "minInstancesPerNode": 50}, "calibration": "isotonic"},
@@ -44,18 +42,21 @@ PRESETS: dict[str, dict] = {
         "calibration": "isotonic",
     },
     "xgboost": {
-        "family": "boosted", "params": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
+        "family": "boosted",
+        "params": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "l2": 1.0, "minHessian": 1.0, "rowShare": 0.8, "featureShare": 0.8},
         "calibration": "isotonic",
     },
     "hist_gradient_boosting": {
-        "family": "boosted", "params": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5}, "calibration": "isotonic",
+        "family": "boosted", "params": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 0, "maxLeaves": 31, "minRows": 20},
+        "calibration": "isotonic",
     },
     "lightgbm": {
-        "family": "boosted", "params": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "maxBins": 64},
+        "family": "boosted", "params": {"maxIter": 300, "stepSize": 0.05, "maxDepth": 0, "maxLeaves": 31, "minRows": 20, "minHessian": 1e-3},
         "calibration": "isotonic",
     },
     "gradient_boosting": {
-        "family": "boosted", "params": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3}, "calibration": "isotonic",
+        "family": "boosted", "params": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "newtonSplits": False},
+        "calibration": "isotonic",
     },
     "mlp": {"family": "mlp", "params": {"hidden": [128, 64], "maxIter": 200}, "calibration": "sigmoid"},
 }
@@ -101,8 +102,6 @@ def estimator(spec: Spec, n_rows: int):
         return LogisticRegression(weightCol="weight", regParam=strength, **common, **p)
     if family == "tree":
         return DecisionTreeClassifier(weightCol="weight", seed=spec.seed, **common, **p)
-    if family == "boosted":
-        return GBTClassifier(weightCol="weight", seed=spec.seed, **common, **p)
     layers = [len(spec.features), *p.pop("hidden"), 2]
     return MultilayerPerceptronClassifier(layers=layers, seed=spec.seed, **common, **p)
 
@@ -115,12 +114,21 @@ def forest_settings(spec: Spec) -> forest.Settings:
     )
 
 
+def boost_settings(spec: Spec) -> boost.Settings:
+    p = spec.settings
+    return boost.Settings(
+        rounds=p["maxIter"], rate=p["stepSize"], depth=p["maxDepth"], leaves=p.get("maxLeaves", 0), l2=p.get("l2", 0.0),
+        min_rows=p.get("minRows", 1), min_hessian=p.get("minHessian", 0.0), row_share=p.get("rowShare", 1.0),
+        feature_share=p.get("featureShare", 1.0), newton_splits=p.get("newtonSplits", True), seed=spec.seed,
+    )
+
+
 def feature_values(features: Sequence[str]) -> Column:
     """The columns as numbers in one array, missing ones as -1."""
     return F.array(*[F.coalesce(to_number(f), F.lit(FILL)).cast("double") for f in features])
 
 
-def forest_rows(df: DataFrame, spec: Spec) -> DataFrame:
+def tree_rows(df: DataFrame, spec: Spec) -> DataFrame:
     """row, y, w and x of the rows with a label, balanced by weight; rows without key are told apart by
     their values."""
     label = col(spec.label).cast("double")
@@ -133,6 +141,10 @@ def _is_forest(spec: Spec) -> bool:
     return PRESETS[spec.name]["family"] == "forest"
 
 
+def _is_boosted(spec: Spec) -> bool:
+    return PRESETS[spec.name]["family"] == "boosted"
+
+
 def _is_network(spec: Spec) -> bool:
     return PRESETS[spec.name]["family"] == "mlp"
 
@@ -151,13 +163,13 @@ class Scorer:
     """Anything that adds a probability column."""
 
     spec: Spec
-    model: Model | forest.ForestModel
+    model: Model | forest.ForestModel | boost.BoostedModel
     calibrators: tuple = ()
     method: str | None = None
     warnings: tuple[str, ...] = ()
 
     def score(self, df: DataFrame, out: str = SCORE) -> DataFrame:
-        if isinstance(self.model, forest.ForestModel):
+        if isinstance(self.model, (forest.ForestModel, boost.BoostedModel)):
             return self.model.add_score(df.withColumn("_x", feature_values(self.spec.features)), "_x", out).drop("_x")
         scored = self.model.transform(assemble(df, self.spec.features))
         return scored.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
@@ -165,10 +177,10 @@ class Scorer:
 
 def fit_model(df: DataFrame, spec: Spec) -> Scorer:
     """The learner passes over its rows many times, so they are kept while it runs."""
-    if _is_forest(spec):
-        kept = forest_rows(df, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    if _is_forest(spec) or _is_boosted(spec):
+        kept = tree_rows(df, spec).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return Scorer(spec, forest.fit(kept, forest_settings(spec)))
+            return Scorer(spec, forest.fit(kept, forest_settings(spec)) if _is_forest(spec) else boost.fit(kept, boost_settings(spec)))
         finally:
             kept.unpersist()
     rows = training_rows(df, spec).select("features", spec.label, *([] if _is_network(spec) else ["weight"]))
@@ -186,6 +198,29 @@ def folded_rows(df: DataFrame, spec: Spec, folds: int, features: Sequence[str] |
     return cut_lineage(sample.kfold_stratified(narrow, spec.key, spec.label, folds, spec.seed))
 
 
+def fit_folds(folded: DataFrame, specs: Sequence[Spec], folds: int) -> list[list[Scorer]]:
+    """For each spec a scorer per fold, fitted on the rows of the other folds. Boosted models that share
+    features and label grow side by side."""
+    out: dict[int, list[Scorer]] = {}
+    alike: dict[tuple, list[int]] = {}
+    for i, spec in enumerate(specs):
+        if _is_boosted(spec):
+            alike.setdefault((spec.features, spec.label, spec.key), []).append(i)
+        else:
+            out[i] = [fit_model(folded.where(F.col("fold") != f), spec) for f in range(folds)]
+    for own in alike.values():
+        blocks = [
+            tree_rows(folded.where(F.col("fold") != f), specs[own[0]])
+            .withColumn("models", F.array(*[F.lit(j * folds + f) for j in range(len(own))]))
+            for f in range(folds)
+        ]
+        kept = reduce(DataFrame.unionByName, blocks).persist(StorageLevel.MEMORY_AND_DISK)
+        found = boost.fit_many(kept, {j * folds + f: boost_settings(specs[i]) for j, i in enumerate(own) for f in range(folds)})
+        kept.unpersist()
+        out |= {i: [Scorer(specs[i], found[j * folds + f]) for f in range(folds)] for j, i in enumerate(own)}
+    return [out[i] for i in range(len(specs))]
+
+
 # ---- calibration --------------------------------------------------------------------------
 def _score_vector(df: DataFrame, score: str) -> DataFrame:
     return VectorAssembler(inputCols=[score], outputCol="_s").transform(df)
@@ -262,7 +297,7 @@ def fit_calibrated(df: DataFrame, spec: Spec, folds: int = 5, methods: Sequence[
     order = list(methods or [first, "sigmoid" if first == "isotonic" else "isotonic"])
     folded = folded_rows(df, spec, folds)
     warnings: list[str] = []
-    scorers = [fit_model(folded.where(F.col("fold") != f), spec) for f in range(folds)]
+    scorers = fit_folds(folded, [spec], folds)[0]
     for method in order:
         try:
             parts = [
@@ -304,10 +339,9 @@ def fit_stacking(df: DataFrame, specs: Sequence[Spec], folds: int = 5) -> Ensemb
     """Out-of-fold base scores feed a logistic model; the base models are refitted on all rows."""
     first = specs[0]
     folded = folded_rows(df, first, folds, [f for s in specs for f in s.features])
-    blocks = []
+    blocks, scorers = [], fit_folds(folded, specs, folds)
     for f in range(folds):
-        fitted = {s.name: fit_model(folded.where(F.col("fold") != f), s) for s in specs}
-        held = _scores_of(fitted, folded.where(F.col("fold") == f))
+        held = _scores_of({s.name: of[f] for s, of in zip(specs, scorers)}, folded.where(F.col("fold") == f))
         blocks.append(held.select(first.key, first.label, *[f"score_{s.name}" for s in specs]))
     out_of_fold = cut_lineage(reduce(DataFrame.unionByName, blocks))
     meta = Spec("logistic_regression", tuple(f"score_{s.name}" for s in specs), first.label, first.key, first.seed)
@@ -340,10 +374,8 @@ def cv_evaluate(df: DataFrame, spec: Spec, folds: int = 10, recall_min: float =
     little; give fixed_threshold to avoid that.
     """
     folded = folded_rows(df, spec, folds)
-    parts = []
-    for f in range(folds):
-        held = fit_model(folded.where(F.col("fold") != f), spec).score(folded.where(F.col("fold") == f))
-        parts.append(held.select("fold", spec.label, SCORE))
+    scorers = fit_folds(folded, [spec], folds)[0]
+    parts = [s.score(folded.where(F.col("fold") == f)).select("fold", spec.label, SCORE) for f, s in enumerate(scorers)]
     # read twice below: for the thresholds and for the metrics
     scored = cut_lineage(reduce(DataFrame.unionByName, parts))
     if fixed_threshold is not None:
@@ -380,8 +412,8 @@ def hyperparameter_search(
     parallelism: int = 4,
 ) -> list[dict]:
     """Settings with their mean cross-validated F2, best first."""
-    if _is_forest(spec):
-        return _search_forest(df, spec, space, n, folds)
+    if _is_forest(spec) or _is_boosted(spec):
+        return _search_trees(df, spec, space, n, folds)
     rows = training_rows(folded_rows(df, spec, folds), spec).persist(StorageLevel.MEMORY_AND_DISK)
     total = rows.count()
     base = estimator(spec, total)
@@ -400,16 +432,18 @@ def hyperparameter_search(
     return [{"params": s, "f2": m} for s, m in ranked]
 
 
-def _search_forest(df: DataFrame, spec: Spec, space: Mapping[str, Sequence] | None, n: int, folds: int) -> list[dict]:
-    """As hyperparameter_search: the held-out rows of all folds are scored and counted in one job a setting."""
+def _search_trees(df: DataFrame, spec: Spec, space: Mapping[str, Sequence] | None, n: int, folds: int) -> list[dict]:
+    """As hyperparameter_search: the held-out rows of all settings and folds are scored and counted in one job."""
     folded = folded_rows(df, spec, folds)
-    found = []
-    for setting in random_grid(space or SEARCH_SPACES.get(spec.name, {}), n, spec.seed):
-        part = replace(spec, params={**spec.params, **setting})
-        held = [fit_model(folded.where(F.col("fold") != f), part).score(folded.where(F.col("fold") == f)).select("fold", spec.label, SCORE) for f in range(folds)]
-        metrics = evaluate.classification_metrics(reduce(DataFrame.unionByName, held), 0.5, ["fold"], label=spec.label)
-        found.append({"params": setting, "f2": metrics.agg(F.avg("F2")).first()[0] or 0.0})
-    return sorted(found, key=lambda x: -x["f2"])
+    settings = random_grid(space or SEARCH_SPACES.get(spec.name, {}), n, spec.seed)
+    scorers = fit_folds(folded, [replace(spec, params={**spec.params, **s}) for s in settings], folds)
+    held = [
+        s.score(folded.where(F.col("fold") == f)).select(F.lit(i).alias("setting"), "fold", spec.label, SCORE)
+        for i, of in enumerate(scorers) for f, s in enumerate(of)
+    ]
+    metrics = evaluate.classification_metrics(reduce(DataFrame.unionByName, held), 0.5, ["setting", "fold"], label=spec.label)
+    f2 = {r.setting: r.f2 for r in metrics.groupBy("setting").agg(F.avg("F2").alias("f2")).collect()}
+    return sorted(({"params": s, "f2": f2.get(i) or 0.0} for i, s in enumerate(settings)), key=lambda x: -x["f2"])
 
 
 def _test_row(df: DataFrame, train: DataFrame, val: DataFrame, test: DataFrame, spec: Spec, recall_min: float) -> DataFrame:

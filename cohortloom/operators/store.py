@@ -10,6 +10,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.operators.boost import BoostedModel
 from cohortloom.operators.forest import ForestModel
 from cohortloom.operators.learn import PRESETS, CalibratedScorer, Calibrator, Ensemble, Scorer, Spec
 
@@ -24,8 +25,8 @@ def _read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).where("value <> ''").first()["value"])
 
 
-def _save(model: Model | ForestModel, path: str) -> None:
-    if isinstance(model, ForestModel):
+def _save(model: Model | ForestModel | BoostedModel, path: str) -> None:
+    if isinstance(model, (ForestModel, BoostedModel)):
         return model.save(path)
     PipelineModel(stages=[model]).write().overwrite().save(path)
 
@@ -34,8 +35,9 @@ def _load(path: str) -> Model:
     return PipelineModel.load(path).stages[0]
 
 
-def _load_learner(spark: SparkSession, spec: Spec, path: str) -> Model | ForestModel:
-    return ForestModel.load(spark, path) if PRESETS[spec.name]["family"] == "forest" else _load(path)
+def _load_learner(spark: SparkSession, spec: Spec, path: str) -> Model | ForestModel | BoostedModel:
+    own = {"forest": ForestModel, "boosted": BoostedModel}.get(PRESETS[spec.name]["family"])
+    return own.load(spark, path) if own else _load(path)
 
 
 def save(spark: SparkSession, scorer: Scorer | CalibratedScorer | Ensemble, path: str) -> None:

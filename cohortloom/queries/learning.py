@@ -1,8 +1,6 @@
 """Learners, calibration, tuning, scoring and model explanation.
 
-Folds, versions, trials, networks and linear models have their full settings; so has every model of
-baseline_experiments, tuning_experiments, fit_stacking and shap_sampling. In the other queries forests
-grow their 300 trees to depth 8 and boosting runs 20 rounds, so that they finish on one machine.
+Models, folds, versions and trials have their full settings.
 """
 from __future__ import annotations
 
@@ -22,24 +20,8 @@ from cohortloom.session import cut_lineage
 from cohortloom.sources.tables import KEY, KEY_ALIAS
 from cohortloom.streaming.score import read_records, score_stream as stream_scores
 
-SMALL = {
-    "logistic_regression": {},
-    "decision_tree": {},
-    "random_forest": {},
-    "extra_trees": {},
-    "xgboost": {"maxIter": 20, "stepSize": 0.2},
-    "hist_gradient_boosting": {"maxIter": 20, "stepSize": 0.2},
-    "lightgbm": {"maxIter": 20, "stepSize": 0.2},
-    "gradient_boosting": {"maxIter": 20},
-    "mlp": {},
-}
 
-
-def spec(name: str, **changes) -> Spec:
-    return Spec(name, tuple(FEATS), params={**SMALL[name], **changes})
-
-
-def preset(name: str) -> Spec:
+def spec(name: str) -> Spec:
     """A model with the full settings of its preset."""
     return Spec(name, tuple(FEATS))
 
@@ -86,7 +68,7 @@ BASES = ("random_forest", "logistic_regression")
 @query("fit_stacking")
 def fit_stacking(spark, sf):
     split = sample.split_stratified(rows(spark, sf), "row_key", "y_true")
-    stack = learn.fit_stacking(split.where("split = 'train'").drop("split"), [preset(b) for b in learn.STACK_BASE])
+    stack = learn.fit_stacking(split.where("split = 'train'").drop("split"), [spec(b) for b in learn.STACK_BASE])
     return test_metrics(stack, split.where("split = 'test'"), "stacking")
 
 
@@ -150,12 +132,12 @@ def version_frames(spark, sf):
 
 @query("tuning_experiments")
 def tuning_experiments(spark, sf):
-    return learn.best_tuned(learn.tuning_experiments(version_frames(spark, sf), [preset(m) for m in learn.PRESETS], [0.5, 1.0]))
+    return learn.best_tuned(learn.tuning_experiments(version_frames(spark, sf), [spec(m) for m in learn.PRESETS], [0.5, 1.0]))
 
 
 @query("baseline_experiments")
 def baseline_experiments(spark, sf):
-    return learn.baseline_experiments(version_frames(spark, sf), [preset(m) for m in learn.PRESETS])
+    return learn.baseline_experiments(version_frames(spark, sf), [spec(m) for m in learn.PRESETS])
 
 
 META = ["Edad", "IMC", "Temperatura"]
@@ -286,7 +268,7 @@ def global_importance(spark, sf):
 @query("shap_sampling")
 def shap_sampling(spark, sf):
     df = rows(spark, sf)
-    return explain.sampled_attributions(df, learn.fit_model(df, preset("random_forest")), permutations=10)
+    return explain.sampled_attributions(df, learn.fit_model(df, spec("random_forest")), permutations=10)
 
 
 @query("flag_predictability")
