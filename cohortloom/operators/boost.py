@@ -68,10 +68,10 @@ class Settings:
 
 # ---- sums of a round ----------------------------------------------------------------------
 def channels(s: Settings, margin: np.ndarray, y: np.ndarray, w: np.ndarray) -> list[np.ndarray]:
-    """Rows, gradient and hessian, and what gains are divided by; the last three in units."""
+    """Rows, gradient and hessian, and the weight if gains are divided by it; all but the first in units."""
     p = 1.0 / (1.0 + np.exp(-margin))
     g, h = np.rint(w * (p - y) / UNIT), np.rint(w * p * (1 - p) / UNIT)
-    return [np.ones(len(y)), g, h, h if s.newton_splits else np.rint(w / UNIT)]
+    return [np.ones(len(y)), g, h] + ([] if s.newton_splits else [np.rint(w / UNIT)])
 
 
 def sampled(s: Settings, row: np.ndarray, turn: int) -> np.ndarray:
@@ -89,13 +89,13 @@ def sampled_features(s: Settings, n: int, turn: int) -> np.ndarray:
 
 
 def histogram(codes: np.ndarray, features: np.ndarray, place: np.ndarray, nodes: int, bins: int, sums: list[np.ndarray]) -> np.ndarray:
-    """Sums by (node, feature, bin, channel); place is the node of each row."""
-    out = np.empty((nodes, len(features), bins, len(sums)))
+    """Sums by (channel, node, feature, bin); place is the node of each row."""
+    out = np.empty((len(sums), nodes, len(features), bins))
     base = place * bins
     for i, f in enumerate(features):
         at = base + codes[:, f]
         for c, values in enumerate(sums):
-            out[:, i, :, c] = out[:, i, :, 2] if c == 3 and sums[3] is sums[2] else np.bincount(at, values, nodes * bins).reshape(nodes, bins)
+            out[c, :, i] = np.bincount(at, values, nodes * bins).reshape(nodes, bins)
     return out
 
 
@@ -127,19 +127,23 @@ class Tree:
 
 def best_cuts(s: Settings, hist: np.ndarray, features: np.ndarray) -> list[tuple]:
     """What Tree.best holds, for every node of a histogram; ties go to the least feature and cut."""
-    left = np.cumsum(hist, axis=2)
-    total = left[:, :, -1:, :]
-    left = left[:, :, :-1, :]
+    left = np.cumsum(hist, axis=3)
+    total = left[..., -1:]
+    left = left[..., :-1]
     right = total - left
 
     def score(x: np.ndarray) -> np.ndarray:
-        g, c = x[..., 1] * UNIT, x[..., 3] * UNIT + s.l2
-        return np.where(c > 0, g * g / np.where(c > 0, c, 1.0), 0.0)
+        return x[1] * x[1] / np.maximum(x[-1] + s.l2 / UNIT, 1.0)
 
-    gain = score(left) + score(right) - score(total)
-    least = s.min_hessian / UNIT
+    gain = score(left)
+    gain += score(right)
+    gain -= score(total)
+    gain *= UNIT
     for side in (left, right):
-        gain[(side[..., 0] < max(s.min_rows, 1)) | (side[..., 2] < least)] = 0.0
+        short = side[0] < max(s.min_rows, 1)
+        if s.min_hessian:
+            short |= side[2] < s.min_hessian / UNIT
+        gain[short] = 0.0
     out = []
     for i, flat in enumerate(gain.reshape(len(gain), -1)):
         k = int(np.argmax(flat >= flat.max(initial=0.0) - 1e-9)) if flat.size else 0
@@ -147,7 +151,7 @@ def best_cuts(s: Settings, hist: np.ndarray, features: np.ndarray) -> list[tuple
             out.append((0.0,))
             continue
         f, cut = divmod(k, gain.shape[2])
-        out.append((float(flat[k]), int(features[f]), cut, left[i, f, cut, :3].copy(), right[i, f, cut, :3].copy()))
+        out.append((float(flat[k]), int(features[f]), cut, left[:3, i, f, cut].copy(), right[:3, i, f, cut].copy()))
     return out
 
 
@@ -162,7 +166,7 @@ def grow_tree(s: Settings, features: np.ndarray, measure: Callable[[Tree, list[i
         wanted = [i for i, b in enumerate(tree.best) if b is None]
         if wanted:
             hist = measure(tree, wanted)
-            for i, found, sums in zip(wanted, best_cuts(s, hist, features), hist[:, 0, :, :3].sum(axis=1)):
+            for i, found, sums in zip(wanted, best_cuts(s, hist, features), hist[:3, :, 0].sum(axis=2).T):
                 tree.sums[i], tree.best[i] = sums, found if able(i) else (0.0,)
         kept: set[int] = set()
         heap, leaves, known = [(-tree.best[0][0], 0)], 1, True
@@ -234,9 +238,7 @@ def boost_rows(s: Settings, cuts: list[np.ndarray], row: np.ndarray, y: np.ndarr
             place[wanted] = np.arange(len(wanted))
             place = place[at]
             inside = np.flatnonzero(place >= 0)
-            part = [c[inside] for c in sums[:3]]
-            part.append(part[2] if s.newton_splits else sums[3][inside])
-            return histogram(own[inside], features, place[inside], len(wanted), bins, part)
+            return histogram(own[inside], features, place[inside], len(wanted), bins, [c[inside] for c in sums])
 
         binned, tree = finished(s, *grow_tree(s, features, measure), cuts)
         margin = margin + binned["value"][walk(binned, codes)]
@@ -305,9 +307,9 @@ def _summed(batches: Iterator[pa.RecordBatch], s: Settings, turn: int, features:
         part = histogram(codes[use], features, at[use], len(wanted), bins, sums)
         total = part if total is None else total + part
     if total is not None:
-        node, f, b = np.nonzero(total[..., 0])
-        values = [pa.array(total[node, f, b, c]) for c in range(4)]
-        yield pa.RecordBatch.from_arrays([*(pa.array(v.astype(np.int32)) for v in (node, f, b)), *values], names=["node", "feature", "bin", "n", "g", "h", "c"])
+        at = np.nonzero(total[0])
+        values = [pa.array(total[min(c, len(total) - 1)][at]) for c in range(4)]
+        yield pa.RecordBatch.from_arrays([*(pa.array(v.astype(np.int32)) for v in at), *values], names=["node", "feature", "bin", "n", "g", "h", "c"])
 
 
 def _moved(batches: Iterator[pa.RecordBatch], state) -> Iterator[pa.RecordBatch]:
@@ -331,10 +333,11 @@ def boost_table(rows: DataFrame, s: Settings, cuts: list[np.ndarray]) -> tuple[f
             found = rows.mapInArrow(lambda it: _summed(it, s, turn, features, bins, state), SUMS)
             found = found.groupBy("node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in "nghc"]).toArrow()
             state.destroy()
-            out = np.zeros((len(wanted), len(features), bins, 4))
+            names = "ngh" if s.newton_splits else "nghc"
+            out = np.zeros((len(names), len(wanted), len(features), bins))
             at = tuple(found[c].to_numpy() for c in ("node", "feature", "bin"))
-            for c, name in enumerate("nghc"):
-                out[(*at, c)] = found[name].to_numpy()
+            for c, name in enumerate(names):
+                out[(c, *at)] = found[name].to_numpy()
             return out
 
         binned, tree = finished(s, *grow_tree(s, features, measure), cuts)

@@ -3,7 +3,8 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -60,7 +61,7 @@ PRESETS: dict[str, dict] = {
     },
     "mlp": {"family": "mlp", "params": {"hidden": [128, 64], "maxIter": 200}, "calibration": "sigmoid"},
 }
-STACK_BASE = ("random_forest", "xgboost", "hist_gradient_boosting")
+STACK_BASE = VOTING_BASE = ("random_forest", "xgboost", "hist_gradient_boosting")
 # Search spaces.
 SEARCH_SPACES: dict[str, dict[str, list]] = {
     "logistic_regression": {"C": [0.01, 0.1, 1.0, 10.0, 100.0]},
@@ -192,6 +193,23 @@ def fit_model(df: DataFrame, spec: Spec) -> Scorer:
         rows.unpersist()
 
 
+def fit_models(df: DataFrame, specs: Sequence[Spec]) -> list[Scorer]:
+    """A scorer for each spec over the same rows; boosted models that share their rows grow side by side."""
+    out: dict[int, Scorer] = {}
+    alike: dict[tuple, list[int]] = {}
+    for i, spec in enumerate(specs):
+        if _is_boosted(spec):
+            alike.setdefault((spec.features, spec.label, spec.key), []).append(i)
+        else:
+            out[i] = fit_model(df, spec)
+    for own in alike.values():
+        kept = tree_rows(df, specs[own[0]]).withColumn("models", F.array(*map(F.lit, own))).persist(StorageLevel.MEMORY_AND_DISK)
+        found = boost.fit_many(kept, {i: boost_settings(specs[i]) for i in own})
+        kept.unpersist()
+        out |= {i: Scorer(specs[i], found[i]) for i in own}
+    return [out[i] for i in range(len(specs))]
+
+
 def folded_rows(df: DataFrame, spec: Spec, folds: int, features: Sequence[str] | None = None) -> DataFrame:
     """Key, label, features and fold, written once for the fits that read them again."""
     narrow = df.select(*[col(c) for c in dict.fromkeys([spec.key, spec.label, *(features or spec.features)])])
@@ -332,7 +350,7 @@ class Ensemble:
 
 def fit_voting(df: DataFrame, specs: Sequence[Spec]) -> Ensemble:
     """Mean of the base probabilities."""
-    return Ensemble({s.name: fit_model(df, s) for s in specs})
+    return Ensemble({s.spec.name: s for s in fit_models(df, specs)})
 
 
 def fit_stacking(df: DataFrame, specs: Sequence[Spec], folds: int = 5) -> Ensemble:
@@ -345,7 +363,7 @@ def fit_stacking(df: DataFrame, specs: Sequence[Spec], folds: int = 5) -> Ensemb
         blocks.append(held.select(first.key, first.label, *[f"score_{s.name}" for s in specs]))
     out_of_fold = cut_lineage(reduce(DataFrame.unionByName, blocks))
     meta = Spec("logistic_regression", tuple(f"score_{s.name}" for s in specs), first.label, first.key, first.seed)
-    return Ensemble({s.name: fit_model(df, s) for s in specs}, fit_model(out_of_fold, meta))
+    return Ensemble({s.spec.name: s for s in fit_models(df, specs)}, fit_model(out_of_fold, meta))
 
 
 # ---- training with a threshold ------------------------------------------------------------
@@ -446,8 +464,14 @@ def _search_trees(df: DataFrame, spec: Spec, space: Mapping[str, Sequence] | Non
     return sorted(({"params": s, "f2": f2.get(i) or 0.0} for i, s in enumerate(settings)), key=lambda x: -x["f2"])
 
 
-def _test_row(df: DataFrame, train: DataFrame, val: DataFrame, test: DataFrame, spec: Spec, recall_min: float) -> DataFrame:
-    scorer = fit_model(train, spec)
+def _side_by_side(work: Sequence[Callable], parallelism: int) -> list:
+    """Results of functions that each run Spark jobs of their own; the cluster shares them out."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(lambda f: f(), work))
+
+
+def _test_row(val: DataFrame, test: DataFrame, scorer: Scorer, recall_min: float) -> DataFrame:
+    spec = scorer.spec
     best = evaluate.find_threshold(
         scorer.score(val), label=spec.label, optimize_for="recall_constraint", recall_min=recall_min
     ).first()["threshold"]
@@ -455,35 +479,48 @@ def _test_row(df: DataFrame, train: DataFrame, val: DataFrame, test: DataFrame,
 
 
 def baseline_experiments(
-    frames: Mapping[str, DataFrame], specs: Sequence[Spec], recall_min: float = 0.85
+    frames: Mapping[str, DataFrame], specs: Sequence[Spec], recall_min: float = 0.85, parallelism: int = 4
 ) -> DataFrame:
-    """(version, model, test metrics): threshold from validation rows, metrics from test rows."""
-    out = []
-    for version, df in frames.items():
+    """(version, model, test metrics): threshold from validation rows, metrics from test rows. Versions run
+    side by side; their splits are written once for all models."""
+
+    def of_version(version: str, df: DataFrame) -> list[DataFrame]:
+        splits: dict[tuple, list[Spec]] = {}
         for spec in specs:
-            split = cut_lineage(sample.split_three_way(df, spec.key, spec.label, seed=spec.seed))
+            splits.setdefault((spec.key, spec.label, spec.seed), []).append(spec)
+        out = {}
+        for (key, label, seed), own in splits.items():
+            split = cut_lineage(sample.split_three_way(df, key, label, seed=seed))
             train, val, test = (split.where(F.col("split") == s).drop("split") for s in ("train", "val", "test"))
-            row = _test_row(df, train, val, test, spec, recall_min)
-            out.append(row.select(F.lit(version).alias("version"), F.lit(spec.name).alias("model"), F.lit("test").alias("split"), *evaluate.METRICS))
-    return reduce(DataFrame.unionByName, out)
+            for scorer in fit_models(train, own):
+                row = _test_row(val, test, scorer, recall_min)
+                out[scorer.spec.name] = row.select(
+                    F.lit(version).alias("version"), F.lit(scorer.spec.name).alias("model"), F.lit("test").alias("split"), *evaluate.METRICS
+                )
+        return [out[s.name] for s in specs]
+
+    parts = _side_by_side([lambda v=v, df=df: of_version(v, df) for v, df in frames.items()], parallelism)
+    return reduce(DataFrame.unionByName, [row for part in parts for row in part])
 
 
 def tuning_experiments(
     frames: Mapping[str, DataFrame], specs: Sequence[Spec], fractions: Sequence[float],
-    space: Mapping[str, Sequence] | None = None, n: int = 3, folds: int = 3,
+    space: Mapping[str, Sequence] | None = None, n: int = 3, folds: int = 3, parallelism: int = 4,
 ) -> DataFrame:
     """(version, model, fraction, n_features, f2, params): search per share of the ranked features.
 
     Without a space each model has its own; one that has none is measured with its preset. The
     features of a spec are taken in the given (ranked) order.
     """
-    rows = []
-    for version, df in frames.items():
-        for spec, share in itertools.product(specs, fractions):
-            k = max(1, round(len(spec.features) * share))
-            part = Spec(spec.name, spec.features[:k], spec.label, spec.key, spec.seed, spec.params)
-            best = hyperparameter_search(df, part, space, n, folds)[0]
-            rows.append((version, spec.name, float(share), k, float(best["f2"]), str(sorted(best["params"].items()))))
+
+    def measure(version: str, df: DataFrame, spec: Spec, share: float) -> tuple:
+        k = max(1, round(len(spec.features) * share))
+        part = replace(spec, features=spec.features[:k])
+        best = hyperparameter_search(df, part, space, n, folds)[0]
+        return (version, spec.name, float(share), k, float(best["f2"]), str(sorted(best["params"].items())))
+
+    work = itertools.product(frames.items(), specs, fractions)
+    rows = _side_by_side([lambda v=v, df=df, s=s, f=f: measure(v, df, s, f) for (v, df), s, f in work], parallelism)
     spark = next(iter(frames.values())).sparkSession
     return spark.createDataFrame(rows, "version string, model string, fraction double, n_features int, f2 double, params string")
 

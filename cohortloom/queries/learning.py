@@ -55,16 +55,13 @@ def fit_boosted_trees(spark, sf):
     split = sample.split_stratified(rows(spark, sf), "row_key", "y_true")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
     names = ("xgboost", "hist_gradient_boosting", "lightgbm", "gradient_boosting")
-    parts = [test_metrics(learn.fit_model(train, spec(n)), test, n) for n in names]
+    parts = [test_metrics(m, test, m.spec.name) for m in learn.fit_models(train, [spec(n) for n in names])]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-BASES = ("random_forest", "logistic_regression")
-
-
 @query("fit_stacking")
 def fit_stacking(spark, sf):
     split = sample.split_stratified(rows(spark, sf), "row_key", "y_true")
@@ -75,7 +72,7 @@ def fit_stacking(spark, sf):
 @query("fit_voting")
 def fit_voting(spark, sf):
     split = sample.split_stratified(rows(spark, sf), "row_key", "y_true")
-    vote = learn.fit_voting(split.where("split = 'train'"), [spec(b) for b in BASES])
+    vote = learn.fit_voting(split.where("split = 'train'"), [spec(b) for b in learn.VOTING_BASE])
     return test_metrics(vote, split.where("split = 'test'"), "voting")
 
 
