@@ -2,8 +2,8 @@
 
 A text in which every white space is a single space or line feed between other signs is cut before
 these; each distinct piece is encoded once and remembered by the worker. A cut there never changes
-the ids: the patterns of both vocabularies start a new unit at such a place. Every other text is
-encoded whole.
+the ids: the patterns of both vocabularies start a new unit at such a place. Every other text, and
+one that holds an added token such as `<|endoftext|>`, is encoded whole.
 """
 from __future__ import annotations
 
@@ -51,7 +51,8 @@ class Encoder:
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added_token = re.compile("|".join(added) or "(?!)", re.IGNORECASE)
         self.keeps_spaces = keeps_spaces
         self.mark = "\0" if keeps_spaces else " \0 "
         self.mark_id = self.tokenizer.encode("\0", add_special_tokens=False).ids[0]
@@ -133,6 +134,8 @@ class Encoder:
         """Pieces that are encoded by themselves; None if the text must be encoded whole."""
         if _ODD.search(text) or "\0" in text:
             return None
+        if self.added_token.search(text):
+            return None
         if not self.keeps_spaces:
             return (text if "\u03a3" in text else text.lower()).replace("\n", " ").split(" ")
         if not text[0].isalnum() or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:

@@ -18,12 +18,11 @@ FILES = {"byte_bpe_50k.json": True, "word_bpe_49k.json": False}
 
 def plain(name):
     t = Tokenizer.from_file(vocabulary(name))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
 PLAIN = {name: plain(name) for name in FILES}
-SIGNS = st.sampled_from(list("abcÉñß日本'’.,!?-12½\0\n\t   ΣσİA") + ["'s", " the", "<|endoftext|>", "é"])
+SIGNS = st.sampled_from(list("abcÉñß日本'’.,!?-12½\0\n\t   ΣσİA") + ["'s", " the", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "é"])
 
 
 @settings(max_examples=150, deadline=None)
@@ -34,6 +33,12 @@ def test_ids_equal_the_librarys(name, text):
     assert [g.tolist() for g in got] == [PLAIN[name](text), [], [], PLAIN[name](f"x {text}")]
 
 
+def test_added_tokens_keep_their_ids():
+    text = "a <|endoftext|> b"
+    assert encoder(vocabulary("byte_bpe_50k.json"), True).encode([text])[0].tolist() == [64, 220, 50256, 275]
+    assert encoder(vocabulary("word_bpe_49k.json"), False).encode([text])[0].tolist() == PLAIN["word_bpe_49k.json"](text)
+
+
 def test_worker_forgets_and_learns_again(monkeypatch):
     import cohortloom.llm.tokens as tokens
 
