@@ -5,16 +5,16 @@ unit is normalised to its lower-cased words and known by a 128-bit digest. Sente
 MIN_WORDS words are left alone, because short ones repeat by chance; in scripts written without
 spaces two code points count as a word, and sentences end at their own full stops. The least length
 of lines is the caller's: the query counts every line that has a word. Digests are grouped over all
-documents; the occurrence in the document of the lowest rank (the id) stays, and within a document
-the first one. All others are removed, with the white space behind them. Removed and kept stretches
+documents; the occurrence in the document of the lowest rank (the id, then the hash of the text)
+stays, and within a document the first one. All others are removed, with the white space behind them. Removed and kept stretches
 are given as places in the original text.
 
 Digests are counted with partial sums, so a unit that stands in a third of all documents is one row
 per task; the join that marks its occurrences can be split by Spark.
 
 Edge cases: a line without words (a rule of dashes) has an empty normal form and stays; a null or
-empty text has no units and stays as it is; a null id ranks last; rows alike in id and text are one
-document and get the same result each; an empty table gives none.
+empty text has no units and stays as it is; a null id ranks last; texts of one id, or without id, are
+documents of their own; rows alike in id and text are one document and get the same result each; an empty table gives none.
 """
 from __future__ import annotations
 
@@ -162,8 +162,8 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     keyed = texts.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("text_hash"), "text")
     units = keyed.mapInArrow(lambda it: find_units(it, min_words, line_words), UNITS_SCHEMA)
     # a unit that a document repeats counts there twice
-    repeated = units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min("doc").alias("keeper")).where("n > 1")
-    surplus = units.join(repeated.select("high", "low", "keeper"), ["high", "low"]).where("again OR doc != keeper")
+    repeated = units.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(F.struct("doc", "text_hash")).alias("keeper")).where("n > 1")
+    surplus = units.join(repeated.select("high", "low", "keeper"), ["high", "low"]).where("again OR doc != keeper.doc OR text_hash != keeper.text_hash")
     marked = surplus.groupBy("doc", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     joined = keyed.join(marked, ["doc", "text_hash"], "left").select("doc", "text", "spans")
     out_schema = pa.schema(
