@@ -46,8 +46,17 @@ NOTICES = {
     "the isc license": "isc",
     "all rights reserved": "all-rights-reserved",
 }
-TAGS = ("spdx license identifier",)
+TAGS = ("spdx license identifier", "packagelicensedeclared", "packagelicenseconcluded")
 PERMISSIVE = {"mit", "apache-2", "bsd-2-clause", "bsd-3-clause", "isc", "cc0", "cc-by", "unlicense", "zlib", "0bsd"}
+# Labels and exceptions that an expression may go on with inside a line of prose.
+KNOWN = PERMISSIVE | set(BASE.values()) | set(NOTICES.values()) | {
+    "afl-3", "agpl-1", "agpl-3", "apache-1", "apache-1.1", "artistic-1", "artistic-2", "blueoak-1", "bsd-1-clause", "bsd-4-clause",
+    "bsl-1", "cc-by-nc-nd", "cc-by-nc-sa", "cc-pddc", "cddl-1", "cddl-1.1", "cecill-2", "cecill-2.1", "cpl-1", "ecl-2", "epl-1",
+    "epl-2", "eupl-1.1", "eupl-1.2", "gfdl-1.2", "gfdl-1.3", "gpl-1", "gpl-2", "gpl-3", "lgpl-2", "lgpl-2.1", "lgpl-3", "mit-0",
+    "mpl-1", "mpl-1.1", "mpl-2", "ms-pl", "ms-rl", "ncsa", "odbl-1", "ofl-1.1", "openssl", "osl-3", "postgresql", "python-2",
+    "ruby", "upl-1", "vim", "w3c", "wtfpl", "x11", "zpl-2.1",
+}
+EXCEPTIONS = {"linux-syscall-note", "llgpl"}
 #: Share of trust that a finding of each kind adds.
 WEIGHTS = {"tag": 0.95, "base": 0.8, "notice": 0.7, "invalid tag": 0.4}
 
@@ -63,9 +72,9 @@ _RANK = {"or": 1, "and": 2, "with": 3}
 
 def label_of(identifier: str) -> str:
     """Label of an identifier: lower case, without `-only`, `-or-later`, `+`, a final `.0`, and
-    for Creative Commons without the version."""
+    for Creative Commons (CC0 too) without the version."""
     x = re.sub(r"(-only|-or-later|\+)+$", "", identifier.lower())
-    return re.sub(r"-\d[\d.]*$", "", x) if x.startswith("cc-") else re.sub(r"(\.0)+$", "", x)
+    return re.sub(r"-\d[\d.]*$", "", x) if x.startswith(("cc-", "cc0-")) else re.sub(r"(\.0)+$", "", x)
 
 
 def to_postfix(terms: list[str]) -> list[str] | None:
@@ -119,8 +128,14 @@ def evaluate(terms: list[str]) -> tuple[list[str], bool, bool]:
     return sorted(stack[0][0]), True, stack[0][1]
 
 
+def is_known(identifier: str) -> bool:
+    x = identifier.lower()
+    return label_of(x) in KNOWN or x in EXCEPTIONS or re.search(r"-exception(-[\d.]+)?$", x) is not None or x.startswith(("licenseref-", "documentref-"))
+
+
 def expression_terms(line: str) -> list[str]:
-    """Terms of the expression at the head of a line: operators join identifiers, prose ends it."""
+    """Terms of the expression at the head of a line: operators join identifiers, prose ends it. Behind an
+    operator only a known identifier counts, or one that ends the line."""
     out, depth, operand_next = [], 0, True
     for m in _TERMS.finditer(line):
         term = m.group().rstrip(".:")
@@ -129,6 +144,10 @@ def expression_terms(line: str) -> list[str]:
             break
         if word == ")" and not depth:
             break
+        if any(t.lower() in _RANK for t in out) and operand_next and word != "(" and not is_known(term) and re.search(r"\w", line[m.end() :]):
+            while out and (out[-1] == "(" or out[-1].lower() in _RANK):  # prose left them without an operand
+                out.pop()
+            break
         depth += (word == "(") - (word == ")")
         operand_next = word == "(" or word in _RANK
         out.append(term)
