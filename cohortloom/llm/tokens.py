@@ -51,8 +51,10 @@ class Encoder:
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added_token = re.compile("|".join(added) or "(?!)", re.IGNORECASE)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # a plain search for the signs that all begin with spares most texts the pattern
+        self.added_start = re.match(r"[^A-Za-z]*", os.path.commonprefix(added)).group()
+        self.added_token = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
         self.keeps_spaces = keeps_spaces
         self.mark = "\0" if keeps_spaces else " \0 "
         self.mark_id = self.tokenizer.encode("\0", add_special_tokens=False).ids[0]
@@ -134,7 +136,7 @@ class Encoder:
         """Pieces that are encoded by themselves; None if the text must be encoded whole."""
         if _ODD.search(text) or "\0" in text:
             return None
-        if self.added_token.search(text):
+        if self.added_start in text and self.added_token.search(text):
             return None
         if not self.keeps_spaces:
             return (text if "\u03a3" in text else text.lower()).replace("\n", " ").split(" ")
