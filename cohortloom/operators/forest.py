@@ -11,7 +11,8 @@ between neighbouring values (in large nodes between `bins` quantiles) where the
 falls most; random splits draw one threshold uniformly between the least and greatest value of each
 feature and keep the best. Draws are hashes of seed, tree, node and feature, bootstrap counts (Poisson
 of mean 1) hashes of row and tree, so a forest doesn't depend on the partitions or on `bound`, but for
-the bins.
+the bins. For the same reason a forest of fewer trees or less depth is part of a larger one: `limited`
+gives it without growing it again. Forests over several sets of rows (folds) grow in one job.
 
 Scoring reads the subtrees in blocks of trees of at most `MODEL_BYTES`, one broadcast after the other, so
 any forest can be applied whose single trees fit.
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
 import numpy as np
@@ -51,8 +52,9 @@ class Settings:
     seed: int = 42
     bound: int = 50_000
     bins: int = 255
-    #: trees whose rows are dealt out at once
+    #: trees whose rows are dealt out at once; more if that makes at most `dealt` rows
     block: int = 50
+    dealt: int = 10_000_000
 
     def tried(self, features: int) -> int:
         return self.tries or max(1, int(features**0.5))
@@ -230,32 +232,42 @@ def contributions(arrays: dict[str, np.ndarray], x: np.ndarray, background: np.n
     the leaves in its reach times their depth.
     """
     n, k = x.shape
-    out = np.zeros((n, k))
     fact = np.cumprod(np.concatenate(([1.0], np.arange(1, k + 1, dtype=float))))
+    words, bit = (k + 63) // 64, np.uint64(1) << (np.arange(k, dtype=np.uint64) % np.uint64(64))
     row, at = np.arange(n), np.zeros(n, np.int64)
-    own, other = np.zeros((n, k), bool), np.zeros((n, k), bool)
+    # the features held by the row and by the background, as sets of bits
+    own = np.zeros((n, words), np.uint64)
+    other = own.copy()
+    ends: list[tuple] = []
     while len(row):
         f = arrays["feature"][at]
         end = f < 0
-        a, b = own[end].sum(axis=1), other[end].sum(axis=1)
-        value = arrays["value"][at[end]] / fact[a + b]
-        made = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b], 0.0) * value
-        spoilt = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)], 0.0) * value
-        np.add.at(out, row[end], own[end] * made[:, None] - other[end] * spoilt[:, None])
-        row, at, own, other, f = row[~end], at[~end], own[~end], other[~end], f[~end]
-        every = np.arange(len(row))
+        if end.any():
+            ends.append((row[end], arrays["value"][at[end]], own[end], other[end]))
+            row, at, own, other, f = row[~end], at[~end], own[~end], other[~end], f[~end]
+            if not len(row):
+                break
+        every, word, mark = np.arange(len(row)), f // 64, bit[f]
         cut = arrays["threshold"][at]
         mine, theirs = x[row, f] <= cut, background[f] <= cut
-        fork = (mine != theirs) & ~own[every, f] & ~other[every, f]
-        side = np.where(other[every, f], theirs, mine)
-        step = lambda node, left: np.where(left, arrays["left"][node], arrays["right"][node])
-        again = np.flatnonzero(fork)
-        third = other[again].copy()
-        third[np.arange(len(again)), f[again]] = True
-        row, at, other = np.append(row, row[again]), np.append(step(at, side), step(at[again], theirs[again])), np.concatenate((other, third))
-        second = own[again].copy()
-        own[again, f[again]] = True
-        own = np.concatenate((own, second))
+        held, spoiled = (own[every, word] & mark) > 0, (other[every, word] & mark) > 0
+        again = np.flatnonzero((mine != theirs) & ~held & ~spoiled)
+        side = np.where(spoiled, theirs, mine)
+        to, back = np.where(side, arrays["left"][at], arrays["right"][at]), np.where(theirs[again], arrays["left"][at[again]], arrays["right"][at[again]])
+        second, third = own[again], other[again].copy()
+        third[np.arange(len(again)), word[again]] |= mark[again]
+        own[again, word[again]] |= mark[again]
+        row, at = np.append(row, row[again]), np.append(to, back)
+        own, other = np.concatenate((own, second)), np.concatenate((other, third))
+    row, value, own, other = (np.concatenate(v) for v in zip(*ends))
+    a, b = (np.bitwise_count(v).sum(axis=1, dtype=np.int64) for v in (own, other))
+    value = value / fact[a + b]
+    made = np.where(a > 0, fact[np.maximum(a - 1, 0)] * fact[b], 0.0) * value
+    spoilt = np.where(b > 0, fact[a] * fact[np.maximum(b - 1, 0)], 0.0) * value
+    out = np.zeros((n, k))
+    for f in range(k):
+        sign = np.where(own[:, f // 64] & bit[f], made, 0.0) - np.where(other[:, f // 64] & bit[f], spoilt, 0.0)
+        out[:, f] = np.bincount(row, sign, n)
     return out
 
 
@@ -271,7 +283,7 @@ class Top:
     node: list = field(default_factory=lambda: [ROOT])
     depth: list = field(default_factory=lambda: [0])
     rows: list = field(default_factory=lambda: [0])
-    #: value of a large node that can't be split; None while it may be
+    #: share of positive weight in a large node; None in an open end
     value: list = field(default_factory=lambda: [None])
     gain: list = field(default_factory=list)
 
@@ -293,12 +305,15 @@ def matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def weighted(batch: pa.RecordBatch, s: Settings, tree: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows that a tree uses, with their positive and negative weight."""
-    row, y, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+    """Rows that a tree uses, with their positive and negative weight. Trees of model m are numbered from
+    m * s.trees and draw as those of model 0 do."""
+    row, y, w, model = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4))
+    own = np.flatnonzero(model == tree // s.trees)
+    row, y, w = row[own], y[own], w[own]
     if s.bootstrap:
-        w = w * bootstrap_counts(row, tree, s.seed)
+        w = w * bootstrap_counts(row, tree % s.trees, s.seed)
     used = np.flatnonzero(w > 0)
-    return used, w[used] * y[used], w[used] * (1 - y[used])
+    return own[used], w[used] * y[used], w[used] * (1 - y[used])
 
 
 def _open_rows(batch: pa.RecordBatch, s: Settings, tops: dict[int, Top], wanted: dict[int, np.ndarray]):
@@ -386,7 +401,8 @@ def split_large(rows: DataFrame, s: Settings, tops: dict[int, Top], quantiles: l
             if share in (0, 1) or not (lo < hi).any() or s.depth and top.depth[i] >= s.depth:
                 top.value[i] = share
                 continue
-            order, u = order_of(s, t, top.node[i], lo < hi), draw(s.seed, t, top.node[i], len(lo), 1)
+            own = t % s.trees
+            order, u = order_of(s, own, top.node[i], lo < hi), draw(s.seed, own, top.node[i], len(lo), 1)
             if quantiles is None:
                 edges[t, i] = {int(f): random_cut(lo[[f]], hi[[f]], u[[f]]) for f in order}
             else:
@@ -406,6 +422,7 @@ def split_large(rows: DataFrame, s: Settings, tops: dict[int, Top], quantiles: l
             if best is None:
                 tops[t].value[i] = node.pos / (node.pos + node.neg)
                 continue
+            tops[t].value[i] = node.pos / (node.pos + node.neg)
             tops[t].gain.append((best[0], best[2] - float(purity(np.float64(node.pos), np.float64(node.neg)))))
             tops[t].split(i, best[0], best[1], (best[3], node.n - best[3]))
         state.destroy()
@@ -436,7 +453,7 @@ def grow_group(group: pa.Table, s: Settings, tops: dict[int, Top]) -> pa.Table:
     # one order of rows whatever the partitions, so that sums are the same
     pos, neg = (group[c].to_numpy() for c in ("pos", "neg"))
     order = np.lexsort((*x.T, neg, pos))
-    found = grow(s, tree, tops[tree].node[at], tops[tree].depth[at], x[order], pos[order], neg[order])
+    found = grow(s, tree % s.trees, tops[tree].node[at], tops[tree].depth[at], x[order], pos[order], neg[order])
     kinds = [pa.int32(), pa.int32(), *[pa.list_(k) for k in (pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.float64())]]
     names = ["tree", "at", "feature", "threshold", "left", "right", "value", "gain"]
     return pa.table([pa.array([v], k) for v, k in zip([tree, at, *[found[n] for n in names[2:]]], kinds)], names=names)
@@ -478,12 +495,43 @@ def _grower(s: Settings, tops):
     return lambda group: grow_group(group, s, tops.value)
 
 
+def _to_depth(arrays: dict[str, np.ndarray], depth: int) -> dict[str, np.ndarray]:
+    """A tree without the nodes below a depth; those at it become leaves."""
+    kept, level = [np.array([0])], np.array([0])
+    for _ in range(depth):
+        inner = level[arrays["feature"][level] >= 0]
+        level = np.concatenate((arrays["left"][inner], arrays["right"][inner]))
+        kept.append(level)
+    feature = arrays["feature"].copy()
+    feature[level] = -1
+    nodes = np.concatenate(kept)
+    place = np.full(len(feature), -1)
+    place[nodes] = np.arange(len(nodes))
+    inner = feature[nodes] >= 0
+    move = lambda side: np.where(inner, place[arrays[side][nodes]], -1)
+    return {
+        "feature": feature[nodes], "threshold": arrays["threshold"][nodes], "left": move("left"), "right": move("right"),
+        "value": arrays["value"][nodes],
+    }
+
+
 @dataclass
 class ForestModel:
     settings: Settings
     features: int
     tops: dict[int, Top]
     pieces: DataFrame
+    #: deeper nodes are left out; 0: none
+    cut: int = 0
+
+    def limited(self, trees: int, depth: int) -> ForestModel:
+        """The forest that the same settings with fewer trees or less depth (0: open) give."""
+        grown = self.cut or self.settings.depth
+        if trees > len(self.tops) or grown and not 0 < depth <= grown:
+            raise ValueError("a part of a forest has no more trees and no more depth")
+        s = replace(self.settings, trees=trees, depth=depth)
+        tops = {t: top for t, top in self.tops.items() if t < trees}
+        return ForestModel(s, self.features, tops, self.pieces.where(F.col("tree") < trees), 0 if depth == grown else depth)
 
     def blocks(self) -> Iterator[dict[int, dict[str, np.ndarray]]]:
         """Whole trees as arrays, at most MODEL_BYTES at once (a larger tree by itself)."""
@@ -514,6 +562,8 @@ class ForestModel:
                     arrays[k][at] = v[0]
                     arrays[k].extend(v[1:])
             out[t] = {k: np.array(v) for k, v in arrays.items()}
+            if self.cut:
+                out[t] = _to_depth(out[t], self.cut)
         return out
 
     def add_score(self, df: DataFrame, values: str, out: str) -> DataFrame:
@@ -538,6 +588,8 @@ class ForestModel:
     @property
     def featureImportances(self) -> DenseVector:
         """Share of the fall of impurity that each feature brings, averaged over the trees."""
+        if self.cut:
+            raise ValueError("importances of a part of lower depth are not kept: fit a forest of that depth")
         trees = {t: np.zeros(self.features) for t in self.tops}
         for t, top in self.tops.items():
             for f, g in top.gain:
@@ -551,36 +603,52 @@ class ForestModel:
     def save(self, path: str) -> None:
         spark = self.pieces.sparkSession
         self.pieces.write.mode("overwrite").parquet(f"{path}/pieces")
-        about = {"settings": asdict(self.settings), "features": self.features, "tops": {t: vars(top) for t, top in self.tops.items()}}
+        about = {"settings": asdict(self.settings), "features": self.features, "tops": {t: vars(top) for t, top in self.tops.items()}, "cut": self.cut}
         spark.range(1).select(F.lit(json.dumps(about)).alias("value")).write.mode("overwrite").text(f"{path}/forest")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> ForestModel:
         about = json.loads(spark.read.text(f"{path}/forest", wholetext=True).where("value <> ''").first()["value"])
         tops = {int(t): Top(**{k: [tuple(g) for g in v] if k == "gain" else v for k, v in top.items()}) for t, top in about["tops"].items()}
-        return ForestModel(Settings(**about["settings"]), about["features"], tops, spark.read.parquet(f"{path}/pieces"))
+        return ForestModel(Settings(**about["settings"]), about["features"], tops, spark.read.parquet(f"{path}/pieces"), about.get("cut", 0))
 
 
 def fit(rows: DataFrame, s: Settings) -> ForestModel:
     """rows: row (long, hash of the row's key), y (0 or 1), w (weight), x (array of numbers)."""
-    rows = rows.select(F.col("row").cast("long"), F.col("y").cast("double"), F.col("w").cast("double"), F.col("x").cast("array<double>"))
-    head = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("features")).first()
-    features = head.features or 0
+    return fit_many(rows.withColumn("model", F.lit(0)), s, 1)[0]
+
+
+def fit_many(rows: DataFrame, s: Settings, models: int) -> list[ForestModel]:
+    """A forest for each number below `models` over the rows that carry it in `model`, as fit() gives it
+    (but for the quantiles at which large nodes are cut: they are those of all rows)."""
+    rows = rows.select(
+        F.col("row").cast("long"), F.col("y").cast("double"), F.col("w").cast("double"), F.col("x").cast("array<double>"), F.col("model").cast("int")
+    )
+    heads = {r.model: r for r in rows.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("features")).collect()}
+    features = max((r.features for r in heads.values()), default=0)
+    size = {m: heads[m].n if m in heads else 0 for m in range(models)}
     quantiles = None
-    if not s.random_splits and head.n > s.bound:
+    if not s.random_splits and max(size.values(), default=0) > s.bound:
         share = [(i + 1) / (s.bins + 1) for i in range(s.bins)]
         at = [F.percentile_approx(F.get("x", F.lit(f)), share, 10_000).alias(f"q{f}") for f in range(features)]
         quantiles = [np.unique(q) for q in rows.agg(*at).first()]
-    tops = {t: Top(rows=[head.n]) for t in range(s.trees)}
+    tops = {m * s.trees + t: Top(rows=[size[m]]) for m in range(models) for t in range(s.trees)}
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)  # few files must not leave the trees to few cores
     found = []
-    for first in range(0, s.trees, s.block):
-        block = {t: tops[t] for t in range(first, min(first + s.block, s.trees))}
+    step = max(s.block, s.dealt // max(1, *size.values()))
+    for first in range(0, len(tops), step):
+        block = {t: tops[t] for t in range(first, min(first + step, len(tops)))}
         split_large(rows, s, block, quantiles)
         shared = rows.sparkSession.sparkContext.broadcast(block)
         dealt = rows.mapInArrow(lambda it, b=shared: deal(it, s, b.value), DEALT)
         found.append(cut_lineage(dealt.groupBy("tree", "at").applyInArrow(_grower(s, shared), PIECES)))
         shared.destroy()
-    pieces = found[0]
-    for part in found[1:]:
-        pieces = pieces.union(part)
-    return ForestModel(s, features, tops, pieces)
+    pieces = reduce(DataFrame.union, found)
+    out = []
+    for m in range(models):
+        base = m * s.trees
+        own = pieces.where(F.col("tree").between(base, base + s.trees - 1)).withColumn("tree", F.col("tree") - base)
+        out.append(ForestModel(s, features, {t: tops[base + t] for t in range(s.trees)}, own))
+    return out

@@ -146,6 +146,11 @@ def _is_boosted(spec: Spec) -> bool:
     return PRESETS[spec.name]["family"] == "boosted"
 
 
+def _is_tree(spec: Spec) -> bool:
+    """Whether it grows in operators/forest.py or operators/boost.py."""
+    return _is_forest(spec) or _is_boosted(spec)
+
+
 def _is_network(spec: Spec) -> bool:
     return PRESETS[spec.name]["family"] == "mlp"
 
@@ -178,7 +183,7 @@ class Scorer:
 
 def fit_model(df: DataFrame, spec: Spec) -> Scorer:
     """The learner passes over its rows many times, so they are kept while it runs."""
-    if _is_forest(spec) or _is_boosted(spec):
+    if _is_tree(spec):
         kept = tree_rows(df, spec).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             return Scorer(spec, forest.fit(kept, forest_settings(spec)) if _is_forest(spec) else boost.fit(kept, boost_settings(spec)))
@@ -218,24 +223,36 @@ def folded_rows(df: DataFrame, spec: Spec, folds: int, features: Sequence[str] |
 
 def fit_folds(folded: DataFrame, specs: Sequence[Spec], folds: int) -> list[list[Scorer]]:
     """For each spec a scorer per fold, fitted on the rows of the other folds. Boosted models that share
-    features and label grow side by side."""
+    features and label grow side by side; so do the forests of all folds, and forests that differ in the
+    number of trees or the depth alone are parts of one."""
     out: dict[int, list[Scorer]] = {}
-    alike: dict[tuple, list[int]] = {}
+    boosted: dict[tuple, list[int]] = {}
+    forests: dict[tuple, list[int]] = {}
     for i, spec in enumerate(specs):
         if _is_boosted(spec):
-            alike.setdefault((spec.features, spec.label, spec.key), []).append(i)
+            boosted.setdefault((spec.features, spec.label, spec.key), []).append(i)
+        elif _is_forest(spec):
+            same = replace(forest_settings(spec), trees=0, depth=0)
+            forests.setdefault((spec.features, spec.label, spec.key, same), []).append(i)
         else:
             out[i] = [fit_model(folded.where(F.col("fold") != f), spec) for f in range(folds)]
-    for own in alike.values():
-        blocks = [
-            tree_rows(folded.where(F.col("fold") != f), specs[own[0]])
-            .withColumn("models", F.array(*[F.lit(j * folds + f) for j in range(len(own))]))
-            for f in range(folds)
-        ]
-        kept = reduce(DataFrame.unionByName, blocks).persist(StorageLevel.MEMORY_AND_DISK)
-        found = boost.fit_many(kept, {j * folds + f: boost_settings(specs[i]) for j, i in enumerate(own) for f in range(folds)})
-        kept.unpersist()
+
+    def kept(spec: Spec, more: Callable[[int], dict[str, Column]]) -> DataFrame:
+        blocks = [tree_rows(folded.where(F.col("fold") != f), spec).withColumns(more(f)) for f in range(folds)]
+        return reduce(DataFrame.unionByName, blocks).persist(StorageLevel.MEMORY_AND_DISK)
+
+    for own in boosted.values():
+        rows = kept(specs[own[0]], lambda f, n=len(own): {"models": F.array(*[F.lit(j * folds + f) for j in range(n)])})
+        found = boost.fit_many(rows, {j * folds + f: boost_settings(specs[i]) for j, i in enumerate(own) for f in range(folds)})
+        rows.unpersist()
         out |= {i: [Scorer(specs[i], found[j * folds + f]) for f in range(folds)] for j, i in enumerate(own)}
+    for own in forests.values():
+        settings = [forest_settings(specs[i]) for i in own]
+        depth = 0 if any(s.depth == 0 for s in settings) else max(s.depth for s in settings)
+        rows = kept(specs[own[0]], lambda f: {"model": F.lit(f)})
+        grown = forest.fit_many(rows, replace(settings[0], trees=max(s.trees for s in settings), depth=depth), folds)
+        rows.unpersist()
+        out |= {i: [Scorer(specs[i], m.limited(s.trees, s.depth)) for m in grown] for i, s in zip(own, settings)}
     return [out[i] for i in range(len(specs))]
 
 
@@ -430,8 +447,8 @@ def hyperparameter_search(
     parallelism: int = 4,
 ) -> list[dict]:
     """Settings with their mean cross-validated F2, best first."""
-    if _is_forest(spec) or _is_boosted(spec):
-        return _search_trees(df, spec, space, n, folds)
+    if _is_tree(spec):
+        return search_trees(df, [spec], space, n, folds)[0]
     rows = training_rows(folded_rows(df, spec, folds), spec).persist(StorageLevel.MEMORY_AND_DISK)
     total = rows.count()
     base = estimator(spec, total)
@@ -450,18 +467,27 @@ def hyperparameter_search(
     return [{"params": s, "f2": m} for s, m in ranked]
 
 
-def _search_trees(df: DataFrame, spec: Spec, space: Mapping[str, Sequence] | None, n: int, folds: int) -> list[dict]:
-    """As hyperparameter_search: the held-out rows of all settings and folds are scored and counted in one job."""
-    folded = folded_rows(df, spec, folds)
-    settings = random_grid(space or SEARCH_SPACES.get(spec.name, {}), n, spec.seed)
-    scorers = fit_folds(folded, [replace(spec, params={**spec.params, **s}) for s in settings], folds)
+def search_trees(
+    df: DataFrame, specs: Sequence[Spec], space: Mapping[str, Sequence] | None = None, n: int = 10, folds: int = 10
+) -> list[list[dict]]:
+    """hyperparameter_search() of forests and boosted models of one key, label and seed: they share their
+    folds, grow together, and the held-out rows of all are scored and counted in one job."""
+    first = specs[0]
+    if {(s.key, s.label, s.seed) for s in specs} != {(first.key, first.label, first.seed)}:
+        raise ValueError("searches side by side need one key, label and seed")
+    folded = folded_rows(df, first, folds, [f for s in specs for f in s.features])
+    tried = [(i, s) for i, spec in enumerate(specs) for s in random_grid(space or SEARCH_SPACES.get(spec.name, {}), n, spec.seed)]
+    scorers = fit_folds(folded, [replace(specs[i], params={**specs[i].params, **s}) for i, s in tried], folds)
     held = [
-        s.score(folded.where(F.col("fold") == f)).select(F.lit(i).alias("setting"), "fold", spec.label, SCORE)
-        for i, of in enumerate(scorers) for f, s in enumerate(of)
+        s.score(folded.where(F.col("fold") == f)).select(F.lit(k).alias("setting"), "fold", first.label, SCORE)
+        for k, of in enumerate(scorers) for f, s in enumerate(of)
     ]
-    metrics = evaluate.classification_metrics(reduce(DataFrame.unionByName, held), 0.5, ["setting", "fold"], label=spec.label)
+    metrics = evaluate.classification_metrics(reduce(DataFrame.unionByName, held), 0.5, ["setting", "fold"], label=first.label)
     f2 = {r.setting: r.f2 for r in metrics.groupBy("setting").agg(F.avg("F2").alias("f2")).collect()}
-    return sorted(({"params": s, "f2": f2.get(i) or 0.0} for i, s in enumerate(settings)), key=lambda x: -x["f2"])
+    out: list[list[dict]] = [[] for _ in specs]
+    for k, (i, s) in enumerate(tried):
+        out[i].append({"params": s, "f2": f2.get(k) or 0.0})
+    return [sorted(of, key=lambda x: -x["f2"]) for of in out]
 
 
 def _side_by_side(work: Sequence[Callable], parallelism: int) -> list:
@@ -513,14 +539,32 @@ def tuning_experiments(
     features of a spec are taken in the given (ranked) order.
     """
 
-    def measure(version: str, df: DataFrame, spec: Spec, share: float) -> tuple:
-        k = max(1, round(len(spec.features) * share))
-        part = replace(spec, features=spec.features[:k])
-        best = hyperparameter_search(df, part, space, n, folds)[0]
-        return (version, spec.name, float(share), k, float(best["f2"]), str(sorted(best["params"].items())))
-
-    work = itertools.product(frames.items(), specs, fractions)
-    rows = _side_by_side([lambda v=v, df=df, s=s, f=f: measure(v, df, s, f) for (v, df), s, f in work], parallelism)
+    def part(spec: Spec, share: float) -> Spec:
+        return replace(spec, features=spec.features[: max(1, round(len(spec.features) * share))])
+
+    def rows_of(version: str, share: float, spec: Spec, found: list[dict]) -> tuple:
+        best = found[0]
+        return (version, spec.name, float(share), len(spec.features), float(best["f2"]), str(sorted(best["params"].items())))
+
+    def trees(version: str, df: DataFrame, own: list[Spec]) -> list[tuple]:
+        parts = [(f, part(s, f)) for s in own for f in fractions]
+        found = search_trees(df, [s for _, s in parts], space, n, folds)
+        return [rows_of(version, f, s, of) for (f, s), of in zip(parts, found)]
+
+    def other(version: str, df: DataFrame, spec: Spec, share: float) -> list[tuple]:
+        s = part(spec, share)
+        return [rows_of(version, share, s, hyperparameter_search(df, s, space, n, folds))]
+
+    alike: dict[tuple, list[Spec]] = {}
+    for s in specs:
+        if _is_tree(s):
+            alike.setdefault((s.key, s.label, s.seed), []).append(s)
+    work: list[Callable] = [lambda v=v, df=df, own=own: trees(v, df, own) for v, df in frames.items() for own in alike.values()]
+    work += [
+        lambda v=v, df=df, s=s, f=f: other(v, df, s, f)
+        for (v, df), s, f in itertools.product(frames.items(), specs, fractions) if not _is_tree(s)
+    ]
+    rows = [row for found in _side_by_side(work, parallelism) for row in found]
     spark = next(iter(frames.values())).sparkSession
     return spark.createDataFrame(rows, "version string, model string, fraction double, n_features int, f2 double, params string")
 

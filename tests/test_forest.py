@@ -123,6 +123,35 @@ def test_partitions_do_not_matter_and_odd_tables(spark):
     assert got == {round(want, 6)}
 
 
+@pytest.mark.parametrize("bound", [1000, 40])
+def test_part_of_a_forest_equals_a_smaller_one(spark, bound):
+    rows, _ = table(spark, 220, 8)
+    score = lambda m: [r.score for r in m.add_score(rows, "x", "score").orderBy("row").collect()]
+    whole = forest.fit(rows, Settings(trees=5, bound=bound, bins=300))
+    for trees, depth in ((5, 3), (2, 0), (3, 1)):
+        alone = forest.fit(rows, Settings(trees=trees, depth=depth, bound=bound, bins=300))
+        assert score(whole.limited(trees, depth)) == pytest.approx(score(alone))
+    with pytest.raises(ValueError):
+        whole.limited(6, 0)
+    with pytest.raises(ValueError):
+        whole.limited(5, 3).limited(5, 4)
+    with pytest.raises(ValueError):
+        whole.limited(5, 3).featureImportances  # noqa: B018
+
+
+@pytest.mark.parametrize("random_splits", [True, False])
+def test_forests_of_several_row_sets_equal_single_ones(spark, random_splits):
+    rows, _ = table(spark, 240, 9)
+    s = Settings(trees=3, bound=1000, random_splits=random_splits, seed=4)
+    part = lambda m: rows.where(F.col("row") % 3 != m)
+    both = part(0).withColumn("model", F.lit(0)).unionByName(part(1).withColumn("model", F.lit(1)))
+    score = lambda m: [r.score for r in m.add_score(rows, "x", "score").orderBy("row").collect()]
+    found = forest.fit_many(both, s, 3)
+    for m in (0, 1):
+        assert score(found[m]) == pytest.approx(score(forest.fit(part(m), s)))
+    assert set(score(found[2])) == {0.0}  # no row carries it
+
+
 def test_bootstrap_counts_have_mean_one():
     k = forest.bootstrap_counts(np.arange(200_000), 3, 42)
     assert abs(k.mean() - 1) < 0.01 and abs((k == 0).mean() - np.exp(-1)) < 0.005
