@@ -7,17 +7,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortloom.functions.numeric import col
+from cohortloom.functions.numeric import col, to_number
 from cohortloom.operators.evaluate import rates, roc_auc
-from cohortloom.operators.forest import ForestModel
+from cohortloom.operators.forest import ForestModel, scramble
 from cohortloom.operators.learn import FILL, cv_evaluate, feature_values
-from cohortloom.operators.ordered import running_totals
+from cohortloom.operators.ordered import bucket_count, histogram, with_bucket
 from cohortloom.operators.rank import case_type
-from cohortloom.operators.sample import shuffled_column
+from cohortloom.session import cut_lineage
 
 
 def linear_attributions(
@@ -111,20 +113,53 @@ def global_importance(df: DataFrame, scorer, top_n: int = 25, repeats: int = 5)
     return permutation_importance(df, scorer, repeats).orderBy(F.desc("importance"), F.asc("feature")).limit(top_n)
 
 
-def permutation_importance(df: DataFrame, scorer, repeats: int = 5) -> DataFrame:
-    """AUC of the rows minus the mean AUC with one column permuted by hash, per feature."""
-    spec = scorer.spec
-    base = df.select(spec.key, spec.label, *spec.features)
-    parts = None
-    for f in spec.features:
-        for i in range(repeats):
-            moved = shuffled_column(base, spec.key, f, f"{f}|{i}", spec.seed)
-            scored = scorer.score(moved).select(F.lit(f).alias("feature"), F.lit(i).alias("repeat"), spec.label, "y_proba")
-            parts = scored if parts is None else parts.unionByName(scored)
-    whole = roc_auc(scorer.score(base), label=spec.label).select("roc_auc").scalar()
-    drops = roc_auc(parts, ["feature", "repeat"], label=spec.label)
-    return drops.groupBy("feature").agg(F.avg("roc_auc").alias("_auc")).select(
-        "feature", (whole - F.col("_auc")).alias("importance"), F.lit("permutation_importance").alias("source")
+#: Rows whose values are exchanged with each other in one task.
+BLOCK_ROWS = 20_000
+
+
+def permuted(block: pa.Table, features: int, repeats: int, seed: int) -> pa.Table:
+    """The block with `_moved`: for each feature and repeat its values in an order of their own."""
+    block = block.take(np.lexsort(tuple(block[f"_v{i}"].to_numpy(zero_copy_only=False) for i in range(features)) + (block["_h"].to_numpy(),)))
+    number, moved = block["_block"][0].as_py(), np.empty((block.num_rows, features * repeats))
+    for i in range(features):
+        values = block[f"_v{i}"].to_numpy(zero_copy_only=False)
+        for k in range(repeats):
+            moved[:, i * repeats + k] = values[np.random.default_rng([seed, number, i, k]).permutation(block.num_rows)]
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(block.num_rows + 1, dtype=np.int32) * moved.shape[1]), pa.array(moved.ravel()))
+    return block.append_column("_moved", lists)
+
+
+def permutation_importance(df: DataFrame, scorer, repeats: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """AUC of the rows minus the mean AUC with one column permuted, per feature.
+
+    Rows are dealt to blocks by a hash of their key, and each block exchanges its values inside a task: one
+    shuffle gives all features and repeats, one pass scores them. A table of at most block_rows rows is
+    permuted as a whole. Missing values are permuted like others. Rows alike in key and values may change
+    places, which changes nothing.
+    """
+    spec, names = scorer.spec, list(scorer.spec.features)
+    value = {f"_v{i}": F.coalesce(to_number(f).cast("double"), F.lit(FILL)) for i, f in enumerate(names)}
+    rows = df.select(col(spec.label).cast("double").alias("_y"), F.xxhash64(col(spec.key), F.lit(spec.seed)).alias("_h"), *[v.alias(k) for k, v in value.items()])
+    blocks = max(1, -(-df.count() // block_rows))
+    rows = rows.where("_y IS NOT NULL").withColumn("_block", F.pmod("_h", F.lit(blocks)))
+    kinds = ", ".join(f"{n} {k}" for n, k in rows.dtypes) + ", _moved array<double>"
+    moved = rows.groupBy("_block").applyInArrow(lambda g: permuted(g, len(names), repeats, spec.seed), kinds)
+    # place -1 stands for the rows as they are
+    every = moved.select("_y", *value, F.explode(F.concat(
+        F.array(F.struct(F.lit(-1).alias("at"), F.lit(None).cast("double").alias("v"))),
+        F.transform("_moved", lambda v, i: F.struct(i.alias("at"), v.alias("v"))),
+    )).alias("_m"))
+    feature = F.when(F.col("_m.at") >= 0, F.floor(F.col("_m.at") / repeats).cast("int")).otherwise(-1)
+    mixed = every.select(
+        F.col("_y").alias(spec.label), feature.alias("_f"), F.col("_m.at").alias("_at"),
+        *[F.when(feature == i, F.col("_m.v")).otherwise(F.col(f"_v{i}")).alias(f) for i, f in enumerate(names)],
+    )
+    aucs = roc_auc(scorer.score(mixed).select("_f", "_at", spec.label, "y_proba"), ["_f", "_at"], label=spec.label)
+    means = cut_lineage(aucs.groupBy("_f").agg(F.avg("roc_auc").alias("_auc")))  # a row a feature; read twice
+    whole = means.where("_f = -1").select("_auc").scalar()
+    return means.where("_f >= 0").select(
+        F.get(F.array(*[F.lit(f) for f in names]), F.col("_f")).alias("feature"), (whole - F.col("_auc")).alias("importance"),
+        F.lit("permutation_importance").alias("source"),
     )
 
 
@@ -165,40 +200,70 @@ def sampled_attributions(df: DataFrame, scorer, permutations: int = 3, seed: int
     )
 
 
+def _poisson_quantile(u: np.ndarray, n: int) -> np.ndarray:
+    """Poisson draws of mean n from uniforms; the table covers all but about 1e-20 of the distribution."""
+    low = max(0, int(n - 10 * math.sqrt(n) - 10))
+    k = np.arange(low + 1, int(n + 10 * math.sqrt(n) + 30))
+    start = low * math.log(n) - n - math.lgamma(low + 1)
+    mass = np.cumsum(np.exp(start + np.concatenate(([0.0], np.cumsum(math.log(n) - np.log(k))))))
+    return low + np.searchsorted(mass / mass[-1], u, side="right")
+
+
+def _resampled(scores: np.ndarray, counts: np.ndarray, label: int, replicates: int, seed: int) -> np.ndarray:
+    """Rows x replicates: how often the `counts` rows of each score are drawn, a hash of score, label and replicate."""
+    out = np.zeros((len(scores), replicates))
+    key = scramble(scramble((scores + 0.0).view(np.uint64)) ^ scramble(np.array([2 * seed + label + 1], np.uint64)))
+    with np.errstate(over="ignore"):
+        x = scramble(key[:, None] + np.arange(1, replicates + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    u = (x >> np.uint64(11)).astype(np.float64) * 2.0**-53
+    for n in np.unique(counts[counts > 0]):
+        own = counts == n
+        out[own] = _poisson_quantile(u[own], int(n))
+    return out
+
+
+REPLICATES = "bucket int, replicate int, pos double, neg double, area double, tp double, fp double"
+#: Distinct scores that a task resamples at once.
+RESAMPLED = 1024
+
+
+def _bootstrap_bucket(group: pa.Table, replicates: int, threshold: float, seed: int) -> pa.Table:
+    """Per replicate the weights of a bucket, the pairs inside it that are in order (ties half), and the hits."""
+    s, p, q = (group[c].to_numpy() for c in ("s", "pos", "neg"))
+    order = np.argsort(s)
+    s, p, q = s[order], p[order], q[order]
+    pos, neg, area, tp, fp = np.zeros((5, replicates))
+    for at in range(0, len(s), RESAMPLED):
+        part = slice(at, at + RESAMPLED)
+        own, other = (_resampled(s[part], c[part], y, replicates, seed) for y, c in ((1, p), (0, q)))
+        area += (own * (neg + np.cumsum(other, axis=0) - other / 2)).sum(axis=0)
+        hit = s[part] >= threshold
+        pos, neg = pos + own.sum(axis=0), neg + other.sum(axis=0)
+        tp, fp = tp + own[hit].sum(axis=0), fp + other[hit].sum(axis=0)
+    names = [c.split()[0] for c in REPLICATES.split(", ")]
+    head = [np.full(replicates, group["_bucket"][0].as_py(), np.int32), np.arange(replicates, dtype=np.int32)]
+    return pa.table([*head, pos, neg, area, tp, fp], names=names)
+
+
 def bootstrap_ci(
     df: DataFrame, threshold: float, replicates: int = 1000, alpha: float = 0.05, seed: int = 42,
-    score: str = "y_proba", label: str = "y_true", key: Sequence[str] | None = None,
+    score: str = "y_proba", label: str = "y_true",
 ) -> DataFrame:
     """(metric, mean, ci_lower, ci_upper, n_valid) by Poisson resampling.
 
-    key names the columns that tell rows apart; without it all columns do, and rows alike in all of
-    them draw the same weights, which widens the interval. Every (replicate, row) draws a hashed Poisson(1) weight. The weights are summed per
-    score and replicate in the scan, so only the weighted histograms are shuffled.
+    The weights of the n rows of one score and label sum to a Poisson variable of mean n, so the score
+    histogram is all that is resampled. It is cut into buckets of similar size; a task gives the sums of
+    its bucket for every replicate, and only those are added up.
     """
-    steps, term, total = [], math.exp(-1.0), 0.0
-    for i in range(12):
-        total += term
-        steps.append(total)
-        term /= i + 1
-    u = F.pmod(F.xxhash64(F.col("_k"), F.col("replicate"), F.lit(seed)), F.lit(2**31)) / float(2**31)
-    weight = sum(((u >= F.lit(s)).cast("bigint") for s in steps), F.lit(0).cast("bigint"))
-    rows = df.select(
-        F.xxhash64(*[col(c) for c in key or df.columns]).alias("_k"), col(score).alias("s"), col(label).cast("bigint").alias("y"),
-        F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"),
-    ).withColumn("w", weight)
-    hist = rows.where("w > 0").groupBy("replicate", "s").agg(
-        F.sum(F.col("w") * F.col("y")).alias("pos"), F.sum(F.col("w") * (1 - F.col("y"))).alias("neg")
-    )
-    run = running_totals(hist, "s", ["pos", "neg"], ["replicate"])
-    hit = F.col("s") >= threshold
-    sums = run.groupBy("replicate").agg(
-        F.try_divide(
-            F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2)), F.max("tot_pos").cast("double") * F.max("tot_neg")
-        ).alias("ROC_AUC"),
-        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
-        F.max("tot_pos").alias("p"),
-        F.max("tot_neg").alias("n"),
+    y = col(label).cast("bigint")
+    hist = histogram(df.select(col(score).cast("double").alias("s"), y.alias("y")).where("y IS NOT NULL"), "s", pos=F.col("y"), neg=1 - F.col("y"))
+    cut = with_bucket(hist, "s", [], bucket_count(df.sparkSession))
+    parts = cut.groupBy("_bucket").applyInArrow(lambda g: _bootstrap_bucket(g, replicates, threshold, seed), REPLICATES)
+    before = Window.partitionBy("replicate").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("neg").over(before), F.lit(0.0)))
+    sums = parts.groupBy("replicate").agg(
+        F.try_divide(F.sum(F.col("area") + F.col("pos") * F.col("_before")), F.sum("pos") * F.sum("neg")).alias("ROC_AUC"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("tp", "fp")], F.sum("pos").cast("bigint").alias("p"), F.sum("neg").cast("bigint").alias("n"),
     ).where("p > 0 AND n > 0")
     r = rates(F.col("tp"), F.col("fp"), F.col("p") - F.col("tp"), F.col("n") - F.col("fp"))
     values = sums.select("ROC_AUC", *[r[m].alias(m) for m in ("F2", "Recall", "Precision")])

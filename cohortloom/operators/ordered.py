@@ -27,7 +27,7 @@ def histogram(df: DataFrame, value: str, by: Sequence[str] = (), **sums: Column)
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(*aggs)
 
 
-def _with_bucket(hist: DataFrame, value: str, by: Sequence[str], buckets: int) -> DataFrame:
+def with_bucket(hist: DataFrame, value: str, by: Sequence[str], buckets: int) -> DataFrame:
     probs = [i / buckets for i in range(1, buckets)]
     edges = F.percentile_approx(value, probs, 1000)
     if by:
@@ -54,7 +54,7 @@ def running_totals(
 ) -> DataFrame:
     """Adds cum_<s> (inclusive running sum in value order) and tot_<s> (group total)."""
     by = list(by)
-    h = _with_bucket(hist, value, by, buckets or bucket_count(hist.sparkSession))
+    h = with_bucket(hist, value, by, buckets or bucket_count(hist.sparkSession))
     order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)

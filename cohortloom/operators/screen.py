@@ -3,9 +3,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,6 +16,8 @@ from cohortloom.session import cut_lineage
 
 NEVER_FEATURES = {"target", "Documento PMD", "Documento_PMD", "n_flags_relevant"}
 MAX_BINS = 32
+#: Distinct values of a class in one window.
+WINDOW_VALUES = 50_000
 
 
 def column_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -108,8 +111,71 @@ def information(table: DataFrame) -> DataFrame:
     return t.groupBy("feature", "outcome").agg(F.greatest(F.sum(mi), F.lit(0.0)).alias("mi"))
 
 
-def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins: int = MAX_BINS) -> DataFrame:
+def digamma(n: Column) -> Column:
+    """Of a positive number: eight steps up, then the asymptotic series."""
+    x = n + 8.0
+    steps = sum((1.0 / (n + float(i)) for i in range(1, 8)), 1.0 / n)
+    return F.log(x) - 0.5 / x - 1 / (12 * x * x) + 1 / (120 * x * x * x * x) - 1 / (252 * x * x * x * x * x * x) - steps
+
+
+def _nearest_in_class(classes: DataFrame, k: int) -> DataFrame:
+    """classes: (feature, y, value, n), a row a distinct value. Adds size (rows of the class) and radius,
+    the distance to the k-th nearest other row of the class (the farthest, if it has fewer).
+
+    Values are numbered in order and cut into blocks by number; the k values at both ends of a block also
+    go to its neighbours, so no window holds a whole class.
+    """
+    ranked = running_totals(classes.withColumn("one", F.lit(1)), "value", ["one", "n"], ["feature", "y"])
+    number = F.col("cum_one") - 1
+    first, last = (F.floor(F.greatest(number + d, F.lit(0)) / WINDOW_VALUES) for d in (-k, k))
+    dealt = ranked.withColumn("_home", F.floor(number / WINDOW_VALUES)).withColumn("_block", F.explode(F.sequence(first, last)))
+    w = Window.partitionBy("feature", "y", "_block").orderBy("value")
+    near = [F.struct(F.lit(0.0).alias("d"), (F.col("n") - 1).alias("n"))]
+    for i in range(1, k + 1):
+        for move in (F.lag, F.lead):
+            near.append(F.struct(F.abs(F.col("value") - move("value", i).over(w)).alias("d"), F.coalesce(move("n", i).over(w), F.lit(0)).alias("n")))
+    found = dealt.withColumn("_near", F.array(*near)).where("_home = _block")
+    wanted = F.least(F.lit(k), F.col("tot_n") - 1)
+    start = F.struct(wanted.cast("bigint").alias("left"), F.lit(0.0).alias("r"))
+    step = lambda a, x: F.struct((a["left"] - x["n"]).alias("left"), F.when(a["left"] > 0, x["d"]).otherwise(a["r"]).alias("r"))
+    near = F.array_sort(F.filter("_near", lambda x: x["n"] > 0))
+    return found.select("feature", "y", "value", "n", F.col("tot_n").alias("size"), F.aggregate(near, start, step, lambda a: a["r"]).alias("radius"))
+
+
+def neighbour_information(long: DataFrame, outcome: str, k: int = 3) -> DataFrame:
+    """(feature, mi) in nats by nearest neighbours: a row's distance to the k-th nearest row of its class,
+    against the number of all rows nearer than that.
+
+    long: (feature, value, outcome). Equal values are at distance 0. Where that is the distance to the
+    k-th, the value is a common one and its rows enter as a cell of a table, by logarithms of counts; so
+    columns of few values give the plug-in estimate. Classes of one row are left out. Distances that differ by rounding alone
+    count as equal. Works on histograms of distinct values; ranges are counted by running totals.
+    """
+    hist = histogram(long.select("feature", "value", F.col(outcome).alias("y")).where("y IS NOT NULL"), "value", ["feature", "y"]).withColumnRenamed("w", "n")
+    sizes = hist.groupBy("feature", "y").agg(F.sum("n").alias("_size")).where("_size > 1").drop("_size")
+    classes = cut_lineage(hist.join(sizes, ["feature", "y"], "left_semi"))  # read for the distances and the counts
+    inside = F.col("radius") - 1e-12 * (F.abs("value") + F.col("radius"))
+    rows = _nearest_in_class(classes, k).withColumn("_r", F.greatest(inside, F.lit(0.0)))
+    rows = cut_lineage(rows.withColumns({"lo": F.col("value") - F.col("_r"), "hi": F.col("value") + F.col("_r")}))
+    ends = reduce(DataFrame.unionByName, [rows.select("feature", F.col(c).alias("value"), F.lit(0).cast("bigint").alias("w")) for c in ("lo", "hi")])
+    points = classes.select("feature", "value", F.col("n").alias("w")).unionByName(ends).groupBy("feature", "value").agg(F.sum("w").alias("w"))
+    run = cut_lineage(running_totals(points, "value", ["w"], ["feature"]))
+    below = run.select("feature", F.col("value").alias("lo"), (F.col("cum_w") - F.col("w")).alias("_below"))
+    upto = run.select("feature", F.col("value").alias("hi"), F.col("cum_w").alias("_upto"), F.col("tot_w").alias("total"))
+    counted = rows.join(below, ["feature", "lo"]).join(upto, ["feature", "hi"])
+    size, n, total, m = (F.col(c).cast("double") for c in ("size", "n", "total", "_m"))
+    smooth = digamma(total) + digamma(F.least(F.lit(float(k)), size - 1)) - digamma(size) - digamma(m)
+    atom = F.log(total) + F.log(n) - F.log(size) - F.log(m)
+    counted = counted.withColumn("_m", F.col("_upto") - F.col("_below"))
+    terms = counted.select("feature", n.alias("_n"), (n * F.when(F.col("_r") > 0, smooth).otherwise(atom)).alias("_t"))
+    return terms.groupBy("feature").agg(F.greatest(F.sum("_t") / F.sum("_n"), F.lit(0.0)).alias("mi"))
+
+
+def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins: int | None = None, k: int = 3) -> DataFrame:
+    """(feature, mi) of every feature with a class; with `bins` the plug-in estimate over that many bins."""
     long = long_features(df, features, [target])
+    if bins is None:
+        return neighbour_information(long, target, k)
     return information(contingency(long, [target], bins)).select("feature", "mi")
 
 

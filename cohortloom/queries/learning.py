@@ -243,7 +243,7 @@ def score_raw_records(spark, sf):
 @query("bootstrap_ci")
 def bootstrap_ci(spark, sf):
     df = fx.scored(spark, sf).select("row_key", "y_proba", "y_true")
-    return explain.bootstrap_ci(df, 0.4, key=["row_key"])
+    return explain.bootstrap_ci(df, 0.4)
 
 
 @query("cv_evaluate")

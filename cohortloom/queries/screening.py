@@ -97,7 +97,37 @@ def mi_blocks(tag: str, long: str, needs, outcomes) -> None:
 mi_blocks("sc", long_sql("scored_v", FEATS, "y_true"), ("scored_v",), ["y_true"])
 
 
-@query("mutual_information", f"SELECT feature, {r('mi')} AS mi FROM sc_mi", needs=("sc_mi",))
+def knn_blocks(tag: str, long: str, needs, k: int) -> None:
+    """DuckDB: mutual information by nearest neighbours of (feature, value, y)."""
+    psi = lambda n: f"(ln({n} + 8) - 0.5 / ({n} + 8) - 1 / (12 * ({n} + 8) ** 2) + 1 / (120 * ({n} + 8) ** 4) - 1 / (252 * ({n} + 8) ** 6) - (" + " + ".join(f"1 / ({n} + {i})" for i in range(8)) + "))"
+    block(f"{tag}_kc", f"SELECT feature, y, value, count(*) AS n, sum(count(*)) OVER (PARTITION BY feature, y)::BIGINT AS size FROM ({long}) GROUP BY 1, 2, 3 QUALIFY size > 1", needs)
+    moves = ", ".join(
+        f"list_resize([]::DOUBLE[], least({k}, coalesce({m}(n, {i}) OVER w, 0)), abs(value - {m}(value, {i}) OVER w))" for i in range(1, k + 1) for m in ("lag", "lead")
+    )
+    block(
+        f"{tag}_kr",
+        f"SELECT feature, y, value, n, size, list_sort(flatten([list_resize([]::DOUBLE[], least({k}, n - 1), 0.0), {moves}]))[least({k}, size - 1)] AS radius FROM {tag}_kc WINDOW w AS (PARTITION BY feature, y ORDER BY value)",
+        (f"{tag}_kc",),
+    )
+    block(f"{tag}_kv", f"SELECT feature, value, sum(n) AS n FROM {tag}_kc GROUP BY 1, 2", (f"{tag}_kc",))
+    inside = "greatest(radius - 1e-12 * (abs(r.value) + radius), 0)"
+    block(
+        f"{tag}_km",
+        f"SELECT r.feature, r.y, r.value, any_value(r.n)::DOUBLE AS n, any_value(size)::DOUBLE AS size, sum(v.n)::DOUBLE AS m, any_value({inside}) > 0 AS smooth FROM {tag}_kr r JOIN {tag}_kv v ON v.feature = r.feature AND v.value >= r.value - {inside} AND v.value <= r.value + {inside} GROUP BY 1, 2, 3",
+        (f"{tag}_kr", f"{tag}_kv"),
+    )
+    smooth = f"{psi('total')} + {psi(f'least({k}, size - 1)')} - {psi('size')} - {psi('m')}"
+    block(
+        f"{tag}_knn",
+        f"SELECT feature, greatest(sum(n * CASE WHEN smooth THEN {smooth} ELSE ln(total) + ln(n) - ln(size) - ln(m) END) / sum(n), 0) AS mi FROM (SELECT *, (sum(n) OVER (PARTITION BY feature))::DOUBLE AS total FROM {tag}_km) GROUP BY feature",
+        (f"{tag}_km",),
+    )
+
+
+knn_blocks("sc", "SELECT feature, value, y_true AS y FROM sc_long WHERE y_true IS NOT NULL", ("sc_long",), 3)
+
+
+@query("mutual_information", f"SELECT feature, {r('mi')} AS mi FROM sc_knn", needs=("sc_knn",))
 def mutual_information(spark, sf):
     return rounded(screen.mutual_information(fx.scored(spark, sf), FEATS, "y_true"), "mi")
 
