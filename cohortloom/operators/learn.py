@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.errors import ArithmeticException, IllegalArgumentException
 from pyspark.ml import Model
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.numeric import col, to_number
-from cohortloom.operators import boost, evaluate, forest, rank, sample
+from cohortloom.operators import boost, evaluate, forest, ordered, rank, sample
 from cohortloom.operators.project import column_medians
 from cohortloom.session import cut_lineage
 
@@ -274,6 +275,46 @@ class Calibrator:
         return done.withColumn(out, F.least(F.greatest("_iso", F.lit(0.0)), F.lit(1.0))).drop("_s", "_iso")
 
 
+POOLED = "bucket int, lo double, hi double, n long, pos long"
+#: Neighbouring buckets that a task merges.
+FAN = 32
+
+
+def _pool(group: pa.Table) -> pa.Table:
+    """Blocks in score order, neighbours merged until their shares of positives rise. Counts stay whole
+    numbers, so the comparison is exact."""
+    group = group.sort_by("lo")
+    lo, hi, n, pos = ([] for _ in range(4))
+    for a, b, m, p in zip(*(group[c].to_pylist() for c in ("lo", "hi", "n", "pos"))):
+        while n and pos[-1] * m >= p * n[-1]:
+            a, m, p = lo.pop(), m + n.pop(), p + pos.pop()
+            hi.pop()
+        for out, v in zip((lo, hi, n, pos), (a, b, m, p)):
+            out.append(v)
+    kinds = [pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
+    arrays = [pa.array(v, k) for v, k in zip(([group["bucket"][0].as_py()] * len(lo), lo, hi, n, pos), kinds)]
+    return pa.table(arrays, names=["bucket", "lo", "hi", "n", "pos"])
+
+
+def pooled_blocks(hist: DataFrame, score: str) -> DataFrame:
+    """(lo, hi, n, pos) of the monotone steps of a score histogram (score, pos, neg).
+
+    Tasks pool the scores of a bucket, then the blocks of FAN neighbouring buckets, until one bucket is
+    left. Shares of whole counts that rise strictly are at most about N^(2/3) for N rows, so the blocks that
+    meet in the last task, and the steps of the model, are far fewer than the scores.
+    """
+    buckets = ordered.bucket_count(hist.sparkSession)
+    cut = ordered.with_bucket(hist.withColumn(score, F.col(score).cast("double")), score, [], buckets)
+    n, pos = (F.col("pos") + F.col("neg")).cast("long"), F.col("pos").cast("long")
+    blocks = cut.select(F.col("_bucket").alias("bucket"), F.col(score).alias("lo"), F.col(score).alias("hi"), n.alias("n"), pos.alias("pos"))
+    while True:
+        blocks = blocks.groupBy("bucket").applyInArrow(_pool, POOLED)
+        if buckets == 1:
+            return blocks.drop("bucket")
+        buckets = -(-buckets // FAN)
+        blocks = blocks.withColumn("bucket", F.floor(F.col("bucket") / FAN).cast("int"))
+
+
 def calibrate(df: DataFrame, method: str, score: str = SCORE, label: str = "y_true") -> Calibrator:
     """Fit a calibrator on the score histogram, so its input is one row per distinct score.
 
@@ -281,9 +322,9 @@ def calibrate(df: DataFrame, method: str, score: str = SCORE, label: str = "y_tr
     """
     hist = evaluate.score_histogram(df, score=score, label=label)
     if method == "isotonic":
-        rows = hist.select(
-            score, (F.col("pos") / (F.col("pos") + F.col("neg"))).alias("_y"), (F.col("pos") + F.col("neg")).cast("double").alias("_w")
-        )
+        # both ends of each step, which the fit leaves as they are
+        ends = F.explode(F.array("lo", "hi")).alias(score)
+        rows = pooled_blocks(hist, score).select(ends, (F.col("pos") / F.col("n")).alias("_y"), (F.col("n") / 2).alias("_w"))
         iso = IsotonicRegression(featuresCol="_s", labelCol="_y", weightCol="_w", predictionCol="_iso")
         return Calibrator(method, iso.fit(_score_vector(rows, score)))
     if method != "sigmoid":

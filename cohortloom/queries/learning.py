@@ -11,6 +11,7 @@ from cohortloom import fixtures as fx
 from cohortloom.functions.numeric import col, round_half_up as r6
 from cohortloom.operators import evaluate, explain, learn, sample, store
 from cohortloom.operators.learn import Spec
+from cohortloom.operators.ordered import histogram, running_totals
 from cohortloom.plans import clean, flags, scoring
 from cohortloom.queries.base import query, r
 from cohortloom.queries.profiles import rounded
@@ -90,13 +91,15 @@ def calibrate_sigmoid(spark, sf):
 )
 def calibrate_isotonic(spark, sf):
     df = fx.scored(spark, sf).select("row_key", "y_true", "y_proba")
-    done = learn.calibrate(df, "isotonic").apply(df)
-    # steps of the fit: lowest and highest score of each calibrated value must not interleave
-    steps = done.groupBy("calibrated").agg(F.min("y_proba").alias("lo"), F.max("y_proba").alias("hi"))
-    from pyspark.sql.window import Window
-
-    before = F.max("hi").over(Window.partitionBy(F.lit(1)).orderBy("calibrated").rowsBetween(Window.unboundedPreceding, -1))
-    falls = steps.withColumn("bad", (before >= F.col("lo")).cast("int")).agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("falls"))
+    done = cut_lineage(learn.calibrate(df, "isotonic").apply(df))
+    # as many rows lie below a step by score as by calibrated value, unless the fit falls somewhere
+    below = {
+        c: running_totals(histogram(done, c), c, ["w"]).select(F.col(c).alias(f"at_{c}"), (F.col("cum_w") - F.col("w")).alias(f"below_{c}"))
+        for c in ("y_proba", "calibrated")
+    }
+    steps = done.groupBy("calibrated").agg(F.min("y_proba").alias("lo"))
+    both = steps.join(below["y_proba"], F.col("lo") == F.col("at_y_proba")).join(below["calibrated"], F.col("calibrated") == F.col("at_calibrated"))
+    falls = both.agg(F.count_if(F.col("below_y_proba") != F.col("below_calibrated")).alias("falls"))
     means = done.agg(
         F.count(F.lit(1)).alias("n"), r6(F.avg("y_true"), 4).alias("mean_label"), r6(F.avg("calibrated"), 4).alias("mean_calibrated")
     )

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.operators import evaluate, explain, screen
+from cohortloom.operators import evaluate, explain, learn, screen
 
 
 def psi(n):
@@ -118,3 +118,27 @@ def test_permutation_equals_plain_drop(spark, block_rows):
     again = {v.feature: v.importance for v in explain.permutation_importance(df.repartition(5), model, 8, block_rows).collect()}
     assert again == pytest.approx(got)
     assert evaluate.roc_auc(model.score(df)).first().roc_auc == pytest.approx(auc(2 * x[:, 0] + x[:, 1]))
+
+
+def plain_steps(scores, labels):
+    """Calibrated value by score."""
+    blocks = []
+    for s in sorted(set(scores)):
+        own = [y for v, y in zip(scores, labels) if v == s]
+        blocks.append(([s], len(own), sum(own)))
+        while len(blocks) > 1 and blocks[-2][2] * blocks[-1][1] >= blocks[-1][2] * blocks[-2][1]:
+            (a, n, p), (b, m, q) = blocks[-2:]
+            blocks[-2:] = [(a + b, n + m, p + q)]
+    return {s: p / n for own, n, p in blocks for s in own}
+
+
+@pytest.mark.parametrize("levels,falling", [(None, False), (15, False), (None, True)])
+@pytest.mark.parametrize("fan", [32, 2])
+def test_isotonic_equals_plain_pooling(spark, monkeypatch, levels, falling, fan):
+    monkeypatch.setattr(learn, "FAN", fan)
+    r = np.random.default_rng(6)
+    s = r.random(700) if levels is None else np.round(r.random(700) * levels) / levels
+    y = (r.random(700) < (1 - s if falling else s)).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "y_proba double, y_true int")
+    got = {x.y_proba: x.calibrated for x in learn.calibrate(df, "isotonic").apply(df).collect()}
+    assert got == pytest.approx(plain_steps(s.tolist(), y.tolist()))
