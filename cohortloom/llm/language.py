@@ -303,13 +303,20 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY, id_column:
 
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float, penalty: float = PENALTY, text_column: str = "text") -> DataFrame:
-    """The documents, with all their columns, whose language is known with at least this score."""
+    """The documents, with all their columns, whose language is known with at least this score. Where no
+    language was learned none can be told apart, and every text with a letter stays."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_column)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_chunks(batch, CHUNK, text_column):
-                names, values, _ = label_texts(part.column(at).to_pylist(), shared.value, penalty)
-                yield part.filter(pa.array([n != UNKNOWN and v >= min_score for n, v in zip(names, values)]))
+                texts = part.column(at).to_pylist()
+                if shared.value.languages:
+                    names, values, _ = label_texts(texts, shared.value, penalty)
+                    kept = [n != UNKNOWN and v >= min_score for n, v in zip(names, values)]
+                else:
+                    lettered = set(LetterRuns(texts).text_of.tolist())
+                    kept = [i in lettered for i in range(len(texts))]
+                yield part.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

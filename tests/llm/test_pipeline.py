@@ -61,6 +61,18 @@ def test_clean_documents_stay(spark, sf):
     assert sorted((r.doc_id, r.text, r.n_chars) for r in docs.collect()) == [(r[0], r[1], r[4]) for r in clean]
 
 
+def test_mixed_and_unlabelled_documents_stay(spark, sf):
+    parts = ["abcde", "fghij", "klmno", "pqrst", "uvwxy"]
+    learned = [row(i, prose(i, 60, parts[i % 5]), f"l{i % 5}") for i in range(60)]
+    # equal parts of five languages, each sure by itself
+    mixed = [row(900 + k, " ".join(prose(5000 + 10 * k + i, 30, parts[i]) for i in range(5)), None) for k in range(4)]
+    kept = corpus_pipeline.language_id(spark, frame(spark, learned + mixed), sf)
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in learned + mixed}
+    unlabelled = [row(i, prose(i, 20), None) for i in range(5)] + [row(10, "123 ...", None), row(11, None, None), row(12, "", None)]
+    kept = corpus_pipeline.language_id(spark, frame(spark, unlabelled), sf)
+    assert {r.doc_id for r in kept.collect()} == set(range(5))
+
+
 def test_registered():
     names = list(corpus_pipeline.REGISTERED)
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
