@@ -148,37 +148,7 @@ def pearson_linkage(spark, sf):
 
 
 PRE_FEATS = ["Edad", "Talla (cm)", "IMC", "Puntaje Mallampati", "Frecuencia Respiratoria"]
-OUT = ["flag_liquidos", "flag_estancia", "flag_desenlace", "target"]
-PP_VERSION = {"target_f_predictibilidad_maxima": "v_f", "target_d_v5": "v_d5"}
-block(
-    "pp_merged",
-    "SELECT v.version, "
-    + ", ".join(f'p."{f}"' for f in PRE_FEATS)
-    + ", flag_liquidos, flag_estancia, flag_desenlace, v.target FROM preop_v p JOIN flags_v f ON f.doc = p.\"Documento PMD\" JOIN versions_v v ON v.k = f.k WHERE v.version IN ('target_f_predictibilidad_maxima', 'target_d_v5') AND p.\"Edad\" >= 18",
-    ("preop_v", "flags_v", "versions_v"),
-)
-for _v, _tag in PP_VERSION.items():
-    mi_blocks(_tag, long_sql(f"(SELECT * FROM pp_merged WHERE version = '{_v}')", PRE_FEATS, ", ".join(OUT)), ("pp_merged",), OUT)
-
-
-def pp_sql(v: str, tag: str) -> str:
-    corr = " UNION ALL ".join(f"SELECT feature, '{o}' AS outcome, {r_sql(o)} AS p, avg({o}) AS prev FROM {tag}_long GROUP BY feature" for o in OUT)
-    return f"""SELECT '{v}' AS version, m.outcome AS post_variable, m.feature, {r('mi')} AS mi, {r('p')} AS abs_pearson, {r('0.7 * mi + 0.3 * p')} AS combined, {r('prev')} AS prevalence
-FROM {tag}_mi m JOIN ({corr}) c ON c.feature = m.feature AND c.outcome = m.outcome WHERE prev > 0 AND prev < 1"""
-
-
-@query("pre_post_linkage", " UNION ALL ".join(pp_sql(v, t) for v, t in PP_VERSION.items()), needs=("v_f_mi", "v_d5_mi"))
-def pre_post_linkage(spark, sf):
-    pre = fx.preop(spark, sf).where("Edad >= 18").select(col(KEY), *[col(f) for f in PRE_FEATS])
-    frames = {}
-    for v in PP_VERSION:
-        tgt = joins.short_key(target.extract_target(fx.posop(spark, sf), v))
-        frames[v] = pre.join(tgt.select(col(KEY), *OUT), KEY)
-    out = screen.pre_post_linkage(frames, PRE_FEATS, OUT)
-    return rounded(out, "mi", "abs_pearson", "combined", "prevalence")
-
-
-# the whole job: every version and every flag, in one cube
+# every version and every flag, in one cube
 PP_VERSIONS = list(VERSION_SQL)
 PP_OUT = [*flags.ALL_FLAGS, *PP_VERSIONS]
 block(
@@ -191,15 +161,15 @@ block(
 mi_blocks("ppa", long_sql("ppa_merged", PRE_FEATS, ", ".join(PP_OUT)), ("ppa_merged",), PP_OUT)
 
 
-@query(
-    "pre_post_linkage_all",
-    f"""SELECT version, CASE WHEN m.outcome = version THEN 'target' ELSE m.outcome END AS post_variable, m.feature, {r('mi')} AS mi, {r('p')} AS abs_pearson, {r('0.7 * mi + 0.3 * p')} AS combined, {r('prev')} AS prevalence
+PP_SQL = f"""SELECT version, CASE WHEN m.outcome = version THEN 'target' ELSE m.outcome END AS post_variable, m.feature, {r('mi')} AS mi, {r('p')} AS abs_pearson, {r('0.7 * mi + 0.3 * p')} AS combined, {r('prev')} AS prevalence
 FROM ppa_mi m JOIN ({' UNION ALL '.join(f"SELECT feature, '{o}' AS outcome, {r_sql(o)} AS p, avg({o}) AS prev FROM ppa_long GROUP BY feature" for o in PP_OUT)}) c ON c.feature = m.feature AND c.outcome = m.outcome
 JOIN (VALUES {', '.join(f"('{v}')" for v in PP_VERSIONS)}) AS v(version) ON m.outcome = version OR m.outcome NOT IN ({', '.join(f"'{v}'" for v in PP_VERSIONS)})
-WHERE prev > 0 AND prev < 1""",
-    needs=("ppa_mi",),
-)
-def pre_post_linkage_all(spark, sf):
+WHERE prev > 0 AND prev < 1"""
+
+
+@query("pre_post_linkage", PP_SQL, needs=("ppa_mi",))
+@query("pre_post_linkage_all", PP_SQL, needs=("ppa_mi",))
+def pre_post_linkage(spark, sf):
     pre = fx.preop(spark, sf).where("Edad >= 18").select(col(KEY), *[col(f) for f in PRE_FEATS])
     wide = joins.short_key(target.target_wide(fx.posop(spark, sf), KEY_ALIAS, keep=flags.ALL_FLAGS))
     out = screen.version_linkage(pre.join(wide, KEY), PRE_FEATS, flags.ALL_FLAGS, list(target.TARGETS))

@@ -1,11 +1,26 @@
 """Linkage of all target versions and flags from one cube."""
+from cohortloom import fixtures as fx
+from cohortloom.functions.numeric import col
+from cohortloom.operators import joins, screen
 from cohortloom.plans import flags, target
-from cohortloom.queries import QUERIES
+from cohortloom.queries import QUERIES, screening
+from cohortloom.queries.profiles import rounded
+from cohortloom.sources.tables import KEY
 
 
 def test_all_versions_and_flags_are_linked(spark, sf):
     got = {(r.version, r.post_variable, r.feature): r for r in QUERIES["pre_post_linkage_all"](spark, sf).collect()}
     assert {v for v, _, _ in got} == set(target.TARGETS)
     assert {p for _, p, _ in got} <= {*flags.ALL_FLAGS, "target"} and len({p for _, p, _ in got}) > 4
-    for r in QUERIES["pre_post_linkage"](spark, sf).collect():  # the two versions it has are the same
+    assert {(r.version, r.post_variable, r.feature): r for r in QUERIES["pre_post_linkage"](spark, sf).collect()} == got
+    # one frame a version gives the same rows
+    outcomes = ["flag_liquidos", "flag_estancia", "flag_desenlace", "target"]
+    pre = fx.preop(spark, sf).where("Edad >= 18").select(col(KEY), *[col(f) for f in screening.PRE_FEATS])
+    frames = {
+        v: pre.join(joins.short_key(target.extract_target(fx.posop(spark, sf), v)).select(col(KEY), *outcomes), KEY)
+        for v in ("target_f_predictibilidad_maxima", "target_d_v5")
+    }
+    found = rounded(screen.pre_post_linkage(frames, screening.PRE_FEATS, outcomes), "mi", "abs_pearson", "combined", "prevalence").collect()
+    assert len(found) > 20
+    for r in found:
         assert got[r.version, r.post_variable, r.feature] == r
