@@ -180,3 +180,14 @@ def test_contributions_equal_full_enumeration(spark):
     scored = [r.score for r in model.add_score(rows, "x", "score").orderBy("row").collect()]
     base = np.mean([a["value"][forest.walk(a, background[None])][0] for a in trees])
     assert np.allclose(got.sum(axis=1) + base, scored)
+
+
+def test_middling_tables_grow_in_tasks_without_jobs_for_levels(spark, monkeypatch):
+    assert Settings().bounded(5).bound == 800_000 and Settings().bounded(4000).bound == forest.LEAST_BOUND
+    assert Settings(bound=40).bounded(5).bound == 40
+    n = 60_000
+    rows = spark.range(n).selectExpr("id AS row", "CAST(id % 7 < 3 AS double) AS y", "1.0D AS w", "array(CAST(id % 7 AS double), CAST(id % 11 AS double)) AS x")
+    model = forest.fit(rows, Settings(trees=2, depth=3))
+    assert all(top.feature == [-1] and top.rows == [n] for top in model.tops.values())
+    right = model.add_score(rows, "x", "s").where("(s >= 0.5) = (y = 1)").count()
+    assert right > 0.9 * n
