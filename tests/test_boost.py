@@ -126,3 +126,13 @@ def test_edge_cases(spark, tmp_path):
     model.save(str(tmp_path / "m"))
     again = boost.BoostedModel.load(spark, str(tmp_path / "m"))
     assert again.settings == LEAVES and np.array_equal(margins(again, rows)[-1], margins(model, rows)[-1])
+
+
+def test_middling_tables_grow_in_a_task(spark, monkeypatch):
+    assert Settings(depth=2).rows_in_task(5) == 800_000 and Settings(depth=2).rows_in_task(1000) == boost.LEAST_BOUND
+    assert Settings(depth=2, bound=7).rows_in_task(5) == 7
+    monkeypatch.setattr(boost, "boost_table", lambda *a: pytest.fail("a job for each level"))
+    n = 120_000
+    rows = spark.range(n).selectExpr("id AS row", "CAST(id % 7 < 3 AS double) AS y", "1.0D AS w", "array(CAST(id % 7 AS double)) AS x")
+    model = boost.fit(rows, Settings(rounds=3, depth=2, rate=0.5))
+    assert len(model.trees) == 3
