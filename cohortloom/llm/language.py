@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm import tokens
 from cohortloom.llm.common import batch_of, mix, text_chunks
 
 UNKNOWN = "und"
@@ -302,18 +303,25 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY, id_column:
     return texts.mapInArrow(label, "doc_id long, lang_pred string, score double, spans array<struct<lang:string,start:int,end:int>>")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float, penalty: float = PENALTY, text_column: str = "text") -> DataFrame:
-    """The documents, with all their columns, whose language is known with at least this score. Where no
-    language was learned none can be told apart, and every text with a letter stays."""
+def keep_identified(
+    docs: DataFrame, model: Model, min_score: float, penalty: float = PENALTY, text_column: str = "text", lang_column: str | None = None
+) -> DataFrame:
+    """The documents, with all their columns, whose language is known with at least this score; lang_column,
+    a string, then holds that language. Where no language was learned none can be told apart, and every text
+    with a letter stays as it is."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_column)
+    to = docs.columns.index(lang_column) if lang_column else None
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.release()
         for batch in batches:
             for part in text_chunks(batch, CHUNK, text_column):
                 texts = part.column(at).to_pylist()
                 if shared.value.languages:
                     names, values, _ = label_texts(texts, shared.value, penalty)
                     kept = [n != UNKNOWN and v >= min_score for n, v in zip(names, values)]
+                    if to is not None:
+                        part = part.set_column(to, part.schema.field(to), pa.array(names, part.schema.field(to).type))
                 else:
                     lettered = set(LetterRuns(texts).text_of.tolist())
                     kept = [i in lettered for i in range(len(texts))]

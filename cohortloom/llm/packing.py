@@ -8,7 +8,8 @@ budget so that the groups have nearly the same attention cost. Only the last win
 GROUP_TOKENS ids can stay open; it is padded to the longest tier.
 
 Each task packs the documents of its own partition in groups of bounded size, so nothing is
-shuffled and no partition is held in memory.
+shuffled and no partition is held in memory. With `apart`, a group has the documents of one value of
+a column (a language, say), so no window mixes two.
 
 Edge cases: a null or empty text has the end id alone; null, repeated or clashing ids and extra
 columns play no part; an empty table has no pieces.
@@ -107,10 +108,14 @@ def step_groups(windows: list[tuple[int, list]], step_tokens: int) -> list[int]:
 
 def packed(batches: Iterator[pa.RecordBatch], schema: pa.Schema, path: str, end_id: int, keeps_spaces: bool, tiers, group_tokens: int, step_tokens: int) -> Iterator[pa.RecordBatch]:
     encode, task = encoder(path, keeps_spaces), TaskContext.get().partitionId()
-    ids, docs, held, window_base, step_base = [], [], 0, task << 40, task << 40
-
-    def flush() -> pa.RecordBatch:
-        nonlocal window_base, step_base
+    held, window_base, step_base = 0, task << 40, task << 40
+    # documents that wait, by the value that is kept apart: [ids held, doc ids, ids of each]
+    waiting: dict[str | None, list] = {}
+
+    def flush(of: str | None) -> pa.RecordBatch:
+        nonlocal held, window_base, step_base
+        n, docs, ids = waiting.pop(of)
+        held -= n
         windows = pack_lengths([len(x) for x in ids], tiers)
         steps, rows = step_groups(windows, step_tokens), []
         for w, (t, pieces) in enumerate(windows):
@@ -123,15 +128,17 @@ def packed(batches: Iterator[pa.RecordBatch], schema: pa.Schema, path: str, end_
 
     for batch in batches:
         for part in text_chunks(batch):
-            for doc, x in zip(part.column(0).to_pylist(), encode.encode(part.column(1).to_pylist())):
-                docs.append(doc)
-                ids.append(np.append(x, np.uint32(end_id)).astype("<u4"))
+            values = part.column(2).to_pylist() if part.num_columns > 2 else [None] * part.num_rows
+            for doc, of, x in zip(part.column(0).to_pylist(), values, encode.encode(part.column(1).to_pylist())):
+                own = waiting.setdefault(of, [0, [], []])
+                own[0] += len(x) + 1
+                own[1].append(doc)
+                own[2].append(np.append(x, np.uint32(end_id)).astype("<u4"))
                 held += len(x) + 1
                 if held >= group_tokens:
-                    yield flush()
-                    ids, docs, held = [], [], 0
-    if ids:
-        yield flush()
+                    yield flush(max(waiting, key=lambda v: waiting[v][0]))
+    for of in list(waiting):
+        yield flush(of)
 
 
 def pack_documents(
@@ -144,12 +151,14 @@ def pack_documents(
     tiers: tuple[int, ...] = TIERS,
     group_tokens: int = GROUP_TOKENS,
     step_tokens: int = STEP_TOKENS,
+    apart: str | None = None,
 ) -> DataFrame:
     """Pieces of all documents with their ids (little-endian unsigned 32-bit) and places.
 
     tiers: context sizes, powers of two, falling. A window is as long as its tier and full, or it
-    is padded to the longest.
+    is padded to the longest. apart: a column whose values share no window.
     """
-    texts = docs.selectExpr(f"cast(`{id_column}` AS long) AS doc_id", f"`{text_column}` AS text")
+    more = [f"cast(`{apart}` AS string) AS apart"] if apart else []
+    texts = docs.selectExpr(f"cast(`{id_column}` AS long) AS doc_id", f"`{text_column}` AS text", *more)
     schema = pa.schema([(n, t) for n, t in zip(("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step_group"), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))])
     return texts.mapInArrow(lambda it: packed(it, schema, tokenizer, end_id, keeps_spaces, tiers, group_tokens, step_tokens), SCHEMA)

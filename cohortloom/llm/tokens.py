@@ -174,3 +174,8 @@ def encoder(path: str, keeps_spaces: bool) -> Encoder:
     if (path, keeps_spaces) not in _loaded:
         _loaded[path, keeps_spaces] = Encoder(path, keeps_spaces)
     return _loaded[path, keeps_spaces]
+
+
+def release() -> None:
+    """Drop what a reused worker remembers of encoders: other work needs the memory."""
+    _loaded.clear()

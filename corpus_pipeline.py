@@ -19,10 +19,11 @@ MIN_LANGUAGE_SCORE = 0.0
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, which have no language, go; however many languages a text mixes, it
-    stays, and so does every lettered text of a corpus without labels."""
+    stays, and so does every lettered text of a corpus without labels. `lang` then holds the identified
+    language, also of documents that had none or another; the packing keeps these languages apart."""
     ship(spark)
     model = language.fit_language_model(docs.where(remainder("doc_id", 4) != 2), key=F.col("doc_id"))
-    return language.keep_identified(docs, model, MIN_LANGUAGE_SCORE)
+    return language.keep_identified(docs, model, MIN_LANGUAGE_SCORE, lang_column="lang")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +44,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts as ids in windows of several context sizes."""
+    """The texts as ids in windows of several context sizes, each of one identified language."""
     ship(spark)
-    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), end_id=1)
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), end_id=1, apart="lang")
 
 
 STAGES = [

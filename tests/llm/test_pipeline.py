@@ -76,3 +76,22 @@ def test_mixed_and_unlabelled_documents_stay(spark, sf):
 def test_registered():
     names = list(corpus_pipeline.REGISTERED)
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_language_decides_what_shares_a_window(spark, tmp_path):
+    parts = {"l0": "abcde", "l1": "fghij", "l2": "klmno"}
+    # wrong and missing labels on some rows that the model does not learn from
+    rows = [row(i, prose(i, 80, parts[f"l{i % 3}"]), f"l{i % 3}") for i in range(120)]
+    truth = {r[0]: r[2] for r in rows}
+    unseen = spark.createDataFrame([(r[0],) for r in rows], "doc_id long").where(remainder("doc_id", 4) == 2).collect()
+    odd = {r.doc_id for r in unseen}
+    assert len(odd) > 10
+    rows = [row(r[0], r[1], (None if r[0] % 2 else "l0") if r[0] in odd else r[2]) for r in rows]
+    frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, prose(7777, 30, "xyz"))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage = corpus_pipeline.language_id(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {r.doc_id: r.lang for r in stage.collect()} == truth
+    windows = defaultdict(set)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        windows[r.sequence_id].add(truth[r.doc_id])
+    assert {len(v) for v in windows.values()} == {1} and set().union(*windows.values()) == set(parts)
