@@ -48,3 +48,31 @@ def test_tuning_without_a_space_takes_each_models_own(spark, sf):
     got = {r.model: r for r in learn.tuning_experiments({"v": df}, specs, [1.0], n=2, folds=2).collect()}
     assert got["decision_tree"].params == "[]" and got["logistic_regression"].params.startswith("[('C', ")
     assert all(0 <= r.f2 <= 1 for r in got.values())
+
+
+def test_a_network_on_many_rows_uses_all_cores(spark, monkeypatch):
+    from cohortloom.operators import forest, learn
+
+    seen, deal = [], forest.spread
+    monkeypatch.setattr(forest, "spread", lambda df: seen.append(deal(df)) or seen[-1])
+    rows = spark.range(400).selectExpr("id AS row_key", "id % 2 AS y_true", "id % 5 AS a").coalesce(1)
+    network = learn.Spec("mlp", ("a",), params={"maxIter": 1, "hidden": [2]})
+    learn.fit_model(rows, network)
+    assert not seen
+    monkeypatch.setattr(learn, "SPREAD_ROWS", 100)
+    learn.fit_model(rows, network)
+    assert seen[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_folds_are_fitted_side_by_side(spark, monkeypatch):
+    import threading
+
+    from cohortloom.operators import learn
+
+    rows = spark.range(200).selectExpr("id AS row_key", "id % 2 AS y_true", "id % 5 AS a")
+    spec = learn.Spec("logistic_regression", ("a",))
+    # passes only if all folds are under way together
+    gate, fit = threading.Barrier(4), learn.fit_model
+    monkeypatch.setattr(learn, "fit_model", lambda df, s: (gate.wait(20), fit(df, s))[1])
+    scorers = learn.fit_folds(learn.folded_rows(rows, spec, 4), [spec], 4)[0]
+    assert len(scorers) == 4 and all(s.spec == spec for s in scorers)
