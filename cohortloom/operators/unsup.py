@@ -21,6 +21,7 @@ from cohortloom.operators import rank, sample, screen
 from cohortloom.operators.joins import outer_scores
 from cohortloom.operators.learn import Spec, fit_model
 from cohortloom.operators.ordered import quantile_scalar
+from cohortloom.session import cut_lineage
 
 
 # ---- importance ---------------------------------------------------------------------------
@@ -100,7 +101,8 @@ def kmeans_profile(
     k: int = 5, seeds: Sequence[int] = range(20),
 ) -> DataFrame:
     """(cluster, size, target_prevalence, flag means, preop means) of the best of several k-means runs."""
-    rows = column_vectors(df, flags)
+    # read by every run: the flags are worked out once
+    rows = cut_lineage(column_vectors(df.select(*[col(c) for c in dict.fromkeys([key, target, *flags])]), flags))
     models = [KMeans(k=k, seed=s, maxIter=50).fit(rows) for s in seeds]
     best = min(models, key=lambda m: m.summary.trainingCost)
     labelled = best.transform(rows).withColumnRenamed("prediction", "cluster")
