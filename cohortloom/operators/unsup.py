@@ -224,6 +224,10 @@ def isolation_forest(
 
 # ---- local outlier factor ---------------------------------------------------------------------
 BLOCK_ROWS = 2048
+#: Distances to blocks that a task holds at once.
+CELLS = 4_000_000
+#: Queries for blocks that leave a task at once.
+ASKED = 10_000
 
 
 def _nearest(x: np.ndarray, y: np.ndarray, ids_x, ids_y, weights, k: int):
@@ -248,7 +252,8 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
     to the cell of their closest pivot, and cells are cut into blocks of about BLOCK_ROWS
     points. The own block bounds a point's k-th distance; only blocks whose ball reaches
     into that bound are searched, in chunks of about BLOCK_ROWS queries. No pair table is
-    made: a chunk returns its nearest points only.
+    made: a chunk returns its nearest points only. A task gets its blocks one by one, as groups,
+    so its memory depends neither on the number of points nor on the size of Arrow's batches.
     """
     points = (
         df.select(col(key).alias("id"), vector_to_array("features").alias("v"))
@@ -274,21 +279,20 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
         F.collect_list(F.struct("id", "v", "w")).alias("pts"), F.max("r").alias("radius")
     )
 
-    def own(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for pts in frame["pts"]:
-                ids, w = np.array([p["id"] for p in pts]), np.array([p["w"] for p in pts])
-                x = np.stack([p["v"] for p in pts])
-                reach = {int(i): (int(n) - 1, math.inf if n <= k else 0.0) for i, n in zip(ids, w)}
-                for q, _o, d, n in _nearest(x, x, ids, ids, w, k):
-                    got, bound = reach[q]
-                    if got < k:
-                        reach[q] = (got + n, d if got + n >= k else math.inf)
-                out += [(i, b) for i, (_g, b) in reach.items()]
-            yield pd.DataFrame(out, columns=["id", "bound"])
-
-    bounds = packed.select("pts").mapInPandas(own, "id long, bound double")
+    def own(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for pts in frame["pts"]:
+            ids, w = np.array([p["id"] for p in pts]), np.array([p["w"] for p in pts])
+            x = np.stack([p["v"] for p in pts])
+            reach = {int(i): (int(n) - 1, math.inf if n <= k else 0.0) for i, n in zip(ids, w)}
+            for q, _o, d, n in _nearest(x, x, ids, ids, w, k):
+                got, bound = reach[q]
+                if got < k:
+                    reach[q] = (got + n, d if got + n >= k else math.inf)
+            out += [(i, b) for i, (_g, b) in reach.items()]
+        return pd.DataFrame(out, columns=["id", "bound"])
+
+    bounds = packed.select("block", "cell", "pts").groupBy("block", "cell").applyInPandas(own, "id long, bound double")
     # one row per block: cell and radius, a table of n / BLOCK_ROWS rows
     balls = packed.select("block", "cell", "radius").toPandas()
     ball_cell, ball_radius, ball_name = balls["cell"].to_numpy(), balls["radius"].to_numpy(), balls["block"].to_numpy()
@@ -297,11 +301,16 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
         for frame in frames:
             if frame.empty:
                 continue
-            x = np.stack(frame["v"].to_numpy())
-            d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T, 0))
-            hit = d[:, ball_cell] - ball_radius[None, :] <= frame["bound"].to_numpy()[:, None] + 1e-9
-            rows, blocks = np.nonzero(hit)
-            yield pd.DataFrame({"id": frame["id"].to_numpy()[rows], "v": frame["v"].to_numpy()[rows], "block": ball_name[blocks]})
+            step = max(1, CELLS // max(len(ball_cell), 1))
+            for part in (frame.iloc[i : i + step] for i in range(0, len(frame), step)):
+                x = np.stack(part["v"].to_numpy())
+                d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T, 0))
+                hit = d[:, ball_cell] - ball_radius[None, :] <= part["bound"].to_numpy()[:, None] + 1e-9
+                rows, blocks = np.nonzero(hit)
+                ids, vectors = part["id"].to_numpy(), part["v"].to_numpy()
+                for i in range(0, len(rows), ASKED):
+                    at, to = rows[i : i + ASKED], blocks[i : i + ASKED]
+                    yield pd.DataFrame({"id": ids[at], "v": vectors[at], "block": ball_name[to]})
 
     asked = blocked.join(bounds, "id").select("id", "v", "bound").mapInPandas(targets, "id long, v array<double>, block string")
     chunks = asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("parts"))
@@ -309,16 +318,15 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
         F.collect_list(F.struct("id", "v")).alias("qs")
     )
 
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for qs, pts in zip(frame["qs"], frame["pts"]):
-                x, y = np.stack([p["v"] for p in qs]), np.stack([p["v"] for p in pts])
-                ids_x, ids_y = np.array([p["id"] for p in qs]), np.array([p["id"] for p in pts])
-                out += _nearest(x, y, ids_x, ids_y, np.array([p["w"] for p in pts]), k)
-            yield pd.DataFrame(out, columns=["q", "o", "dist", "w"])
-
-    found = queries.join(packed.select("block", "pts"), "block").select("qs", "pts").mapInPandas(
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for qs, pts in zip(frame["qs"], frame["pts"]):
+            x, y = np.stack([p["v"] for p in qs]), np.stack([p["v"] for p in pts])
+            ids_x, ids_y = np.array([p["id"] for p in qs]), np.array([p["id"] for p in pts])
+            out += _nearest(x, y, ids_x, ids_y, np.array([p["w"] for p in pts]), k)
+        return pd.DataFrame(out, columns=["q", "o", "dist", "w"])
+
+    found = queries.join(packed.select("block", "pts"), "block").groupBy("block", "chunk").applyInPandas(
         search, "q long, o long, dist double, w long"
     )
     # the copies of a point are its own neighbours at distance 0

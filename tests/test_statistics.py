@@ -200,3 +200,32 @@ def test_isolation_forest_finds_the_far_row(spark):
     out = unsup.isolation_forest(df, "id", trees=20, contamination=0.05).collect()
     assert max(out, key=lambda r: r["score"])["id"] == 7
     assert sum(r["es_anomalia"] for r in out) == 15
+
+
+def test_flags_are_worked_out_once_for_all_runs_of_kmeans(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def flag(i):
+        made.add(1)
+        return i % 2
+
+    rows = spark.range(60).select(F.col("id").alias("k"), F.udf(flag, "int")("id").alias("a"), F.expr("int(id % 3 = 0)").alias("b"), F.expr("int(id % 5 = 0)").alias("y"))
+    pre = spark.range(60).selectExpr("id AS k", "double(id) AS age")
+    out = unsup.kmeans_profile(rows, ["a", "b"], "y", pre, "k", ["age"], k=2, seeds=range(6)).collect()
+    assert sum(r["size"] for r in out) == 60 and made.value <= 120
+
+
+def test_blocks_of_neighbours_reach_a_task_one_by_one(spark, monkeypatch):
+    for name in ("BLOCK_ROWS", "CELLS", "ASKED"):
+        monkeypatch.setattr(unsup, name, 16)
+    x = np.random.default_rng(3).normal(size=(120, 3))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(120)], "id long, e array<double>")
+    near = unsup.nearest_neighbours(unsup.embedding_vectors(df, "e"), "id", 4, cells=4)
+    plan = near._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" in plan
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    got = {}
+    for r in near.collect():
+        got.setdefault(r.q, []).append(r.dist)
+    assert all(np.allclose(sorted(got[i]), np.sort(d[i])[:4]) for i in range(120))
