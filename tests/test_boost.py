@@ -136,3 +136,21 @@ def test_middling_tables_grow_in_a_task(spark, monkeypatch):
     rows = spark.range(n).selectExpr("id AS row", "CAST(id % 7 < 3 AS double) AS y", "1.0D AS w", "array(CAST(id % 7 AS double)) AS x")
     model = boost.fit(rows, Settings(rounds=3, depth=2, rate=0.5))
     assert len(model.trees) == 3
+
+
+def test_the_larger_side_is_not_counted(monkeypatch):
+    """What is left of the node above is taken, so below the root at most half of the rows are counted."""
+    r = np.random.default_rng(5)
+    n, seen, histogram = 4000, [], boost.histogram
+    codes = r.integers(0, 30, (n, 3)).astype(np.uint8)
+    y = ((codes[:, 0] > 12) ^ (r.random(n) < 0.3)).astype(float)
+    cuts = [np.arange(29) + 0.5] * 3
+    monkeypatch.setattr(boost, "histogram", lambda c, f, place, *rest: seen.append(len(place)) or histogram(c, f, place, *rest))
+    for s in (boost.Settings(rounds=3, depth=4), boost.Settings(rounds=3, leaves=9, row_share=0.7)):
+        seen.clear()
+        trees = list(boost.boost_rows(s, cuts, np.arange(n), y, np.ones(n), codes, 0.0))
+        roots = [k for k in seen if k > n / 2]
+        assert len(roots) == 3 and len(seen) > 6 and all(2 * k <= max(roots) for k in seen if k <= n / 2)
+        # the margins of the last round are those of the trees, for drawn and other rows
+        margin = sum(t["value"][boost.walk(t, codes.astype(float))] for t in trees)
+        assert np.abs(margin).max() > 0 and ((margin > 0) == (y == 1)).mean() > 0.6

@@ -191,3 +191,45 @@ def test_middling_tables_grow_in_tasks_without_jobs_for_levels(spark, monkeypatc
     assert all(top.feature == [-1] and top.rows == [n] for top in model.tops.values())
     right = model.add_score(rows, "x", "s").where("(s >= 0.5) = (y = 1)").count()
     assert right > 0.9 * n
+
+
+def test_rows_are_dealt_in_pieces_and_their_order_does_not_matter(spark):
+    rows, plain = table(spark, 400, 11, levels=7, partitions=2)
+    s = Settings(trees=5, bound=1000)
+    tops = {t: forest.Top(rows=[400]) for t in range(5)}
+    pieces = rows.withColumn("model", F.lit(0)).mapInArrow(lambda it: forest.deal(it, s, tops), forest.DEALT).collect()
+    assert len(pieces) == 2 * 5  # a piece for each partition and tree, not a row for each row
+    used = sum((forest.bootstrap_counts(np.array([r for r, *_ in plain], np.int64), t, s.seed) > 0).sum() for t in range(5))
+    assert sum(len(p.rows) for p in pieces) == used * 6 * 8
+    x, y = np.array([v for *_, v in plain]), np.array([y for _, y, _, _ in plain])
+    x = np.column_stack((x, np.random.default_rng(1).normal(size=400)))
+    mixed = np.random.default_rng(2).permutation(400)
+    for random_splits in (False, True):
+        s = Settings(random_splits=random_splits)
+        assert forest.grow(s, 0, ROOT, 0, x, 0.7 * y, 1 - y) == forest.grow(s, 0, ROOT, 0, x[mixed], 0.7 * y[mixed], 1 - y[mixed])
+
+
+def test_cuts_are_the_same_from_sums_and_from_sorted_rows():
+    r = np.random.default_rng(3)
+    g, codes = np.sort(r.integers(0, 6, 900)), r.integers(0, 40, 900)
+    pos = r.integers(0, 3, 900).astype(float)
+    neg, values = 1.5 * (pos == 0), np.sort(r.normal(size=40))
+    sums = np.stack([np.bincount(g, w, 6) for w in (None, pos, neg)], axis=1)
+    dense = forest._best_cuts(g, codes, pos, neg, sums, 3, values)
+    sparse = forest._best_cuts(g, codes * 1000, pos, neg, sums, 3, np.repeat(values, 1000))
+    huge = forest._best_cuts(g, codes << 55, pos, neg, sums, 3, _Spread(values))
+    for found in (sparse, huge):
+        assert (found[0] == dense[0]).all() and np.allclose(found[1], dense[1]) and np.allclose(found[2], dense[2])
+
+
+class _Spread:
+    """Values of codes too great to be packed into one number with node and place."""
+
+    def __init__(self, values):
+        self.values = values
+
+    def __len__(self):
+        return len(self.values) << 55
+
+    def __getitem__(self, codes):
+        return self.values[codes >> 55]
