@@ -91,8 +91,11 @@ def bin_edges(long: DataFrame, bins: int = MAX_BINS) -> DataFrame:
 
 
 def contingency(long: DataFrame, outcomes: Sequence[str], bins: int = MAX_BINS) -> DataFrame:
-    """(feature, bin, outcome, n, pos): rows and positives per bin, all outcomes in one pass."""
-    binned = long.where("value IS NOT NULL").join(bin_edges(long, bins), "feature").withColumn(
+    """(feature, bin, outcome, n, pos): rows and positives per bin, all outcomes in one pass.
+
+    The edges, one row a feature, go to every task: a join by feature would put all rows of a feature into one.
+    """
+    binned = long.where("value IS NOT NULL").join(F.broadcast(bin_edges(long, bins)), "feature").withColumn(
         "bin", F.size(F.filter("edges", lambda e: e < F.col("value")))
     )
     sums = binned.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"), *[F.sum(o).alias(o) for o in outcomes])

@@ -24,3 +24,19 @@ def test_all_versions_and_flags_are_linked(spark, sf):
     assert len(found) > 20
     for r in found:
         assert got[r.version, r.post_variable, r.feature] == r
+
+
+def test_rows_of_a_feature_are_not_brought_together(spark):
+    """The edges go to the rows, however large Spark takes them to be."""
+    long = spark.range(200).selectExpr("'f' || id % 2 AS feature", "CAST(id % 50 AS DOUBLE) AS value", "CAST(id % 3 = 0 AS BIGINT) AS y")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = screen.contingency(long, ["y"], 4)
+        plan = table._jdf.queryExecution().sparkPlan().toString()
+        got = sorted(tuple(r) for r in table.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [feature" in plan
+    assert sum(n for _, _, n, _, _ in got) == 200 and sum(p for *_, p in got) == 67
+    assert got == sorted(tuple(r) for r in screen.contingency(long, ["y"], 4).collect())
