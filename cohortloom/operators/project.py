@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.hashing import uniform
-from cohortloom.functions.numeric import between_or_null, clip, col, to_number
+from cohortloom.functions.numeric import between_or_null, clip, col, number_in, to_number
 from cohortloom.operators.ordered import exact_quantiles, unpivot_numeric
 
 # Columns whose names were read with the wrong encoding.
@@ -53,7 +53,8 @@ def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 def filter_min_age(df: DataFrame, age: str = "Edad", minimum: float = 18, keep_null: bool = True) -> DataFrame:
     """Rows under the age go; unknown ages stay unless keep_null is False."""
     old_enough = col(age) >= minimum
-    return df.where(old_enough | col(age).isNull() if keep_null else old_enough)
+    # the age is named once: Spark puts its whole expression wherever a filter names it
+    return df.where(F.coalesce(old_enough, F.lit(True)) if keep_null else old_enough)
 
 
 def outlier_nullify(df: DataFrame, rules: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
@@ -63,7 +64,7 @@ def outlier_nullify(df: DataFrame, rules: Mapping[str, tuple[float | None, float
 
 def numeric_coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = set(df.columns)
-    return df.withColumns({c: to_number(c) for c in columns if c in present})
+    return df.withColumns({c: number_in(df, c) for c in columns if c in present})
 
 
 def impute_constant(df: DataFrame, columns: Sequence[str], value) -> DataFrame:
@@ -77,7 +78,10 @@ def range_clip(df: DataFrame, ranges: Mapping[str, tuple[float, float]]) -> Data
 
 def range_random(c: Column | str, low: float, high: float, key: Column | str, name: str, noise: float, seed: int) -> Column:
     """Out-of-range values become a hashed uniform inside the range, with relative noise."""
-    v = to_number(c)
+    return _in_range(to_number(c), low, high, key, name, noise, seed)
+
+
+def _in_range(v: Column, low: float, high: float, key: Column | str, name: str, noise: float, seed: int) -> Column:
     base = F.lit(low) + F.lit(high - low) * uniform(key, f"{name}|base", seed)
     jitter = F.lit(1.0) + (uniform(key, f"{name}|noise", seed) * 2.0 - 1.0) * F.lit(noise)
     drawn = F.least(F.greatest(base * jitter, F.lit(low)), F.lit(high))
@@ -90,7 +94,7 @@ def range_random_impute(
 ) -> DataFrame:
     present = set(df.columns)
     return df.withColumns(
-        {c: range_random(c, lo, hi, col(key), c, noise, seed) for c, (lo, hi) in ranges.items() if c in present}
+        {c: _in_range(number_in(df, c), lo, hi, col(key), c, noise, seed) for c, (lo, hi) in ranges.items() if c in present}
     )
 
 
@@ -113,7 +117,7 @@ def band_impute_body(
     outside every band pass unchanged. The band table has four fixed rows, so the range
     match is a projection instead of a join.
     """
-    a, w, h, b = (to_number(c) for c in (age, weight, height, bmi))
+    a, w, h, b = (number_in(df, c) for c in (age, weight, height, bmi))
     computed = F.when(h > 0, w / (h / 100.0) / (h / 100.0))
     in_band = _band_value(a, lambda *_: 1).isNotNull()
 
