@@ -233,3 +233,32 @@ class _Spread:
 
     def __getitem__(self, codes):
         return self.values[codes >> 55]
+
+
+@pytest.mark.parametrize("random_splits,bootstrap", [(True, False), (False, True)])
+def test_whole_trees_grow_from_a_table_that_a_task_holds(spark, monkeypatch, random_splits, bootstrap):
+    rows, plain = table(spark, 150, 21, levels=8)
+    monkeypatch.setattr(forest, "deal", lambda *a: pytest.fail("rows dealt tree by tree"))
+    monkeypatch.setattr(forest, "PIECE_ROWS", 20)
+    s = Settings(trees=5, bootstrap=bootstrap, random_splits=random_splits, seed=6)
+    # a key twice with other values, and rows without weight
+    odd = spark.createDataFrame([(13, 0.0, 0.5, [3.0, 1.0, 2.0, 1.0]), (999, 1.0, 0.0, [1.0, 1.0, 1.0, 9.0])], rows.schema)
+    plain = [*plain, (13, 0.0, 0.5, [3.0, 1.0, 2.0, 1.0])]
+    trees = {t: a for block in forest.fit(rows.unionByName(odd), s).blocks() for t, a in block.items()}
+    for t in range(5):
+        assert close(nested(trees[t], s, t, plain), plain_tree(s, t, plain))
+
+
+def test_nodes_of_few_rows_grow_apart_and_trees_are_kept_whole(monkeypatch):
+    r = np.random.default_rng(8)
+    x, y = r.integers(0, 50, (3000, 3)).astype(float), (r.random(3000) < 0.4).astype(float)
+    for s in (Settings(), Settings(random_splits=True), Settings(depth=4, min_leaf=30)):
+        monkeypatch.setattr(forest, "CACHED_ROWS", 1 << 19)
+        whole = {k: np.array(v) for k, v in forest.grow(s, 1, ROOT, 0, x, 0.7 * y, 1 - y).items()}
+        monkeypatch.setattr(forest, "CACHED_ROWS", 100)
+        apart = {k: np.array(v) for k, v in forest.grow(s, 1, ROOT, 0, x, 0.7 * y, 1 - y).items()}
+        assert np.allclose(whole["value"][forest.walk(whole, x)], apart["value"][forest.walk(apart, x)])
+        again = forest.unpacked(forest.packed(apart, 3), len(apart["feature"]), 3)
+        inner = apart["feature"] >= 0
+        assert all((again[k] == apart[k]).all() for k in ("feature", "left", "right", "value"))
+        assert (again["threshold"][inner] == apart["threshold"][inner]).all()
