@@ -262,3 +262,24 @@ def test_nodes_of_few_rows_grow_apart_and_trees_are_kept_whole(monkeypatch):
         inner = apart["feature"] >= 0
         assert all((again[k] == apart[k]).all() for k in ("feature", "left", "right", "value"))
         assert (again["threshold"][inner] == apart["threshold"][inner]).all()
+
+
+def test_a_large_forest_is_applied_without_the_driver(spark, monkeypatch):
+    rows, _ = table(spark, 230, 12)
+    rows = rows.withColumns({"at": F.expr("timestamp'2024-03-01 08:00:00' + make_interval(0, 0, 0, CAST(row % 9 AS int))"), "s": F.struct("y", "w"), "none": F.lit(None).cast("string"), "a`b": F.lit(1)})
+    background = [0.1, 0.2, 0.3, 1.0]
+    for bound, part in ((0, lambda m: m), (60, lambda m: m.limited(4, 3))):
+        model = part(forest.fit(rows, Settings(trees=6, bound=bound, bins=300)))
+        monkeypatch.setattr(forest, "MODEL_BYTES", 64 << 20)
+        want = model.add_score(model.add_contributions(rows, "x", background, "c"), "x", "score").orderBy("row").collect()
+        for name, size in (("MODEL_BYTES", 500), ("BLOCK_BYTES", 3000), ("PAGED_BYTES", 2000)):
+            monkeypatch.setattr(forest, name, size)
+        with monkeypatch.context() as m:
+            m.setattr(forest.ForestModel, "_whole", lambda *a: pytest.fail("trees in the driver"))
+            done = model.add_score(model.add_contributions(rows, "x", background, "c"), "x", "score")
+            again = model.add_score(done, "x", "score")
+            assert model.add_score(rows.limit(0), "x", "score").count() == 0
+        assert done.columns == [*rows.columns, "c", "score"] and done.dtypes[:-2] == rows.dtypes
+        for got in (done, again):
+            for a, b in zip(got.orderBy("row").collect(), want, strict=True):
+                assert a[:-2] == b[:-2] and np.allclose(a.c, b.c) and np.isclose(a.score, b.score)
