@@ -154,3 +154,29 @@ def test_the_larger_side_is_not_counted(monkeypatch):
         # the margins of the last round are those of the trees, for drawn and other rows
         margin = sum(t["value"][boost.walk(t, codes.astype(float))] for t in trees)
         assert np.abs(margin).max() > 0 and ((margin > 0) == (y == 1)).mean() > 0.6
+
+
+def test_large_tables_grow_in_a_task_and_rows_keep_their_leaves(spark, monkeypatch):
+    assert boost.held_rows(5) > 5_000_000  # 4,800,000 rows took a Spark job for each level of each tree
+    monkeypatch.setattr(boost, "boost_table", lambda *a: pytest.fail("a job for each level"))
+    monkeypatch.setattr(boost, "CELLS", 10)
+    monkeypatch.setattr(boost, "LEAST_BOUND", 10)
+    df, rows = table(spark, 300, 17)
+    model = boost.fit(df, DRAWN)
+    used = np.array([m[-1] for m in zip(*margins(model, rows))])
+    assert len(model.trees) == DRAWN.rounds and ((used > 0) == [r[1] for r in rows]).mean() > 0.7
+    # rows pass from node to node without walking from the root
+    monkeypatch.setattr(boost, "walk", lambda *a: pytest.fail("walked"))
+    codes = np.array([r[3] for r in rows]).astype(np.uint8)
+    y = np.array([r[1] for r in rows])
+    again = list(boost.boost_rows(DRAWN, [np.arange(19) + 0.5] * 4, np.array([r[0] for r in rows]), y, np.ones(300), codes, 0.0))
+    assert len(again) == DRAWN.rounds
+
+
+def test_codes_are_read_from_the_buffers():
+    import pyarrow as pa
+
+    rows = [b"\x01\x02", b"\x03\x04", b"\x05\x06"]
+    whole = pa.chunked_array([pa.array(rows).slice(1), pa.array(rows, pa.large_binary()).cast(pa.binary())])
+    assert boost.unpack(whole, 5).tolist() == [[3, 4], [5, 6], [1, 2], [3, 4], [5, 6]]
+    assert boost.unpack(pa.array([b"", b""]), 2).shape == (2, 0) and boost.unpack(pa.array([], pa.binary()), 0).shape == (0, 0)
