@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -226,8 +227,11 @@ def isolation_forest(
 BLOCK_ROWS = 2048
 #: Distances to blocks that a task holds at once.
 CELLS = 4_000_000
-#: Queries for blocks that leave a task at once.
+#: Queries for groups of blocks that leave a task at once.
 ASKED = 10_000
+#: Bytes of vectors in a group of blocks, and of the queries that a task holds them against.
+GROUP_BYTES = 128 << 20
+QUERY_BYTES = 64 << 20
 
 
 def _nearest(x: np.ndarray, y: np.ndarray, ids_x, ids_y, weights, k: int):
@@ -245,15 +249,78 @@ def _nearest(x: np.ndarray, y: np.ndarray, ids_x, ids_y, weights, k: int):
             yield int(ids_x[i]), int(ids_y[j]), float(d[i, j]), int(weights[j])
 
 
+def _reached(x: np.ndarray, pivots: np.ndarray, bound: np.ndarray, cell: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Rows x blocks: whether the ball of a block reaches into the bound of a row."""
+    d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T, 0))
+    return d[:, cell] - radius[None, :] <= bound[:, None] + 1e-9
+
+
+def _closest(found: list[tuple[np.ndarray, ...]], bound: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The k closest (row, id, distance, weight) of each row, ties by id; bound falls to the k-th distance."""
+    q, o, d, w = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((o, d, q))
+    q, o, d, w = q[order], o[order], d[order], w[order]
+    size = np.bincount(q, minlength=len(bound))
+    rank = np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size)
+    last = np.flatnonzero(rank == k - 1)
+    bound[q[last]] = np.minimum(bound[q[last]], d[last])
+    return tuple(c[rank < k] for c in (q, o, d, w))
+
+
+def _searcher(pivots: np.ndarray, ball_cell: np.ndarray, ball_radius: np.ndarray, k: int):
+    """The function that Spark applies to a group of blocks and a share of the queries."""
+
+    def search(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, bound, w, number = (part[c].to_numpy() for c in ("id", "bound", "w", "number"))
+        x = part["v"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        order, asked = np.lexsort((ids, number)), np.flatnonzero(number < 0)
+        order = order[len(asked) :]
+        begin = np.flatnonzero(np.append(True, np.diff(number[order]) > 0)) if len(order) else order
+        blocks = [(int(number[rows[0]]), ids[rows], x[rows], w[rows]) for rows in np.split(order, begin[1:]) if len(rows)]
+        blocks = [(b, o, y, (y * y).sum(1), n) for b, o, y, n in blocks]
+        numbers = np.array([b for b, *_ in blocks], np.int64)
+        for at in range(0, len(asked), BLOCK_ROWS):
+            rows = asked[at : at + BLOCK_ROWS]
+            q, z, limit = ids[rows], x[rows], bound[rows].copy()
+            square, hit = (z * z).sum(1), _reached(z, pivots, limit, ball_cell[numbers], ball_radius[numbers])
+            found, held = [], 0
+            for (_, o, y, length, n), mine in zip(blocks, hit.T):
+                own = np.flatnonzero(mine)
+                d2 = square[own][:, None] + length[None, :] - 2.0 * z[own] @ y.T
+                # a little more than the bound, so that rounding loses no neighbour
+                i, j = np.nonzero(d2 <= (limit[own] * limit[own] * (1 + 1e-9) + 1e-9)[:, None])
+                other = q[own[i]] != o[j]
+                i, j = i[other], j[other]
+                found.append((own[i], o[j], np.sqrt(np.maximum(d2[i, j], 0.0)), n[j]))
+                held += len(i)
+                if held > 4 * k * len(rows):
+                    found = [_closest(found, limit, k)]
+                    held = len(found[0][0])
+            if found:
+                i, *rest = _closest(found, limit, k)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (q[i], *rest)], names=["q", "o", "dist", "w"])
+
+    def search_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            part = batch.column(0).to_numpy()
+            for p in np.unique(part):
+                held.setdefault(int(p), []).append(batch if (part == p).all() else batch.filter(pa.array(part == p)))
+        for p in sorted(held):
+            yield from search(pa.Table.from_batches(held.pop(p)))
+
+    return search_all
+
+
 def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: int = 42) -> DataFrame:
     """Exact (q, o, dist, w): the nearest distinct vectors of each distinct vector.
 
     Equal vectors are one point with weight w, so a group of copies costs one row. Points go
     to the cell of their closest pivot, and cells are cut into blocks of about BLOCK_ROWS
     points. The own block bounds a point's k-th distance; only blocks whose ball reaches
-    into that bound are searched, in chunks of about BLOCK_ROWS queries. No pair table is
-    made: a chunk returns its nearest points only. A task gets its blocks one by one, as groups,
-    so its memory depends neither on the number of points nor on the size of Arrow's batches.
+    into that bound are searched, in chunks of about BLOCK_ROWS queries. A task holds a group of
+    neighbouring blocks and a share of the queries, so a query is sent and answered once for each
+    group of GROUP_BYTES, not for each block, and memory doesn't depend on the number of points.
     """
     points = (
         df.select(col(key).alias("id"), vector_to_array("features").alias("v"))
@@ -275,9 +342,7 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
     blocked = placed.join(parts, "cell").withColumn(
         "block", F.concat_ws("-", "cell", F.pmod(F.xxhash64("id"), F.col("parts")))
     )
-    packed = blocked.groupBy("block", "cell").agg(
-        F.collect_list(F.struct("id", "v", "w")).alias("pts"), F.max("r").alias("radius")
-    )
+    packed = blocked.groupBy("block", "cell").agg(F.collect_list(F.struct("id", "v", "w")).alias("pts"))
 
     def own(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -292,10 +357,17 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
             out += [(i, b) for i, (_g, b) in reach.items()]
         return pd.DataFrame(out, columns=["id", "bound"])
 
-    bounds = packed.select("block", "cell", "pts").groupBy("block", "cell").applyInPandas(own, "id long, bound double")
-    # one row per block: cell and radius, a table of n / BLOCK_ROWS rows
-    balls = packed.select("block", "cell", "radius").toPandas()
-    ball_cell, ball_radius, ball_name = balls["cell"].to_numpy(), balls["radius"].to_numpy(), balls["block"].to_numpy()
+    bounds = packed.groupBy("block", "cell").applyInPandas(own, "id long, bound double")
+    # one row per block: cell, radius and rows, a table of n / BLOCK_ROWS rows
+    balls = blocked.groupBy("block", "cell").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n")).toPandas()
+    balls = balls.sort_values(["cell", "block"], ignore_index=True)
+    wide = 8 * pivots.shape[1]
+    group_of = (balls["n"].cumsum() - balls["n"]).to_numpy() * wide // GROUP_BYTES
+    groups = np.unique(group_of, return_inverse=True)[1].astype("int32")
+    first, n_groups = np.flatnonzero(np.append(True, groups[1:] != groups[:-1])), int(groups.max()) + 1
+    ball_cell, ball_radius = balls["cell"].to_numpy(), balls["radius"].to_numpy()
+    spark = df.sparkSession
+    shares = int(max(1, -(-int(balls["n"].sum()) * wide // QUERY_BYTES), -(-2 * spark.sparkContext.defaultParallelism // n_groups)))
 
     def targets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -303,32 +375,21 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
                 continue
             step = max(1, CELLS // max(len(ball_cell), 1))
             for part in (frame.iloc[i : i + step] for i in range(0, len(frame), step)):
-                x = np.stack(part["v"].to_numpy())
-                d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T, 0))
-                hit = d[:, ball_cell] - ball_radius[None, :] <= part["bound"].to_numpy()[:, None] + 1e-9
-                rows, blocks = np.nonzero(hit)
-                ids, vectors = part["id"].to_numpy(), part["v"].to_numpy()
+                hit = _reached(np.stack(part["v"].to_numpy()), pivots, part["bound"].to_numpy(), ball_cell, ball_radius)
+                rows, at = np.nonzero(np.logical_or.reduceat(hit, first, axis=1))
+                ids, vectors, bound = (part[c].to_numpy() for c in ("id", "v", "bound"))
                 for i in range(0, len(rows), ASKED):
-                    at, to = rows[i : i + ASKED], blocks[i : i + ASKED]
-                    yield pd.DataFrame({"id": ids[at], "v": vectors[at], "block": ball_name[to]})
-
-    asked = blocked.join(bounds, "id").select("id", "v", "bound").mapInPandas(targets, "id long, v array<double>, block string")
-    chunks = asked.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("parts"))
-    queries = asked.join(chunks, "block").groupBy("block", F.pmod(F.xxhash64("id"), F.col("parts")).alias("chunk")).agg(
-        F.collect_list(F.struct("id", "v")).alias("qs")
-    )
-
-    def search(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for qs, pts in zip(frame["qs"], frame["pts"]):
-            x, y = np.stack([p["v"] for p in qs]), np.stack([p["v"] for p in pts])
-            ids_x, ids_y = np.array([p["id"] for p in qs]), np.array([p["id"] for p in pts])
-            out += _nearest(x, y, ids_x, ids_y, np.array([p["w"] for p in pts]), k)
-        return pd.DataFrame(out, columns=["q", "o", "dist", "w"])
-
-    found = queries.join(packed.select("block", "pts"), "block").groupBy("block", "chunk").applyInPandas(
-        search, "q long, o long, dist double, w long"
-    )
+                    own, to = rows[i : i + ASKED], at[i : i + ASKED].astype("int32")
+                    yield pd.DataFrame({"id": ids[own], "v": vectors[own], "bound": bound[own], "group": to})
+
+    asked = blocked.join(bounds, "id").select("id", "v", "bound").mapInPandas(targets, "id long, v array<double>, bound double, group int")
+    share = F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int")
+    queries = asked.select((F.col("group") * shares + share).alias("part"), "id", "v", "bound", F.lit(0).cast("long").alias("w"), F.lit(-1).alias("number"))
+    places = spark.createDataFrame([(str(b), i, int(g)) for i, (b, g) in enumerate(zip(balls["block"], groups))], "block string, number int, group int")
+    held = blocked.join(places, "block").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    held = held.select((F.col("group") * shares + F.col("share")).alias("part"), "id", "v", F.lit(0.0).alias("bound"), "w", "number")
+    dealt = held.unionByName(queries).repartitionById(n_groups * shares, "part")
+    found = dealt.mapInArrow(_searcher(pivots, ball_cell, ball_radius, k), "q long, o long, dist double, w long")
     # the copies of a point are its own neighbours at distance 0
     copies = points.where("w > 1").select(F.col("id").alias("q"), F.col("id").alias("o"), F.lit(0.0).alias("dist"), (F.col("w") - 1).alias("w"))
     order = Window.partitionBy("q").orderBy("dist", "o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -341,7 +402,7 @@ def nearest_neighbours(df: DataFrame, key: str, k: int, cells: int = 64, seed: i
 def local_outlier_factor(df: DataFrame, key: str, k: int = 20, scale: bool = True) -> DataFrame:
     """(key, lof): ratio of the neighbours' density to the own density, about 1 inside a cluster."""
     rows = standardise(df) if scale else df
-    near = nearest_neighbours(rows, key, k)
+    near = cut_lineage(nearest_neighbours(rows, key, k))  # read three times
     reach = near.groupBy("q").agg(F.max("dist").alias("kd"))
     pairs = near.join(reach.select(F.col("q").alias("o"), F.col("kd").alias("okd")), "o")
     density = pairs.groupBy("q").agg(

@@ -2,6 +2,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,3 +230,24 @@ def test_blocks_of_neighbours_reach_a_task_one_by_one(spark, monkeypatch):
     for r in near.collect():
         got.setdefault(r.q, []).append(r.dist)
     assert all(np.allclose(sorted(got[i]), np.sort(d[i])[:4]) for i in range(120))
+
+
+def test_queries_are_sent_once_for_a_group_of_blocks(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(300, 4))
+    x[200:] = x[:100]  # copies
+    df = unsup.embedding_vectors(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, e array<double>"), "e")
+    monkeypatch.setattr(unsup, "BLOCK_ROWS", 20)
+    d = np.sqrt(((x[:200, None] - x[None, :200]) ** 2).sum(2))
+    np.fill_diagonal(d, np.inf)
+    for name, size in (("GROUP_BYTES", 128 << 20), ("GROUP_BYTES", 2000), ("QUERY_BYTES", 1500)):
+        monkeypatch.setattr(unsup, name, size)
+        near = unsup.nearest_neighbours(df, "id", 6, cells=5).collect()
+        for q in (0, 50, 150, 199):
+            mine = sorted((r.dist, r.o, r.w) for r in near if r.q == q)
+            want = sorted((0.0 if i == q else d[q, i], i, (2 if i < 100 else 1) - (i == q)) for i in range(200) if i != q or q < 100)
+            assert sum(w for *_, w in mine) == 6 and all(a[1] == b[1] and np.isclose(a[0], b[0]) for a, b in zip(mine, want))
+    # an answer for each point and group, not for each block that it reaches
+    block = pa.table({"part": [0] * 9, "id": [*range(8), 3], "v": [[float(i), 0.0] for i in (*range(8), 3)], "bound": [0.0] * 8 + [np.inf], "w": [1] * 8 + [0], "number": [0, 0, 1, 1, 2, 2, 3, 3, -1]})
+    search = unsup._searcher(np.zeros((1, 2)), np.zeros(4, int), np.full(4, 9.0), 3)
+    got = [b.to_pydict() for b in search(iter(block.to_batches()))]
+    assert len(got) == 1 and got[0]["o"] == [2, 4, 1] and got[0]["dist"] == [1.0, 1.0, 2.0]
